@@ -47,7 +47,7 @@ from fleetwatt.plans.power_tables import battery_power, port_power, solar_power
 from fleetwatt.schemas import OUTPUT_RECORD, SOLAR_RECORD, WAVE_RECORD, WEATHER_RECORD, SensorSpec, text_fields
 from fleetwatt.session import prepare, shared_dir
 from fleetwatt.sources.json_records import ALL_FIELDS, BARE_LIST, SOURCE_ORDER, file_census, read_payloads, records
-from fleetwatt.sources.tables import read_csv, row_counts, write_csv
+from fleetwatt.sources.tables import read_csv, row_counts, spread, write_csv
 from fleetwatt.streaming.dedup import drop_repeats
 from fleetwatt.streaming.hourly import hourly_stats, maintain, newest
 from fleetwatt.streaming.ingest import drain, stream_parquet
@@ -160,9 +160,9 @@ def flow_names(flows: DataFrame) -> DataFrame:
     )
 
 
-def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flows(spark: SparkSession, sf_dir: str, battery: bool = True) -> DataFrame:
     rows = telemetry(spark, sf_dir)
-    return hourly_flows(drawing_rows(rows), *power_series(rows))
+    return hourly_flows(drawing_rows(rows), *power_series(rows)[: 3 if battery else 2])
 
 
 def q_spine_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +182,7 @@ def q_hourly_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_daily_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(daily_energy(flows(spark, sf_dir)), "used_wh", "gained_wh")
+    return rounded(daily_energy(flows(spark, sf_dir, battery=False)), "used_wh", "gained_wh")
 
 
 def q_first_last_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +202,7 @@ def q_default_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_day_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     battery = power_series(telemetry(spark, sf_dir))[2]
-    return rounded(day_summary(flows(spark, sf_dir), battery), "used_wh", "gained_wh", "delta")
+    return rounded(day_summary(flows(spark, sf_dir, battery=False), battery), "used_wh", "gained_wh", "delta")
 
 
 def q_day_window_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +287,7 @@ def payloads(rows: DataFrame, vehicle: str, record: str) -> DataFrame:
     """Each row as the JSON payload of one record, in the form a file scan delivers."""
     text = F.concat(F.lit('{"recordData":['), F.to_json(F.expr(record)), F.lit("]}"))
     zero = F.lit(0).cast("long")
-    return rows.select(
+    return spread(rows).select(
         F.col(vehicle).alias("vehicle"),
         F.lit("row").alias("file"),
         zero.alias("chunk"),

@@ -19,7 +19,7 @@ def to_number(column: Column) -> Column:
 
 def to_integer(column: Column) -> Column:
     """Whole-number part of a text number, NULL where there is none."""
-    return to_number(column).try_cast("int")
+    return F.coalesce(column.try_cast("int"), to_number(column).try_cast("int"))
 
 
 def nan_to_null(column: Column) -> Column:

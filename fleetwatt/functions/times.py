@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ZONED = r"([zZ]|[+-][0-9]{2}:?[0-9]{2}|UTC|GMT)\s*$"
+# Marks of a zone in the part of an ISO text that follows the year and month.
+ZONE_MARK = r"[zZ/+-]|UTC|GMT"
 
 
 def _text(column: Column) -> Column:
@@ -22,17 +23,15 @@ def to_time(column: Column, *formats: str) -> Column:
     """
     text = _text(column)
     zoned = text.try_cast("timestamp").cast("timestamp_ntz")
-    iso = F.when(text.rlike(ZONED), zoned).otherwise(text.try_cast("timestamp_ntz"))
+    iso = F.when(F.substring(text, 10, 60).rlike(ZONE_MARK), zoned).otherwise(text.try_cast("timestamp_ntz"))
     declared = [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
     return F.coalesce(*declared, iso)
 
 
 def to_time_strict(column: Column, *formats: str) -> Column:
     """As ``to_time``, but text that is no time stops the job."""
-    parsed = to_time(column, *formats)
-    message = F.concat(F.lit("not a time: "), _text(column))
-    failed = column.isNotNull() & parsed.isNull()
-    return F.when(failed, F.raise_error(message).cast("timestamp_ntz")).otherwise(parsed)
+    failed = F.raise_error(F.concat(F.lit("not a time: "), _text(column))).cast("timestamp_ntz")
+    return F.coalesce(to_time(column, *formats), F.when(column.isNotNull(), failed))
 
 
 def hour_of(column: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatt.functions.times import hour_of
@@ -29,31 +29,36 @@ def spine_join(spine: DataFrame, *sides: DataFrame, by: Sequence[str] = VEHICLE)
 
 
 def hourly_flows(
-    drawing: DataFrame, output: DataFrame, solar: DataFrame, battery: DataFrame, by: Sequence[str] = VEHICLE
+    drawing: DataFrame,
+    output: DataFrame,
+    solar: DataFrame,
+    battery: DataFrame | None = None,
+    by: Sequence[str] = VEHICLE,
 ) -> DataFrame:
     """The spine join straight from the time series, in one shuffle.
 
     ``drawing`` holds the port rows above the threshold and gives the spine. All
-    four inputs become rows of one table that is aggregated once per hour; hours
-    off the spine are dropped after it. No input is joined or sorted.
+    inputs become rows of one table that is aggregated once per hour; hours off
+    the spine are dropped after it. No input is joined or sorted. Energy needs no
+    battery rows, so that input may be left out.
     """
-    number = F.lit(None).cast("double")
-
-    def part(rows: DataFrame, hour, **values) -> DataFrame:
-        columns = [values.get(name, number).alias(name) for name in ("usage", "solar", "battery")]
-        return rows.select(*by, hour.alias("sampleHour"), values.get("on_spine", F.lit(False)).alias("on_spine"), *columns)
-
-    rows = (
-        part(drawing, F.col("sampleHour"), on_spine=F.lit(True))
-        .unionByName(part(output, hour_of(F.col("timestamp")), usage=F.col("total_output_power_W")))
-        .unionByName(part(solar, hour_of(F.col("timeStamp")), solar=F.col("solar_power_W")))
-        .unionByName(part(battery, hour_of(F.col("timestamp")), battery=F.col("total_battery_power_W")))
-        .where(F.col("sampleHour").isNotNull())
-    )
-    hours = rows.groupBy(*by, "sampleHour").agg(
-        F.max("on_spine").alias("on_spine"),
-        F.avg("usage").alias("total_usage_W"),
-        F.avg("solar").alias("solar_gain_W"),
-        F.avg("battery").alias("total_battery_power_W"),
+    # (input, its hour, its measure, the measure's hourly mean)
+    inputs = [
+        (output, hour_of(F.col("timestamp")), "total_output_power_W", "total_usage_W"),
+        (solar, hour_of(F.col("timeStamp")), "solar_power_W", "solar_gain_W"),
+    ]
+    if battery is not None:
+        inputs.append((battery, hour_of(F.col("timestamp")), "total_battery_power_W", "total_battery_power_W"))
+    means = [mean for _, _, _, mean in inputs]
+
+    def part(rows: DataFrame, hour: Column, on_spine: bool, mean: str | None = None, measure: str | None = None) -> DataFrame:
+        values = [(F.col(measure) if name == mean else F.lit(None)).cast("double").alias(name) for name in means]
+        return rows.select(*by, hour.alias("sampleHour"), F.lit(on_spine).alias("on_spine"), *values)
+
+    rows = part(drawing, F.col("sampleHour"), True)
+    for table, hour, measure, mean in inputs:
+        rows = rows.unionByName(part(table, hour, False, mean, measure))
+    hours = rows.where(F.col("sampleHour").isNotNull()).groupBy(*by, "sampleHour").agg(
+        F.max("on_spine").alias("on_spine"), *[F.avg(mean).alias(mean) for mean in means]
     )
     return hours.where("on_spine").drop("on_spine")

@@ -23,18 +23,23 @@ def port_power(output_records: DataFrame, sensors: DataFrame) -> DataFrame:
 
     A narrow plan: records are expanded and labelled where they are read.
     """
-    ports = unpivot_ports(output_records.drop(SOURCE_ORDER), OUTPUT_FIELDS, OUTPUT_SLOTS)
+    # The time is the same for all ports of a record: parse it before they are expanded.
+    timed = output_records.drop(SOURCE_ORDER).withColumns(
+        {"timeStamp": to_time_strict(F.col("timeStamp")), "powerDomain": to_integer(F.col("powerDomain"))}
+    )
+    ports = unpivot_ports(timed.withColumn("sampleHour", hour_of(F.col("timeStamp"))), OUTPUT_FIELDS, OUTPUT_SLOTS)
     typed = ports.select(
         "vehicle",
-        to_time_strict(F.col("timeStamp")).alias("timestamp"),
-        to_integer(F.col("powerDomain")).alias("domain"),
+        F.col("timeStamp").alias("timestamp"),
+        "sampleHour",
+        F.col("powerDomain").alias("domain"),
         to_integer(F.col("moduleNumber")).alias("slot"),
         to_integer(F.col("portNumber")).alias("port"),
         to_number(F.col("avgPower")).alias("avg_power_W"),
         to_number(F.col("avgVoltage")).alias("avg_voltage_V"),
         to_number(F.col("avgCurrent")).alias("avg_current_A"),
         to_integer(F.col("portStatus")).alias("port_status"),
-    ).withColumn("sampleHour", hour_of(F.col("timestamp")))
+    )
     return label_ports(typed, sensors).select(
         "vehicle",
         "timestamp",
@@ -52,11 +57,9 @@ def port_power(output_records: DataFrame, sensors: DataFrame) -> DataFrame:
 
 def solar_ports(solar_records: DataFrame) -> DataFrame:
     """Every reported solar port, with its measures as numbers."""
-    ports = unpivot_ports(solar_records.drop(SOURCE_ORDER), SOLAR_FIELDS, SOLAR_SLOTS)
+    timed = solar_records.drop(SOURCE_ORDER).withColumn("timeStamp", to_time_strict(F.col("timeStamp")))
     measures = [name for name in SOLAR_FIELDS if name not in ("portStatus", "sampleTime")]
-    return ports.withColumn("timeStamp", to_time_strict(F.col("timeStamp"))).withColumns(
-        {name: to_number(F.col(name)) for name in measures}
-    )
+    return unpivot_ports(timed, SOLAR_FIELDS, SOLAR_SLOTS).withColumns({name: to_number(F.col(name)) for name in measures})
 
 
 def solar_power(solar_records: DataFrame, scale: int | None = None) -> DataFrame:

@@ -30,12 +30,10 @@ def read_payloads(
     No match raises. With ``stream_files`` the result is a stream that takes up
     to that many new files per batch.
     """
-    options = {"wholetext": str(whole_file).lower()}
     if stream_files is None:
-        lines = spark.read.options(**options).text(paths)
+        lines = spark.read.text(paths, wholetext=whole_file)
     else:
-        options["maxFilesPerTrigger"] = str(stream_files)
-        lines = spark.readStream.options(**options).text(paths)
+        lines = spark.readStream.option("maxFilesPerTrigger", stream_files).text(paths, wholetext=whole_file)
     if whole_file:
         chunk, line = F.lit(0).cast("long"), F.lit(0).cast("long")
     else:
