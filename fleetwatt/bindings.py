@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetwatt.functions.numbers import scaled, to_number, total
-from fleetwatt.functions.times import day_of, hour_of, to_time
+from fleetwatt.functions.times import day_of, day_range, hour_of, to_time
 from fleetwatt.operators.availability import sensor_availability
 from fleetwatt.operators.census import census
 from fleetwatt.operators.cleaning import blank_marks, keep_last, missing_fields
@@ -32,6 +32,7 @@ from fleetwatt.operators.days import (
 )
 from fleetwatt.operators.fleet import label_table, with_label
 from fleetwatt.operators.flows import hour_spine, hourly_flows, spine_join
+from fleetwatt.operators.order import first_rows
 from fleetwatt.operators.ports import label_ports, sensor_table, unpivot_ports, with_component
 from fleetwatt.operators.rollups import (
     above_threshold,
@@ -280,7 +281,7 @@ def q_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity", "l_extendedprice"
     )
-    return rows.orderBy(*rows.columns).limit(20)
+    return first_rows(rows, rows.columns)
 
 
 def payloads(rows: DataFrame, vehicle: str, record: str) -> DataFrame:
@@ -530,12 +531,19 @@ def stream_path(sf_dir: str) -> str:
     return f"{sf_dir}/events.parque[t]"
 
 
+def whole_span(spark: SparkSession, sf_dir: str) -> str:
+    """Watermark delay that no row is later than: the files of a table are in no time order."""
+    day = day_of(F.col("ts"))
+    span = table(spark, sf_dir, "events").agg(F.date_diff(F.max(day), F.min(day)).alias("days")).first()
+    return f"{(span.days or 0) + 1} days"
+
+
 def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     stream = stream_parquet(spark, stream_path(sf_dir))
     out = shared_dir(spark, "stream-hourly")
-    # The files of a table are in no time order: allow for its whole month.
-    maintain(hourly_stats(stream, "ts", "value", ["event_type"], "31 days"), f"{out}/result", f"{out}/checkpoint")
+    stats = hourly_stats(stream, "ts", "value", ["event_type"], whole_span(spark, sf_dir))
+    maintain(stats, f"{out}/result", f"{out}/checkpoint")
     return newest(spark, f"{out}/result", ["event_type"]).select(
         "event_type", F.col("sampleHour").alias("sample_hour"), F.round("mean_value", 6).alias("mean_value"), "n"
     )
@@ -546,7 +554,7 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stream_path(sf_dir)
     twice = stream_parquet(spark, path).unionByName(stream_parquet(spark, path))
     out = shared_dir(spark, "stream-dedup")
-    once = drop_repeats(twice.select("event_id", "ts", "value"), "ts", ["event_id"], "31 days")
+    once = drop_repeats(twice.select("event_id", "ts", "value"), "ts", ["event_id"], whole_span(spark, sf_dir))
     drain(once, f"{out}/checkpoint").format("parquet").start(f"{out}/result").awaitTermination()
     return spark.read.parquet(f"{out}/result")
 
@@ -563,8 +571,8 @@ def q_restate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{out}/landing"
     events.write.parquet(f"{landing}/first")
     store.follow(spark.readStream.schema(events.schema).parquet(f"{landing}/*"))
-    last = events.agg(F.date_sub(F.max(day_of(F.col("ts"))), 1).alias("from_day"))
-    again = events.join(F.broadcast(last), day_of(F.col("ts")) >= F.col("from_day"))
+    last = events.agg(F.max(day_of(F.col("ts"))).alias("day")).first().day
+    again = events.where(day_range(F.col("ts"), last - dt.timedelta(days=1), last))
     again.select("event_id", "ts", (F.col("value") + 1).alias("value")).write.parquet(f"{landing}/second")
     store.follow(spark.readStream.schema(events.schema).parquet(f"{landing}/*"))
     return store.read()

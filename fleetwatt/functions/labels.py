@@ -6,9 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# White space characters; trim without a list removes blanks only.
+SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u2028\u2029\u3000"
+
+
 def strip(column: Column) -> Column:
     """Remove white space of any kind at both ends; NULL becomes ''."""
-    return F.regexp_replace(F.coalesce(column.cast("string"), F.lit("")), r"^\s+|\s+$", "")
+    return F.btrim(F.coalesce(column.cast("string"), F.lit("")), F.lit(SPACE))
 
 
 def port_name(domain: Column, slot: Column, port: Column) -> Column:

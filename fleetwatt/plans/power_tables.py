@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetwatt.functions.numbers import milli_to_unit, to_integer, to_number
 from fleetwatt.functions.times import hour_of, to_time, to_time_strict
+from fleetwatt.operators.order import first_rows
 from fleetwatt.operators.ports import label_ports, unpivot_ports
 from fleetwatt.operators.rollups import positive_sum
 from fleetwatt.schemas import OUTPUT_FIELDS, OUTPUT_SLOTS, SOLAR_FIELDS, SOLAR_SLOTS
@@ -55,6 +56,10 @@ def port_power(output_records: DataFrame, sensors: DataFrame) -> DataFrame:
     )
 
 
+def preview(ports: DataFrame, n: int = 20) -> DataFrame:
+    return first_rows(ports, PORT_POWER_ORDER, n)
+
+
 def solar_ports(solar_records: DataFrame) -> DataFrame:
     """Every reported solar port, with its measures as numbers."""
     timed = solar_records.drop(SOURCE_ORDER).withColumn("timeStamp", to_time_strict(F.col("timeStamp")))

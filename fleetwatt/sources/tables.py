@@ -15,6 +15,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
+    # Files whose header differs from the first one are an error, not shifted columns.
+    "enforceSchema": "false",
 }
 
 

@@ -1,10 +1,11 @@
 """Restating the days that new records touch.
 
-A store has two tables. ``arrivals`` keeps every record under the batch that
-brought it and is only ever added to. ``result`` is partitioned by day and
-rebuilt, for the touched days only, from all arrivals of those days. It is never
-read for that, so a batch that is repeated after a failure gives the same
-result, and late or fetched-again records need no watermark.
+A store has two tables. ``arrivals`` keeps, under the batch that brought them,
+the records that are new or differ from the last copy stored; files that are
+fetched again and again add nothing else to it. ``result`` is partitioned by day
+and rebuilt, for the changed days only, from all arrivals of those days. A batch
+never reads its own output, so repeating it after a failure gives the same
+result, and late records need no watermark.
 """
 
 from __future__ import annotations
@@ -23,6 +24,11 @@ from fleetwatt.streaming.ingest import drain
 Build = Callable[[DataFrame], DataFrame]
 
 
+def calendar_days(rows: DataFrame) -> list:
+    """The days present; their number is bounded by the calendar, not by the rows."""
+    return [row.day for row in rows.select("day").distinct().collect()]
+
+
 class DayStore:
     """Arrivals and the day-partitioned result built from them."""
 
@@ -36,7 +42,10 @@ class DayStore:
         build: Build,
         cluster: Sequence[str] = ("vehicle",),
     ):
-        """``build`` turns arrivals, last copy per ``keys`` by batch and ``order``, into rows with a ``day``."""
+        """``build`` turns the last copies per ``keys``, by batch and ``order``, into rows with a ``day``.
+
+        ``order`` names the columns that tell the place of a record in its batch.
+        """
         self.spark = spark
         self.arrivals = f"{root}/arrivals"
         self.result = f"{root}/result"
@@ -45,23 +54,44 @@ class DayStore:
         self.build, self.cluster = build, list(cluster)
 
     def add(self, batch: DataFrame, batch_id: int) -> None:
-        arrived = batch.where(F.col(self.time).isNotNull()).withColumn("day", day_of(F.col(self.time)))
-        # One write replaces the folder of this batch, also when it is repeated.
-        arrived.hint("rebalance", "day").write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("day").parquet(f"{self.arrivals}/batch={batch_id}")
-        self.restate(batch_id, arrived.schema.add("batch", T.LongType()))
+        arrived = batch.where(F.col(self.time).isNotNull()).withColumn("day", day_of(F.col(self.time))).persist()
+        schema = T.StructType([*arrived.schema.fields, T.StructField("batch", T.LongType())])
+        try:
+            # One write replaces the folder of this batch, also when it is repeated.
+            self.changed(arrived, batch_id, schema).hint("rebalance", "day").write.mode("overwrite").option(
+                "partitionOverwriteMode", "static"
+            ).partitionBy("day").parquet(f"{self.arrivals}/batch={batch_id}")
+        finally:
+            arrived.unpersist()
+        self.restate(batch_id, schema)
+
+    def changed(self, arrived: DataFrame, batch_id: int, schema: T.StructType) -> DataFrame:
+        """The arrived records that differ from the last copy of earlier batches."""
+        if not self.exists():
+            return arrived
+        earlier = self.stored(schema).where(F.col("batch") < batch_id)
+        known = self.latest(earlier.where(F.col("day").isin(calendar_days(arrived)))).alias("known")
+        compared = [name for name in arrived.columns if name not in self.order]
+        same = [F.col(f"arrived.`{name}`").eqNullSafe(F.col(f"known.`{name}`")) for name in compared]
+        return arrived.alias("arrived").join(known, same, "left_anti")
+
+    def exists(self) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.arrivals)
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+    def stored(self, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self.arrivals)
+
+    def latest(self, rows: DataFrame) -> DataFrame:
+        return keep_last(rows, self.keys, ["batch", *self.order]).drop("batch")
 
     def restate(self, batch_id: int, schema: T.StructType) -> None:
-        """Rebuild the days of one batch; other days are neither read nor written."""
-        stored = self.spark.read.schema(schema).parquet(self.arrivals)
-        # The folder names of one batch: a row per calendar day at most.
-        touched = [row.day for row in stored.where(F.col("batch") == batch_id).select("day").distinct().collect()]
-        if not touched:
-            return
-        rows = stored.where(F.col("day").isin(touched))
-        latest = keep_last(rows, self.keys, ["batch", *self.order]).drop("batch")
-        write_parquet(self.build(latest), self.result, partitions=["day"], cluster=self.cluster, mode="dynamic")
+        """Rebuild the days that one batch changed; other days are neither read nor written."""
+        stored = self.stored(schema)
+        touched = calendar_days(stored.where(F.col("batch") == batch_id))
+        if touched:
+            rows = self.latest(stored.where((F.col("batch") <= batch_id) & F.col("day").isin(touched)))
+            write_parquet(self.build(rows), self.result, partitions=["day"], cluster=self.cluster, mode="dynamic")
 
     def follow(self, stream: DataFrame) -> None:
         """Process all new input of the stream."""

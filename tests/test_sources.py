@@ -114,6 +114,11 @@ def test_csv_columns_by_name(spark, tmp_path):
     assert rows(read_csv(spark, f"{tmp_path}/x.csv", text_fields(["a"]))) == [("2",)]
     with pytest.raises(KeyError, match="Ocean CO2 Ave"):
         read_csv(spark, f"{tmp_path}/x.csv", text_fields(["Ocean CO2 Ave"]))
+    (tmp_path / "y").mkdir()
+    (tmp_path / "y" / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "y" / "2.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, f"{tmp_path}/y", text_fields(["a", "b"])).collect()
     both = read_vehicle_csv(spark, {"wg1": f"{tmp_path}/x.csv", "wg2": f"{tmp_path}/x.csv"}, text_fields(["a", "b"]))
     assert rows(both) == [("wg1", "2", "1"), ("wg2", "2", "1")]
 

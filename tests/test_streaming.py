@@ -86,7 +86,7 @@ def day_totals(arrivals):
 
 def test_restated_days(spark, tmp_path):
     source = f"{tmp_path}/in"
-    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], ["value"], day_totals)
+    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], [], day_totals)
 
     def follow():
         store.follow(stream_parquet(spark, source))
@@ -100,13 +100,29 @@ def test_restated_days(spark, tmp_path):
     assert follow() == {1: 1.0, 2: 20.0, 3: 33.0}
     assert sorted((tmp_path / "store" / "result" / "day=2026-07-01").iterdir()) == untouched
     assert follow() == {1: 1.0, 2: 20.0, 3: 33.0}
+    # Records that were fetched again unchanged are not stored again.
+    assert spark.read.parquet(store.arrivals).count() == 5
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], ["value"], day_totals)
+    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], [], day_totals)
     batch = spark.createDataFrame([("wg1", at("2026-07-01 10:00"), 1.0)], "vehicle string, ts timestamp_ntz, value double")
     store.add(batch, 0)
     store.add(batch, 0)
     assert rows(store.read().select("total")) == [(1.0,)]
     store.add(batch.limit(0), 1)
+    store.add(batch, 2)
+    assert rows(store.read().select("total")) == [(1.0,)]
+    assert spark.read.schema(batch.schema).parquet(store.arrivals).count() == 1
+
+
+def test_the_place_in_a_batch_breaks_ties_only(spark, tmp_path):
+    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], ["pos"], day_totals)
+    schema = "vehicle string, ts timestamp_ntz, value double, pos int"
+    when = at("2026-07-01 10:00")
+    store.add(spark.createDataFrame([("wg1", when, 1.0, 0), ("wg1", when, 2.0, 1)], schema), 0)
+    store.add(spark.createDataFrame([("wg1", when, 2.0, 7)], schema), 1)
+    assert rows(store.read().select("total")) == [(2.0,)]
+    assert spark.read.parquet(store.arrivals).count() == 2
+    store.add(spark.createDataFrame([("wg1", when, 1.0, 0)], schema), 2)
     assert rows(store.read().select("total")) == [(1.0,)]
