@@ -40,6 +40,7 @@ from fleetwatt.operators.rollups import (
     component_pivot,
     hourly_mean,
     hourly_total,
+    port_hours,
     positive_sum,
 )
 from fleetwatt.operators.series import series_table
@@ -147,6 +148,11 @@ def q_component_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_port_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = port_hours(telemetry(spark, sf_dir), "value", threshold=10.0, scale=SCALE)
+    return hours.withColumnsRenamed({"sampleHour": "sample_hour", "total_W": "total_w", "power_W": "power_w"})
+
+
 # --- flows and days ---
 
 

@@ -50,10 +50,14 @@ def daily_energy(flows: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
 
 
 def first_last(
-    series: DataFrame, time: str, value: str, by: Sequence[str] = VEHICLE, tie: Sequence[str] | None = None
+    series: DataFrame, time: str, value: str, by: Sequence[str] = VEHICLE, tie: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """First and last value of each day by time, then by ``tie`` (the value itself by default)."""
-    place = F.struct(time, *(tie or [value]))
+    """First and last value of each day by time, then by ``tie`` (the value itself by default).
+
+    Where no time has two different values, ``tie=()`` gives the same result by
+    a hash aggregate; with a tie-break Spark sorts the rows of each task.
+    """
+    place = F.struct(time, *([value] if tie is None else tie)) if tie != () else F.col(time)
     rows = series.where(F.col(time).isNotNull())
     return rows.groupBy(*by, day_of(F.col(time)).alias("day")).agg(
         F.min_by(value, place).alias("battery_start"), F.max_by(value, place).alias("battery_end")
@@ -72,7 +76,7 @@ def battery_change(day_list: DataFrame, ends: DataFrame, by: Sequence[str] = VEH
     )
 
 
-def day_summary(flows: DataFrame, battery: DataFrame, by: Sequence[str] = VEHICLE, tie: Sequence[str] | None = None) -> DataFrame:
+def day_summary(flows: DataFrame, battery: DataFrame, by: Sequence[str] = VEHICLE, tie: tuple[str, ...] | None = None) -> DataFrame:
     """One row per vehicle and day on the spine.
 
     Both sides are aggregated per vehicle and day first, so the join reuses

@@ -66,6 +66,37 @@ def component_hours(
     return rows.groupBy(*by, "sampleHour", "component").agg(or_zero(total(F.col(value), scale)).alias("power_W"))
 
 
+def port_hours(
+    ports: DataFrame,
+    value: str = "avg_power_W",
+    threshold: float = POWER_THRESHOLD_W,
+    by: Sequence[str] = VEHICLE,
+    scale: int | None = None,
+) -> DataFrame:
+    """All hourly figures of the port table in one pass over it.
+
+    ``total_W`` adds every report, ``power_W`` those above the threshold and is
+    NULL where there is none. ``drawn_hours`` and ``total_hours`` derive the
+    component hours and the hourly total from this much smaller table.
+    """
+    power = F.col(value)
+    rows = ports.where(F.col("sampleHour").isNotNull())
+    return rows.groupBy(*by, "sampleHour", "component").agg(
+        or_zero(total(power, scale)).alias("total_W"),
+        total(F.when(power > threshold, power), scale).alias("power_W"),
+    )
+
+
+def drawn_hours(hours: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
+    return hours.where(F.col("power_W").isNotNull()).select(*by, "sampleHour", "component", "power_W")
+
+
+def total_hours(
+    hours: DataFrame, out: str = "total_output_power_W", by: Sequence[str] = VEHICLE, scale: int | None = None
+) -> DataFrame:
+    return hours.groupBy(*by, F.col("sampleHour").alias("timestamp")).agg(total(F.col("total_W"), scale).alias(out))
+
+
 def component_pivot(
     ports: DataFrame,
     components: Sequence[str],

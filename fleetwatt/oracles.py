@@ -59,6 +59,10 @@ ORACLES = {
     "q_component_hours": f"""
         select vehicle, h as sample_hour, event_type as component, sum(value::decimal(18,4))::double as power_w
         from ({TELEMETRY}) where value > 0.2 group by all""",
+    "q_port_hours": f"""
+        select vehicle, h as sample_hour, event_type as component, sum(value::decimal(18,4))::double as total_w,
+               (sum(value::decimal(18,4)) filter (value > 10))::double as power_w
+        from ({TELEMETRY}) group by all""",
     "q_spine_join": FLOWS,
     "q_hourly_flows": FLOWS,
     "q_daily_energy": f"""

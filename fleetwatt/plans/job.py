@@ -23,7 +23,7 @@ from fleetwatt.operators.components import sensor_order
 from fleetwatt.operators.fleet import chosen_vehicles, label_table
 from fleetwatt.operators.flows import hourly_flows
 from fleetwatt.operators.ports import sensor_table, with_component
-from fleetwatt.operators.rollups import above_threshold, component_hours, hourly_total
+from fleetwatt.operators.rollups import drawn_hours, port_hours, total_hours
 from fleetwatt.plans.dashboard import Dashboard, day_tables
 from fleetwatt.plans.environment import waves, weather
 from fleetwatt.plans.power_tables import PORT_POWER_ORDER, port_power, solar_power, summary_battery_power
@@ -46,7 +46,15 @@ from fleetwatt.sources.json_records import (
     require_records,
     vehicle_from_path,
 )
-from fleetwatt.sources.tables import file_counts, read_vehicle_csv, row_counts, write_csv, write_json, write_parquet
+from fleetwatt.sources.tables import (
+    file_counts,
+    list_files,
+    read_vehicle_csv,
+    row_counts,
+    write_csv,
+    write_json,
+    write_parquet,
+)
 
 
 @dataclass
@@ -95,7 +103,9 @@ def power_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, Dat
 
     ports = port_power(records(product_payloads(spark, inputs, "output_power"), OUTPUT_RECORD), sensor_table(spark))
     ports = stored("port_power", ports, PORT_POWER_ORDER, by_day="timestamp")
-    stored("output_power_hourly", hourly_total(ports), ["timestamp"])
+    # The largest table is read once more only: all hourly figures come from its hours.
+    hours = stored("port_hours", port_hours(with_component(ports)), ["sampleHour", "component"])
+    stored("output_power_hourly", total_hours(hours), ["timestamp"])
     stored("solar_power", solar_power(records(product_payloads(spark, inputs, "solar"), SOLAR_RECORD)), ["timeStamp"])
     summaries = records(product_payloads(spark, inputs, "battery"), ALL_FIELDS)
     require_fields(summaries, "fields", BATTERY_REQUIRED)
@@ -128,13 +138,12 @@ def run(spark: SparkSession, inputs: Inputs, out: str, as_of: dt.date | None = N
     write_parquet(sensor_availability(sources), f"{out}/sensor_availability", order=["timestamp"])
     available = spark.read.parquet(f"{out}/sensor_availability")
 
-    drawing = with_component(above_threshold(power["port_power"]))
-    flows = hourly_flows(drawing, power["output_power_hourly"], power["solar_power"], power["battery_power"])
-    write_parquet(component_hours(drawing), f"{out}/component_hours", order=["sampleHour", "component"])
+    components = drawn_hours(power["port_hours"])
+    flows = hourly_flows(components, power["output_power_hourly"], power["solar_power"], power["battery_power"])
     write_parquet(flows, f"{out}/hourly_flows", order=["sampleHour"])
 
     board: Dashboard = day_tables(
-        spark.read.parquet(f"{out}/component_hours"),
+        components,
         spark.read.parquet(f"{out}/hourly_flows"),
         power["battery_power"],
         available,
@@ -160,9 +169,9 @@ def run(spark: SparkSession, inputs: Inputs, out: str, as_of: dt.date | None = N
         "trace_index": spark.read.parquet(f"{out}/trace_index"),
         "series": spark.read.parquet(f"{out}/series"),
     }
-    scanned = {name: product_payloads(spark, inputs, name) for name in ("output_power", "solar", "battery")}
+    found = {name: list_files(spark, inputs.paths(name)) for name in ("output_power", "solar", "battery")}
     row_counts(tables).write.mode("overwrite").parquet(f"{out}/job_rows")
-    file_counts(scanned).write.mode("overwrite").parquet(f"{out}/job_files")
+    file_counts(found).write.mode("overwrite").parquet(f"{out}/job_files")
     return tables
 
 

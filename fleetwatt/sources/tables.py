@@ -45,13 +45,14 @@ def read_vehicle_csv(spark: SparkSession, paths: Mapping[str, str], schema: T.St
 
 
 def laid_out(table: DataFrame, partitions: Sequence[str], order: Sequence[str], cluster: Sequence[str]) -> DataFrame:
-    """Rows of a partition and cluster key together and sorted.
+    """Rows of a partition together, and sorted by ``cluster`` and ``order`` inside it.
 
-    The rebalance hint lets adaptive execution split a vehicle or day that is
-    far larger than the others, and merge the small ones.
+    The rebalance hint lets adaptive execution split a day or vehicle that is far
+    larger than the others, and merge the small ones. Only the partition columns
+    are hashed: with more columns every task would write a file for every day.
     """
-    keys = list(dict.fromkeys([*partitions, *cluster]))
-    return table.hint("rebalance", *keys).sortWithinPartitions(*keys, *order)
+    together = list(partitions or cluster)
+    return table.hint("rebalance", *together).sortWithinPartitions(*dict.fromkeys([*partitions, *cluster]), *order)
 
 
 def _as_text(table: DataFrame) -> DataFrame:
@@ -108,11 +109,18 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return result
 
 
+def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """(file, bytes) of the files matching ``paths``; their content is not read."""
+    return spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+
+
 def file_counts(sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Files found per source as (source, n_files), from payload scans."""
+    """Files found per source as (source, n_files, bytes), from file lists."""
     counts = [
-        payloads.select("file").distinct().agg(F.count("*").alias("n_files")).select(F.lit(name).alias("source"), "n_files")
-        for name, payloads in sources.items()
+        files.agg(F.count("*").alias("n_files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).select(
+            F.lit(name).alias("source"), "n_files", "bytes"
+        )
+        for name, files in sources.items()
     ]
     result = counts[0]
     for count in counts[1:]:

@@ -19,7 +19,17 @@ from fleetwatt.operators.days import battery_change, daily_energy, day_summary,
 from fleetwatt.operators.fleet import label_table, select_vehicles, with_label
 from fleetwatt.operators.flows import hour_spine, hourly_flows, spine_join
 from fleetwatt.operators.ports import base_columns, label_ports, sensor_table, unpivot_ports, with_component
-from fleetwatt.operators.rollups import above_threshold, component_hours, component_pivot, hourly_mean, hourly_total, positive_sum
+from fleetwatt.operators.rollups import (
+    above_threshold,
+    component_hours,
+    component_pivot,
+    drawn_hours,
+    hourly_mean,
+    hourly_total,
+    port_hours,
+    positive_sum,
+    total_hours,
+)
 from fleetwatt.schemas import PALETTE, PORT_SENSORS, SensorSpec
 from tests.conftest import plan, rows
 
@@ -131,6 +141,13 @@ def test_component_pivot(spark):
     assert rows(component_hours(table)) == [(V, H10, "a", 3.0), (V, H11, "b", 3.0)]
 
 
+def test_port_hours_hold_totals_and_component_hours(spark):
+    table = port_rows(spark, [(H10, "a", 1.0), (H10, "a", 0.1), (H10, "b", 0.2), (H11, "b", 3.0), (H11, "c", None), (H12, "c", None)])
+    hours = port_hours(table)
+    assert rows(total_hours(hours)) == rows(hourly_total(table)) == [(V, H10, pytest.approx(1.3)), (V, H11, 3.0), (V, H12, 0.0)]
+    assert rows(drawn_hours(hours)) == rows(component_hours(above_threshold(table))) == [(V, H10, "a", 1.0), (V, H11, "b", 3.0)]
+
+
 def flow_inputs(spark):
     drawing = port_rows(spark, [(H10, "a", 1.0), (H10, "b", 1.0), (H11, "a", 1.0)])
     output = spark.createDataFrame([(V, H10, 5.0), (V, H12, 9.0)], "vehicle string, timestamp timestamp_ntz, total_output_power_W double")
@@ -187,6 +204,9 @@ def test_battery_only_days_are_not_listed(spark):
 def test_first_last_ties_are_fixed(spark):
     table = spark.createDataFrame([(V, H10, 3.0), (V, H10, 1.0), (V, H10, 2.0)], "vehicle string, t timestamp_ntz, p double")
     assert rows(first_last(table, "t", "p")) == [(V, D3, 1.0, 3.0)]
+    times = spark.createDataFrame([(V, H10, 3.0), (V, H11, 1.0), (V, H11, 1.0)], table.schema)
+    assert rows(first_last(times, "t", "p", tie=())) == rows(first_last(times, "t", "p")) == [(V, D3, 3.0, 1.0)]
+    assert "SortAggregate" not in plan(first_last(times, "t", "p", tie=()))
 
 
 def test_days_and_default_day(spark):
