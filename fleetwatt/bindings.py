@@ -411,7 +411,7 @@ def q_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = spread(table(spark, sf_dir, "lineitem")).select(
         F.col("l_returnflag").alias("vehicle"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias(SOURCE_ORDER),
         F.col("l_shipdate").cast("string").alias("timeStamp"),

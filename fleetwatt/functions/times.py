@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Marks of a zone in the part of an ISO text that follows the year and month.
-ZONE_MARK = r"[zZ/+-]|UTC|GMT"
+ZONE_MARKS = ("Z", "z", "+", "-", "/", "UTC", "GMT")
 
 
 def _text(column: Column) -> Column:
@@ -23,7 +24,9 @@ def to_time(column: Column, *formats: str) -> Column:
     """
     text = _text(column)
     zoned = text.try_cast("timestamp").cast("timestamp_ntz")
-    iso = F.when(F.substring(text, 10, 60).rlike(ZONE_MARK), zoned).otherwise(text.try_cast("timestamp_ntz"))
+    rest = F.substring(text, 10, 60)
+    has_zone = reduce(Column.__or__, [F.contains(rest, F.lit(mark)) for mark in ZONE_MARKS])
+    iso = F.when(has_zone, zoned).otherwise(text.try_cast("timestamp_ntz"))
     declared = [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
     return F.coalesce(*declared, iso)
 
@@ -64,3 +67,8 @@ def day_range(time: Column, first: dt.date, last: dt.date) -> Column:
 
 def day_text(column: Column) -> Column:
     return F.date_format(column, "yyyy-MM-dd")
+
+
+def updated_label() -> Column:
+    """The current UTC time as dashboards print it."""
+    return F.date_format(F.current_timestamp(), "dd-MMM yyyy HH:mm:ss 'UTC'")

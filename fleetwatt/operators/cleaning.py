@@ -32,17 +32,29 @@ def time_column(table: DataFrame, name: str, *formats: str) -> Column:
     return to_time(quoted(name), *formats)
 
 
-def keep_last(table: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def order_columns(table: DataFrame, order: Sequence[str]) -> list[Column]:
+    """The columns to sort by; a struct is sorted by its fields, which is cheaper and the same order."""
+    columns = []
+    for name in order:
+        kind = table.schema[name].dataType
+        fields = kind.names if isinstance(kind, T.StructType) else None
+        columns += [quoted(name)[field] for field in fields] if fields else [quoted(name)]
+    return columns
+
+
+def keep_last(table: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last by ``order``.
 
     Spark cuts each input partition to one row per key before the shuffle, so a
     key with very many copies sends one row per task.
     """
-    latest = Window.partitionBy(*keys).orderBy(*[F.desc(col) if isinstance(col, str) else col.desc() for col in order])
+    latest = Window.partitionBy(*keys).orderBy(*[column.desc() for column in order_columns(table, order)])
     return table.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
 
 
-def clean_time(table: DataFrame, time: str, order: Sequence[str | Column] = (SOURCE_ORDER,), by: Sequence[str] = ("vehicle",)) -> DataFrame:
+def clean_time(
+    table: DataFrame, time: str, order: Sequence[str] = (SOURCE_ORDER,), by: Sequence[str] = ("vehicle",)
+) -> DataFrame:
     """Parse ``time``, drop rows without one and keep the last row of each time."""
     parsed = table.withColumn(time, time_column(table, time)).na.drop(subset=[time])
     return keep_last(parsed, [*by, time], order)

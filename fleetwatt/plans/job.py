@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetwatt.functions.times import day_of
+from fleetwatt.functions.times import day_of, updated_label
 from fleetwatt.operators.availability import sensor_availability
 from fleetwatt.operators.cleaning import require_fields
 from fleetwatt.operators.components import sensor_order
@@ -24,7 +24,7 @@ from fleetwatt.operators.fleet import chosen_vehicles, label_table
 from fleetwatt.operators.flows import hourly_flows
 from fleetwatt.operators.ports import sensor_table, with_component
 from fleetwatt.operators.rollups import drawn_hours, port_hours, total_hours
-from fleetwatt.plans.dashboard import Dashboard, day_tables
+from fleetwatt.plans.dashboard import day_tables
 from fleetwatt.plans.environment import waves, weather
 from fleetwatt.plans.power_tables import PORT_POWER_ORDER, port_power, solar_power, summary_battery_power
 from fleetwatt.schemas import (
@@ -90,36 +90,41 @@ def product_payloads(spark: SparkSession, inputs: Inputs, product: str) -> DataF
     return vehicle_from_path(read_payloads(spark, inputs.paths(product)), inputs.vehicle_pattern())
 
 
-def power_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
-    """Write and return port, output, solar and battery power."""
-    tables = {}
+def stored(
+    table: DataFrame, path: str, order: Sequence[str] = (), partitions: Sequence[str] = (), cluster: Sequence[str] = ("vehicle",)
+) -> DataFrame:
+    """Write a table and read it back."""
+    write_parquet(table, path, order, partitions, cluster)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
-    def stored(name: str, table: DataFrame, order: Sequence[str], by_day: str | None = None) -> DataFrame:
-        if by_day:
-            table = table.withColumn("day", day_of(F.col(by_day)))
-        write_parquet(table, f"{out}/{name}", order, ["day"] if by_day else [])
-        tables[name] = spark.read.schema(table.schema).parquet(f"{out}/{name}")
-        return tables[name]
 
-    ports = port_power(records(product_payloads(spark, inputs, "output_power"), OUTPUT_RECORD), sensor_table(spark))
-    ports = stored("port_power", ports, PORT_POWER_ORDER, by_day="timestamp")
+def power_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
+    """Write and return port, output, solar and battery power."""
+    reports = records(product_payloads(spark, inputs, "output_power"), OUTPUT_RECORD)
+    by_day = port_power(reports, sensor_table(spark)).withColumn("day", day_of(F.col("timestamp")))
+    ports = stored(by_day, f"{out}/port_power", PORT_POWER_ORDER, ["day"])
     # The largest table is read once more only: all hourly figures come from its hours.
-    hours = stored("port_hours", port_hours(with_component(ports)), ["sampleHour", "component"])
-    stored("output_power_hourly", total_hours(hours), ["timestamp"])
-    stored("solar_power", solar_power(records(product_payloads(spark, inputs, "solar"), SOLAR_RECORD)), ["timeStamp"])
+    hours = stored(port_hours(with_component(ports)), f"{out}/port_hours", ["sampleHour", "component"])
+    output = stored(total_hours(hours), f"{out}/output_power_hourly", ["timestamp"])
+    solar = solar_power(records(product_payloads(spark, inputs, "solar"), SOLAR_RECORD))
     summaries = records(product_payloads(spark, inputs, "battery"), ALL_FIELDS)
-    require_fields(summaries, "fields", BATTERY_REQUIRED)
-    stored("battery_power", summary_battery_power(summaries), ["timestamp"])
-    return tables
+    if not summaries.isEmpty():
+        require_fields(summaries, "fields", BATTERY_REQUIRED)
+    return {
+        "port_power": ports,
+        "port_hours": hours,
+        "output_power_hourly": output,
+        "solar_power": stored(solar, f"{out}/solar_power", ["timeStamp"]),
+        "battery_power": stored(summary_battery_power(summaries), f"{out}/battery_power", ["timestamp"]),
+    }
 
 
 def environment_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
-    """Write and return the weather, wave and decoded sensor tables."""
+    """Write and return the weather and wave tables, and give the decoded sensor tables."""
 
     def cleaned(product: str, schema: T.StructType, build) -> DataFrame:
         found = records(product_payloads(spark, inputs, product), schema, envelopes=(BARE_LIST,))
-        write_parquet(build(require_records(found, product)), f"{out}/{product}", order=["timeStamp"])
-        return spark.read.parquet(f"{out}/{product}")
+        return stored(build(require_records(found, product)), f"{out}/{product}", ["timeStamp"])
 
     tables = {"weather": cleaned("weather", WEATHER_RECORD, weather), "waves": cleaned("waves", WAVE_RECORD, waves)}
     for product in ("airsea", "vegas"):
@@ -132,45 +137,33 @@ def environment_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[st
 def run(spark: SparkSession, inputs: Inputs, out: str, as_of: dt.date | None = None) -> dict[str, DataFrame]:
     """Build all tables below ``out`` and return them by name."""
     prepare(spark)
-    power = power_tables(spark, inputs, out)
+    tables = power_tables(spark, inputs, out)
     sources = environment_tables(spark, inputs, out)
-
-    write_parquet(sensor_availability(sources), f"{out}/sensor_availability", order=["timestamp"])
-    available = spark.read.parquet(f"{out}/sensor_availability")
-
-    components = drawn_hours(power["port_hours"])
-    flows = hourly_flows(components, power["output_power_hourly"], power["solar_power"], power["battery_power"])
-    write_parquet(flows, f"{out}/hourly_flows", order=["sampleHour"])
-
-    board: Dashboard = day_tables(
-        components,
-        spark.read.parquet(f"{out}/hourly_flows"),
-        power["battery_power"],
-        available,
-        label_table(spark),
-        as_of,
-    )
-    write_parquet(board.summary, f"{out}/day_summary", order=["day"])
-    write_parquet(board.traces, f"{out}/trace_index", order=["day", "k"])
-    write_parquet(board.colours, f"{out}/component_colours", order=["component_index"])
-    write_parquet(board.series, f"{out}/series", ["panel", "series", "x"], ["day"])
-    write_json(spark.read.parquet(f"{out}/series"), f"{out}/series_json", ["vehicle", "day"], ["panel", "series", "x"])
-
-    tables = {
-        **power,
-        **{name: sources[name] for name in ("weather", "waves")},
+    available = stored(sensor_availability(sources), f"{out}/sensor_availability", ["timestamp"])
+
+    components = drawn_hours(tables["port_hours"])
+    series = [tables[name] for name in ("output_power_hourly", "solar_power", "battery_power")]
+    flows = stored(hourly_flows(components, *series), f"{out}/hourly_flows", ["sampleHour"])
+    board = day_tables(components, flows, tables["battery_power"], available, label_table(spark), as_of)
+    points = stored(board.series, f"{out}/series", ["panel", "series", "x"], ["day"])
+    write_json(points, f"{out}/series_json", ["vehicle", "day"], ["panel", "series", "x"])
+
+    tables |= {
+        "weather": sources["weather"],
+        "waves": sources["waves"],
         "sensor_availability": available,
-        "component_hours": board.components,
-        "hourly_flows": board.flows,
-        "day_summary": spark.read.parquet(f"{out}/day_summary"),
-        "default_day": board.default_day,
-        "sensor_order": sensor_order(spark, available),
-        "component_colours": spark.read.parquet(f"{out}/component_colours"),
-        "trace_index": spark.read.parquet(f"{out}/trace_index"),
-        "series": spark.read.parquet(f"{out}/series"),
+        "component_hours": components,
+        "hourly_flows": flows,
+        "day_summary": stored(board.summary, f"{out}/day_summary", ["day"]),
+        "default_day": stored(board.default_day, f"{out}/default_day"),
+        "component_colours": stored(board.colours, f"{out}/component_colours", ["component_index"]),
+        "sensor_order": stored(sensor_order(spark, available), f"{out}/sensor_order", cluster=["rank_no"]),
+        "trace_index": stored(board.traces, f"{out}/trace_index", ["day", "k"]),
+        "series": points,
     }
     found = {name: list_files(spark, inputs.paths(name)) for name in ("output_power", "solar", "battery")}
-    row_counts(tables).write.mode("overwrite").parquet(f"{out}/job_rows")
+    counts = row_counts(tables).withColumn("updated", updated_label())
+    counts.write.mode("overwrite").parquet(f"{out}/job_rows")
     file_counts(found).write.mode("overwrite").parquet(f"{out}/job_files")
     return tables
 

@@ -72,14 +72,15 @@ def solar_power(solar_records: DataFrame, scale: int | None = None) -> DataFrame
     return positive_sum(solar_ports(solar_records), "timeStamp", "panelPower", "solar_power_W", scale=scale)
 
 
-def battery_power(time: Column, milliwatts: Column, records: DataFrame) -> DataFrame:
-    """Battery power in watts; rows without a time or a value are dropped, repeats are kept."""
-    return records.select(
+def battery_power(time: Column, milliwatts: Column, records: DataFrame, distinct: bool = False) -> DataFrame:
+    """Battery power in watts; rows without a time or a value are dropped, repeats only with ``distinct``."""
+    power = records.select(
         "vehicle", to_time(time).alias("timestamp"), milli_to_unit(to_number(milliwatts)).alias("total_battery_power_W")
     ).na.drop(subset=["timestamp", "total_battery_power_W"])
+    return power.distinct() if distinct else power
 
 
-def summary_battery_power(battery_records: DataFrame) -> DataFrame:
+def summary_battery_power(battery_records: DataFrame, distinct: bool = False) -> DataFrame:
     """Battery power from summary records in a map column ``fields``."""
     fields = F.col("fields")
-    return battery_power(fields["gliderTimeStamp"], fields["totalBatteryPower"], battery_records)
+    return battery_power(fields["gliderTimeStamp"], fields["totalBatteryPower"], battery_records, distinct)

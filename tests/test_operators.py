@@ -148,6 +148,17 @@ def test_port_hours_hold_totals_and_component_hours(spark):
     assert rows(drawn_hours(hours)) == rows(component_hours(above_threshold(table))) == [(V, H10, "a", 1.0), (V, H11, "b", 3.0)]
 
 
+def test_pivot_columns_add_up_to_the_hourly_total(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "'wg1' as vehicle", "date_trunc('hour', ts) as sampleHour", "event_type as component", "value as avg_power_W"
+    )
+    drawn = above_threshold(events)
+    names = [r.component for r in drawn.select("component").distinct().collect()]
+    wide = component_pivot(drawn, names, scale=4)
+    added = wide.select("vehicle", "sampleHour", F.round(sum(F.col(name) for name in names), 4))
+    assert rows(added) == rows(hourly_total(drawn, scale=4))
+
+
 def flow_inputs(spark):
     drawing = port_rows(spark, [(H10, "a", 1.0), (H10, "b", 1.0), (H11, "a", 1.0)])
     output = spark.createDataFrame([(V, H10, 5.0), (V, H12, 9.0)], "vehicle string, timestamp timestamp_ntz, total_output_power_W double")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fleetwatt.plans.environment import waves, weather
 from fleetwatt.plans.job import Inputs, export_csv, power_tables, run
-from fleetwatt.plans.power_tables import port_power
+from fleetwatt.plans.power_tables import port_power, preview, summary_battery_power
 from fleetwatt.operators.ports import sensor_table
 from fleetwatt.schemas import OUTPUT_RECORD, WAVE_RECORD, WEATHER_RECORD, text_fields
 from fleetwatt.sources.json_records import BARE_LIST, read_payloads, records, vehicle_from_path
@@ -221,3 +221,27 @@ def test_missing_battery_field_stops(spark, tmp_path, raw):
         (folder / name).write_text(json.dumps(content))
     with pytest.raises(KeyError, match="totalBatteryPower"):
         power_tables(spark, Inputs(str(tmp_path), target="wg1169"), f"{tmp_path}/out")
+
+
+def test_empty_power_files_give_empty_tables(spark, tmp_path):
+    folder = tmp_path / "wg1169" / "json"
+    folder.mkdir(parents=True)
+    for product in ("amps-output-power-status", "amps-solar", "amps"):
+        (folder / f"waveglider-{product}_1.json").write_text("[]")
+    tables = power_tables(spark, Inputs(str(tmp_path), target="wg1169"), f"{tmp_path}/out")
+    assert {name: table.count() for name, table in tables.items()} == dict.fromkeys(tables, 0)
+    assert tables["output_power_hourly"].columns == ["vehicle", "timestamp", "total_output_power_W"]
+
+
+def test_battery_repeats_are_dropped_on_request(spark):
+    row = ("wg1169", {"gliderTimeStamp": "2026-06-30 09:43:33", "totalBatteryPower": "1000"})
+    twice = spark.createDataFrame([row, row], "vehicle string, fields map<string,string>")
+    assert summary_battery_power(twice).count() == 2
+    assert rows(summary_battery_power(twice, distinct=True)) == [("wg1169", at("2026-06-30 09:43:33"), 1.0)]
+
+
+def test_preview_is_sorted(spark, raw):
+    found = port_power(product(spark, raw, "waveglider-amps-output-power-status_*.json", OUTPUT_RECORD), sensor_table(spark))
+    first = preview(found.where("vehicle = 'wg1169'"), 5)
+    assert [(r.slot, r.port) for r in first.collect()] == [row[:2] for row in REPORT[:5]]
+    assert "TakeOrderedAndProject" in first._jdf.queryExecution().executedPlan().toString()

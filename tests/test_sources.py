@@ -140,3 +140,18 @@ def test_json_sink_and_row_counts(spark, tmp_path):
     write_json(table, f"{tmp_path}/j")
     assert rows(spark.read.json(f"{tmp_path}/j/vehicle=wg2")) == [(2.0,)]
     assert rows(row_counts({"a": table, "b": table.where("y > 1")})) == [("a", 2), ("b", 1)]
+
+
+def test_a_hot_day_is_written_in_several_tasks(spark, tmp_path):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        table = spark.range(0, 200_000, 1, 8).selectExpr(
+            "'wg1' as vehicle", "uuid() as x", "if(id % 3 = 0, 'hot', concat('d', id % 20)) as day"
+        )
+        write_parquet(table, f"{tmp_path}/t", ["x"], ["day"])
+    finally:
+        spark.conf.set(key, before)
+    assert len(list((tmp_path / "t" / "day=hot").glob("*.parquet"))) > 4
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 200_000
