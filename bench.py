@@ -1,7 +1,7 @@
 """Seconds per query on local cores; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default: all),
-BENCH_RUNS (default 1) timed runs per query, of which the fastest counts, and
+BENCH_RUNS (default 2) timed runs per query, of which the fastest counts, and
 BENCH_QUERIES (comma separated, default: all) choose what is run.
 """
 
@@ -18,7 +18,7 @@ from fleetwatt.session import build_session
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     wanted = [name for name in os.environ.get("BENCH_QUERIES", "").split(",") if name]
     spark = build_session(
         "bench",

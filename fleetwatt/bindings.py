@@ -548,10 +548,10 @@ def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     stream = stream_parquet(spark, stream_path(sf_dir))
     out = shared_dir(spark, "stream-hourly")
-    stats = hourly_stats(stream, "ts", "value", ["event_type"], whole_span(spark, sf_dir))
+    stats = hourly_stats(stream, "ts", "value", ["event_type"], whole_span(spark, sf_dir), scale=SCALE)
     maintain(stats, f"{out}/result", f"{out}/checkpoint")
     return newest(spark, f"{out}/result", ["event_type"]).select(
-        "event_type", F.col("sampleHour").alias("sample_hour"), F.round("mean_value", 6).alias("mean_value"), "n"
+        "event_type", F.col("sampleHour").alias("sample_hour"), "total", "mean_value", "n"
     )
 
 

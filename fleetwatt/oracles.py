@@ -226,7 +226,8 @@ ORACLES = {
         select (count(*) + count(*) filter (event_type = 'purchase'))::bigint as n from events""",
     "q_csv_roundtrip": "select event_type, event_id, ts, value, props from events",
     "q_stream_hourly": """
-        select event_type, date_trunc('hour', ts) as sample_hour, round(avg(value), 6) as mean_value, count(*)::bigint as n
+        select event_type, date_trunc('hour', ts) as sample_hour, sum(value::decimal(18,4))::double as total,
+               sum(value::decimal(18,4))::double / count(*) as mean_value, count(*)::bigint as n
         from events group by 1, 2""",
     "q_stream_dedup": "select event_id, ts, value from events",
     "q_restate_days": """

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetwatt.functions.numbers import total
 from fleetwatt.streaming.ingest import drain
 
 # Raw files of yesterday and today are fetched again by every run.
@@ -20,16 +21,25 @@ REFETCH_HORIZON = "48 hours"
 
 
 def hourly_stats(
-    stream: DataFrame, time: str, value: str, by: Sequence[str], delay: str = REFETCH_HORIZON
+    stream: DataFrame,
+    time: str,
+    value: str,
+    by: Sequence[str],
+    delay: str = REFETCH_HORIZON,
+    scale: int | None = None,
 ) -> DataFrame:
-    """Sum, mean and count per tumbling hour."""
+    """Sum, mean and count per tumbling hour.
+
+    With ``scale`` the figures come from a decimal sum and so do not depend on
+    the batches in which the rows arrive.
+    """
     # A watermark needs a zoned time; the session zone is UTC.
     timed = stream.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
-    return (
-        timed.groupBy(*by, F.window("_time", "1 hour").alias("_hour"))
-        .agg(F.sum(value).alias("total"), F.avg(value).alias("mean_value"), F.count(value).alias("n"))
-        .select(*by, F.col("_hour.start").cast("timestamp_ntz").alias("sampleHour"), "total", "mean_value", "n")
+    hours = timed.groupBy(*by, F.window("_time", "1 hour").alias("_hour")).agg(
+        total(F.col(value), scale).alias("total"), F.count(value).alias("n")
     )
+    mean = F.try_divide("total", "n").alias("mean_value")
+    return hours.select(*by, F.col("_hour.start").cast("timestamp_ntz").alias("sampleHour"), "total", mean, "n")
 
 
 def maintain(stats: DataFrame, out: str, checkpoint: str) -> None:
