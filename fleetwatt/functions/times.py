@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Marks of a zone in the part of an ISO text that follows the year and month.
-ZONE_MARKS = ("Z", "z", "+", "-", "/", "UTC", "GMT")
+ZONE_MARK = r"[zZ/+-]|UTC|GMT"
 
 
 def _text(column: Column) -> Column:
@@ -24,9 +23,8 @@ def to_time(column: Column, *formats: str) -> Column:
     """
     text = _text(column)
     zoned = text.try_cast("timestamp").cast("timestamp_ntz")
-    rest = F.substring(text, 10, 60)
-    has_zone = reduce(Column.__or__, [F.contains(rest, F.lit(mark)) for mark in ZONE_MARKS])
-    iso = F.when(has_zone, zoned).otherwise(text.try_cast("timestamp_ntz"))
+    # One pattern, since Spark evaluates ``text`` anew for every reference to it.
+    iso = F.when(F.substring(text, 10, 60).rlike(ZONE_MARK), zoned).otherwise(text.try_cast("timestamp_ntz"))
     declared = [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
     return F.coalesce(*declared, iso)
 
