@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatt.llm.common import text_steps
+from fleetwatt.llm.common import stored, text_steps
 
 ORDER = 3
 BOUNDARY = 0xFF  # not a byte of UTF-8
@@ -57,7 +57,7 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 def gram_counts(texts: DataFrame) -> DataFrame:
     """kind, gram, n: how often each byte 4-gram occurs in the texts of each kind; NULL text is empty.
 
-    Tasks add up before they hand on, so a frequent gram or kind is one row per task.
+    The counts are stored, since the tree reads them twice. Tasks add up before they hand on, so a frequent gram or kind is one row per task.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,12 +97,13 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 yield from flush()
         yield from flush()
 
-    return (
+    counted = (
         texts.select("text", F.col("kind").cast("string").alias("kind"))
         .mapInArrow(count, "kind string, gram long, n long")
         .groupBy("kind", "gram")
         .agg(F.sum("n").alias("n"))
     )
+    return stored(counted, "grams")
 
 
 @dataclass
@@ -140,16 +141,31 @@ class Tree:
 def build(counts: DataFrame, max_grams: int = MAX_GRAMS, max_rows: int = MAX_ROWS) -> Tree:
     """The tree of counts ``kind, gram, n``.
 
-    Of each kind the ``max_grams`` most frequent 4-grams are kept, and of all
-    kinds together the ``max_rows`` most frequent contexts of three symbols (fewer
-    with many kinds) have a row of their own; others fall to their shorter context. This bounds
-    the model whatever the size of the corpus. Without counts there are no
-    kinds. Ties go to the smaller gram.
+    Of each kind at most ``max_grams`` 4-grams are kept, the more frequent ones:
+    all from the lowest class of frequencies on that stays within the bound.
+    Of all kinds together the ``max_rows`` most frequent contexts of three
+    symbols (fewer with many kinds) have a row of their own; others fall to
+    their shorter context. This bounds the model whatever the size of the
+    corpus. Without counts there are no kinds.
     """
-    from pyspark.sql import Window
-
-    ranked = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "gram"))
-    rows = counts.withColumn("place", ranked).where(F.col("place") <= max_grams).select("kind", "gram", "n").toArrow()
+    # Classes of frequencies, 16 for each doubling: a few hundred rows per kind.
+    level = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
+    classed = counts.withColumn("level", level)
+    sizes = classed.groupBy("kind", "level").agg(F.count("*").alias("grams")).collect()
+    lowest: dict[str, int] = {}
+    for kind in {row.kind for row in sizes}:
+        room = max_grams
+        for row in sorted((r for r in sizes if r.kind == kind), key=lambda r: -r.level):
+            room -= row.grams
+            if room < 0:
+                break
+            lowest[kind] = row.level
+    if not lowest:
+        return from_counts(np.array([], object), np.array([], np.uint32), np.array([]), max_rows)
+    wanted = F.lit(False)
+    for kind, least in lowest.items():
+        wanted = wanted | ((F.col("kind") == kind) & (F.col("level") >= least))
+    rows = classed.where(wanted).select("kind", "gram", "n").toArrow()
     kind = np.array(rows.column("kind").to_pylist(), object)
     gram = rows.column("gram").to_numpy().astype(np.uint32)
     n = rows.column("n").to_numpy().astype(np.float64)
