@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetwatt.llm.decontamination import OP1_SQL, op1_decontamination
 from fleetwatt.llm.language_id import op10_language_id
 from fleetwatt.llm.lm_scoring import op9_lm_scoring
+from fleetwatt.llm.ngram_join import op2_ngram_join
 from fleetwatt.llm.packing import op4_packing
 from fleetwatt.llm.quality import op6_quality_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_ngram_join": op2_ngram_join,
     "op4_packing": op4_packing,
     "op6_quality_classifier": op6_quality_classifier,
     "op9_lm_scoring": op9_lm_scoring,
