@@ -11,13 +11,14 @@ task is cut at powers of two, where no padding is due.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,49 +27,90 @@ from fleetwatt.llm.common import id_text, table, text_steps
 CAPACITY = 4096
 END_ID = 2
 POOL = 4096
-KNOWN_WORDS = 1 << 18
+# Words and parts of words whose ids a worker keeps.
+KNOWN_WORDS = 3 << 19
 OUT_BYTES = 4 << 20
 
-# The tokenizer's own way to cut a text, here only for texts of plain Latin-1
-# characters, where lower case and character classes are beyond doubt.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-UNSURE = regex.compile(r"[^\t\n\r\x20-\x7E\xA1-\xFF]|<\|")
+# How the tokenizer cuts a text, for texts of these Latin-1 characters only, where
+# lower case and character classes are beyond doubt. White space always cuts.
+PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
+LETTER = r"a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+NUMBER = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTER}]+|[{NUMBER}]|[^\s{LETTER}{NUMBER}]+")
+SPECIAL = "<|"
+WORD_END = "</w>"
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes. Ids of a word are found once and kept."""
+    """Ids of texts as little-endian 32-bit bytes. Ids of a word are found once and kept for the worker's life."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def parts_of(self, parts: list[str], together: int = 1000) -> Iterator[bytes]:
+        """Ids of each part; many go through the tokenizer as one text, since each ends with an id of a word end."""
+        for at in range(0, len(parts), together):
+            some = parts[at : at + together]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some) or cuts[-1] != len(ids):
+                yield from self.whole(some)
+                continue
+            raw, last = ids.tobytes(), 0
+            for cut in (4 * cuts).tolist():
+                yield raw[last:cut]
+                last = cut
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        plain: list[tuple[int, list[str]]] = []
+        simple: list[tuple[int, list[str]]] = []
         unsure: list[int] = []
         for i, text in enumerate(texts):
-            if UNSURE.search(text):
-                unsure.append(i)
+            if plain(text):
+                simple.append((i, text.lower().split()))
             else:
-                plain.append((i, WORDS.findall(text.lower())))
+                unsure.append(i)
         for i, ids in zip(unsure, self.whole([texts[i] for i in unsure]), strict=True):
             out[i] = ids
-        if len(self.words) > KNOWN_WORDS:
+        if len(self.words) + len(self.parts) > KNOWN_WORDS:
             self.words.clear()
-        missing = list(set().union(*(words for _, words in plain)).difference(self.words)) if plain else []
-        self.words.update(zip(missing, self.whole(missing), strict=True))
-        for i, words in plain:
+            self.parts.clear()
+        missing = set().union(*(words for _, words in simple)).difference(self.words) if simple else set()
+        if missing:
+            cut = {word: PARTS.findall(word) for word in missing}
+            parts = list(set().union(*cut.values()).difference(self.parts))
+            self.parts.update(zip(parts, self.parts_of(parts), strict=True))
+            ids_of = self.parts.__getitem__
+            self.words.update((word, b"".join(map(ids_of, own))) for word, own in cut.items())
+        for i, words in simple:
             out[i] = b"".join(map(self.words.__getitem__, words))
         return out
 
 
+@functools.lru_cache(maxsize=2)
+def encoder_for(path: str) -> Encoder:
+    return Encoder(path)
+
+
+def plain(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, PLAIN) and SPECIAL not in text
+    except UnicodeEncodeError:
+        return False
+
+
 def closest(lengths: list[int], counts: dict[int, int], room: int) -> tuple[dict[int, int], int]:
     """How many of each length fill ``room`` best, and the sum; ``lengths`` in the order of preference.
 
@@ -195,7 +237,7 @@ def pack(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = Encoder(tokenizer)
+        encoder = encoder_for(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 40
         pool = Pool(capacity)
