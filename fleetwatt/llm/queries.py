@@ -12,11 +12,13 @@ from fleetwatt.llm.lm_scoring import op9_lm_scoring
 from fleetwatt.llm.ngram_join import op2_ngram_join
 from fleetwatt.llm.packing import op4_packing
 from fleetwatt.llm.quality import op6_quality_classifier
+from fleetwatt.llm.secrets import op5_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_join": op2_ngram_join,
     "op4_packing": op4_packing,
+    "op5_secret_scan": op5_secret_scan,
     "op6_quality_classifier": op6_quality_classifier,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
