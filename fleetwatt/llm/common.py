@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import fleetwatt
 from fleetwatt.session import shared_dir
 
 # Bytes of text that one step of a Python task works on; a longer document is a step of its own.
 STEP_BYTES = 2 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import this package from where the driver has it.
+
+    On a cluster the package is sent along (``--py-files``) or installed.
+    """
+    root = str(Path(fleetwatt.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = [part for part in environment.get("PYTHONPATH", "").split(os.pathsep) if part]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

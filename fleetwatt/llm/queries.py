@@ -2,26 +2,45 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetwatt.llm.common import importable
 from fleetwatt.llm.decontamination import OP1_SQL, op1_decontamination
 from fleetwatt.llm.language_id import op10_language_id
 from fleetwatt.llm.lm_scoring import op9_lm_scoring
 from fleetwatt.llm.ngram_join import op2_ngram_join
 from fleetwatt.llm.packing import op4_packing
+from fleetwatt.llm.pii import op3_pii
 from fleetwatt.llm.quality import op6_quality_classifier
 from fleetwatt.llm.secrets import op5_secret_scan
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_decontamination": op1_decontamination,
-    "op2_ngram_join": op2_ngram_join,
-    "op4_packing": op4_packing,
-    "op5_secret_scan": op5_secret_scan,
-    "op6_quality_classifier": op6_quality_classifier,
-    "op9_lm_scoring": op9_lm_scoring,
-    "op10_language_id": op10_language_id,
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def ready(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {
+    query.__name__: ready(query)
+    for query in (
+        op1_decontamination,
+        op2_ngram_join,
+        op3_pii,
+        op4_packing,
+        op5_secret_scan,
+        op6_quality_classifier,
+        op9_lm_scoring,
+        op10_language_id,
+    )
 }
 
 ORACLES: dict[str, str] = {
