@@ -11,6 +11,7 @@ from fleetwatt.llm.common import importable
 from fleetwatt.llm.decontamination import OP1_SQL, op1_decontamination
 from fleetwatt.llm.language_id import op10_language_id
 from fleetwatt.llm.lm_scoring import op9_lm_scoring
+from fleetwatt.llm.nearest import op7_nearest
 from fleetwatt.llm.ngram_join import op2_ngram_join
 from fleetwatt.llm.packing import op4_packing
 from fleetwatt.llm.pii import op3_pii
@@ -38,6 +39,7 @@ QUERIES: dict[str, Query] = {
         op4_packing,
         op5_secret_scan,
         op6_quality_classifier,
+        op7_nearest,
         op9_lm_scoring,
         op10_language_id,
     )
