@@ -3,7 +3,8 @@
 1. Every document gets its n-gram set, and from it a digest, MinHash bands and
    a sketch (one byte of each MinHash value). Equal sets are one class.
 2. Classes that share a band meet in a bucket. Their sketches drop pairs that
-   are far below the threshold; what remains is linked by a spanning forest.
+   are far below the threshold; what remains is linked, each class to the
+   smallest it reaches.
 3. The linked classes form groups. Each group brings its full n-gram sets
    together once, and all its pairs are verified on them.
 
@@ -29,8 +30,9 @@ N = 5
 THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
 MAX_HASHES = 128
+# Rows of a block: of sketches, and of n-gram sets. Groups of more than 24 blocks have larger ones, up to 8 times.
+SKETCH_BLOCK = 512
 BLOCK = 128
-LARGEST_BLOCK = 1024
 NO_ID = -(1 << 63)
 # Columns of a dense product in verification.
 SPAN = 1 << 14
@@ -115,13 +117,13 @@ def signatures(documents: DataFrame, bands: int, rows: int) -> DataFrame:
     return documents.mapInArrow(sign, "doc_id long, node long, bands array<long>, sketch binary")
 
 
-def dealt(df: DataFrame, size: str, largest: int) -> DataFrame:
+def dealt(df: DataFrame, size: str, least: int, largest: int) -> DataFrame:
     """One row per pair of blocks that a row takes part in: adds i <= j and ``own``, the row's block.
 
     A group of ``size`` rows has as many blocks as it needs; a small one is the
     pair (0, 0) alone. The block of a row follows from its node.
     """
-    block = F.greatest(F.lit(BLOCK), F.least(F.lit(largest), F.floor(F.col(size) / 24)))
+    block = F.greatest(F.lit(least), F.least(F.lit(largest), F.floor(F.col(size) / 24)))
     blocks = F.ceil(F.col(size) / block).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(2)), blocks).cast("int")
     return (
@@ -133,6 +135,12 @@ def dealt(df: DataFrame, size: str, largest: int) -> DataFrame:
     )
 
 
+def together(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of one key in one task and in order. The number of tasks is given, since few bytes may be much work."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys).sortWithinPartitions(*keys)
+
+
 def groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
     """Runs of rows equal in the first ``width`` columns, from batches in that order."""
     held: list[pa.RecordBatch] = []
@@ -157,25 +165,19 @@ def groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links that ``linked`` marks between the rows ``left`` and ``right`` by number."""
-    a, b = np.nonzero(linked)
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    out = []
-    for x, y in zip(left[a].tolist(), right[b].tolist(), strict=True):
-        p, q = root(x), root(y)
-        if p != q:
-            parent[max(p, q)] = min(p, q)
-            out.append((x, y))
-            if len(out) >= len(left) + len(right):
-                break
-    return out
+def reached(linked: np.ndarray, left: np.ndarray, right: np.ndarray, count: int) -> np.ndarray:
+    """Of ``count`` rows the smallest row number each is connected with, by links between ``left`` and ``right``."""
+    label = np.arange(count)
+    any_left, any_right = linked.any(1), linked.any(0)
+    left, right, linked = left[any_left], right[any_right], linked[any_left][:, any_right]
+    while linked.size:
+        before = label.copy()
+        np.minimum.at(label, left, np.where(linked, label[right][None, :], count).min(1))
+        np.minimum.at(label, right, np.where(linked, label[left][:, None], count).min(0))
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
 
 
 def sides(own: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
@@ -186,6 +188,16 @@ def sides(own: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(own == i), np.flatnonzero(own == j)
 
 
+def agreement(sketch: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """In how many places the sketches ``left`` equal the sketches ``right``."""
+    if len(left) * len(right) <= 4096:
+        return (sketch[left][:, None, :] == sketch[right][None, :, :]).sum(2)
+    out = np.zeros((len(left), len(right)), np.int16)
+    for place in np.ascontiguousarray(sketch.T):
+        out += place[left][:, None] == place[right][None, :]
+    return out
+
+
 def candidate_links(classes: DataFrame, bands: int, rows: int, threshold: float) -> DataFrame:
     """Links a, b between classes that share a band and whose sketches do not rule them out."""
     hashes = bands * rows
@@ -195,7 +207,7 @@ def candidate_links(classes: DataFrame, bands: int, rows: int, threshold: float)
     entries = classes.select("node", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = entries.join(shared, "bucket").join(classes.select("node", "sketch"), "node")
-    spread_out = dealt(members, "size", LARGEST_BLOCK).select("bucket", "i", "j", "own", "node", "sketch")
+    spread_out = dealt(members, "size", SKETCH_BLOCK, 8 * SKETCH_BLOCK).select("bucket", "i", "j", "own", "node", "sketch")
     keys = ["bucket", "i", "j"]
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,24 +218,24 @@ def candidate_links(classes: DataFrame, bands: int, rows: int, threshold: float)
                 continue
             i, j = group.column(1)[0].as_py(), group.column(2)[0].as_py()
             node = group.column(4).to_numpy()
-            sketch = np.frombuffer(b"".join(group.column(5).to_pylist()), np.uint8).reshape(len(node), hashes)
-            left, right = sides(group.column(3).to_numpy(), i, j)
-            linked = np.zeros((len(left), len(right)), np.int16)
-            for h in range(hashes):
-                linked += sketch[left, h][:, None] == sketch[right, h][None, :]
-            enough = linked >= least
+            order = np.argsort(node)
+            node = node[order]
+            sketch = np.frombuffer(b"".join(group.column(5).to_pylist()), np.uint8).reshape(len(node), hashes)[order]
+            left, right = sides(group.column(3).to_numpy()[order], i, j)
+            alike = agreement(sketch, left, right) >= least
             if i == j:
-                enough = np.triu(enough, 1)
-            for x, y in forest(enough, left, right):
-                a.append(int(node[x]))
-                b.append(int(node[y]))
+                np.fill_diagonal(alike, False)
+            root = reached(alike, left, right, len(node))
+            linked = np.flatnonzero(root != np.arange(len(node)))
+            a += node[linked].tolist()
+            b += node[root[linked]].tolist()
             if len(a) > 1 << 16:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
                 a, b = [], []
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return spread_out.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(link, "a long, b long")
+    return together(spread_out, keys).mapInArrow(link, "a long, b long")
 
 
 def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -249,12 +261,13 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
 
 
 def verified(documents: DataFrame, grouped: DataFrame, threshold: float) -> DataFrame:
-    """node, links, a, b: verified partners of a class in one pair of blocks, and links of a spanning forest.
+    """node, links, a, b: verified partners of a class in one pair of blocks, and links to the smallest class reached.
 
     ``grouped(doc_id, node, size, root, members)`` names a document of each
     class, the number of its copies, its group and the size of that group.
     """
-    texts = documents.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").join(grouped, "doc_id")
+    # Shuffled at every size: the groups grow with the corpus.
+    texts = documents.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").join(grouped.hint("merge"), "doc_id")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_steps(batches):
@@ -275,7 +288,7 @@ def verified(documents: DataFrame, grouped: DataFrame, threshold: float) -> Data
         expand, "node long, size long, root long, members long, grams binary"
     )
     keys = ["root", "i", "j"]
-    spread_out = dealt(sets, "members", LARGEST_BLOCK).select(*keys, "own", "node", "size", "grams")
+    spread_out = dealt(sets, "members", BLOCK, 8 * BLOCK).select(*keys, "own", "node", "size", "grams")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, 3):
@@ -297,17 +310,17 @@ def verified(documents: DataFrame, grouped: DataFrame, threshold: float) -> Data
             gained[left] += linked @ size[right]
             if i != j:
                 gained[right] += linked.T @ size[left]
-            edges = forest(np.triu(linked, 1) if i == j else linked, left, right)
+            root = reached(linked, left, right, len(node))
+            child = np.flatnonzero(root != np.arange(len(node)))
             has = np.flatnonzero(gained)
             none = pa.nulls(len(has), pa.int64())
             if len(has):
                 yield pa.RecordBatch.from_arrays([pa.array(node[has]), pa.array(gained[has]), none, none], names=["node", "links", "a", "b"])
-            if edges:
-                x, y = (node[list(e)] for e in zip(*edges, strict=True))
-                none = pa.nulls(len(x), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, pa.array(x), pa.array(y)], names=["node", "links", "a", "b"])
+            if len(child):
+                none = pa.nulls(len(child), pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(node[child]), pa.array(node[root[child]])], names=["node", "links", "a", "b"])
 
-    return spread_out.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(verify, "node long, links long, a long, b long")
+    return together(spread_out, keys).mapInArrow(verify, "node long, links long, a long, b long")
 
 
 def join(documents: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
