@@ -16,6 +16,7 @@ from fleetwatt.llm.ngram_join import op2_ngram_join
 from fleetwatt.llm.packing import op4_packing
 from fleetwatt.llm.pii import op3_pii
 from fleetwatt.llm.quality import op6_quality_classifier
+from fleetwatt.llm.repeats import op8_repeats
 from fleetwatt.llm.secrets import op5_secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,7 @@ QUERIES: dict[str, Query] = {
         op5_secret_scan,
         op6_quality_classifier,
         op7_nearest,
+        op8_repeats,
         op9_lm_scoring,
         op10_language_id,
     )
