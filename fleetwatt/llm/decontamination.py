@@ -93,6 +93,15 @@ def item_windows(items: DataFrame) -> DataFrame:
     return cut.select("item_id", n.alias("n"), F.explode(every).alias("words")).distinct()
 
 
+KEY = ["_i", "_r"]
+
+
+def keys() -> list[Column]:
+    """Two numbers that tell rows apart: the id (0 if NULL), and a hash of id and text."""
+    doc_id = F.col("doc_id").cast("long")
+    return [F.coalesce(doc_id, F.lit(0)).alias("_i"), F.xxhash64(doc_id, F.col("text").cast("string")).alias("_r")]
+
+
 def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Per row of ``documents(doc_id, text)``: doc_id, n_words, hits, item_ids.
 
@@ -101,14 +110,30 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
     clean, empty and NULL texts, or without items. Repeated rows give equal rows,
     rows that share an id but not a text are judged apart, NULL ids are kept.
     """
-    # Two columns tell rows apart: the id, and a hash of id and text.
-    keyed = documents.select(
+    counted = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_i"),
-        F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias("_r"),
-        F.col("text").cast("string").alias("text"),
+        *keys(),
+        F.size(split_words(F.coalesce(F.col("text").cast("string"), F.lit("")))).cast("long").alias("n_words"),
+    )
+    return counted.join(hits_by_key(documents, items), KEY, "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("hits", F.array().cast(AT)).alias("hits"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
     )
-    key = ["_i", "_r"]
+
+
+def clean(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``documents``, with all their columns, in which no item window occurs."""
+    hit = hits_by_key(documents, items).select(F.col("_i").alias("_hit_i"), F.col("_r").alias("_hit_r"))
+    doc_id, text_hash = keys()
+    return documents.join(hit, (doc_id == F.col("_hit_i")) & (text_hash == F.col("_hit_r")), "left_anti")
+
+
+def hits_by_key(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """KEY, hits, item_ids of the rows with hits."""
+    keyed = documents.select(*keys(), F.col("text").cast("string").alias("text"))
+    key = KEY
     windows = stored(item_windows(items), "item-windows")
     whole = windows.where(F.col("n") == WINDOW)
     item_prints = fingerprints(whole.select(F.col("words").alias("w"))).select("print").distinct()
@@ -139,18 +164,11 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
             )
         ),
     )
-    hits = (
+    return (
         compared.join(windows, ["n", "words"])
         .groupBy(*key)
         .agg(F.collect_set(F.struct("start", "n")).alias("hits"), F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     )
-    counted = keyed.select("doc_id", *key, F.size(split_words(F.coalesce("text", F.lit("")))).cast("long").alias("n_words"))
-    return counted.join(hits, key, "left").select(
-        "doc_id",
-        "n_words",
-        F.coalesce("hits", F.array().cast(AT)).alias("hits"),
-        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
-    )
 
 
 def short_candidates(worded: DataFrame, windows: DataFrame, n: int, key: list[str]) -> DataFrame:

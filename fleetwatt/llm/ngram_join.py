@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwatt.llm.common import stored, table, text_steps
@@ -372,6 +372,19 @@ def join(documents: DataFrame, threshold: float = THRESHOLD, recall: float = TAR
     return worded.unionByName(wordless)
 
 
+def one_of_each(documents: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
+    """The rows of ``documents``, with all their columns, that are the first (by id) of their class.
+
+    Of rows that share an id the one with the smallest text stays. Rows without
+    id cannot be told apart from others by it and all stay.
+    """
+    first = join(documents, threshold, recall).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_first")).distinct()
+    named = documents.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
+    order = Window.partitionBy("doc_id").orderBy("text")
+    single = named.withColumn("_place", F.row_number().over(order)).where(F.col("_place") == 1).drop("_place")
+    return single.unionByName(documents.where(F.col("doc_id").isNull()))
+
+
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
     """Classes and numbers of links of all documents."""
     return join(table(spark, sf_dir, "documents"))

@@ -289,9 +289,13 @@ def pack(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id:
     )
 
 
+def digests(pieces: DataFrame) -> DataFrame:
+    """Pieces with the checksum of their ids in place of the ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op4_packing(spark, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 4096 ids."""
     import public_tokenizers
 
-    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return digests(pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))

@@ -146,25 +146,41 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_L
     return Compressors(good, bad, slope, offset)
 
 
+def scores(model: Compressors, compressors: tuple, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    whole = data.tobytes()
+    x = np.array([difference(whole[a:b], *compressors) for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+    return 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -700, 700)))
+
+
 def score(documents: DataFrame, model: Compressors) -> DataFrame:
-    """All columns of ``documents`` given here as doc_id and text, with ``score`` from 0 to 1.
+    """doc_id and ``score`` from 0 to 1 of each row of ``documents(doc_id, text)``.
 
     Empty and NULL texts have no difference and get the score of the offset.
-    Each row is judged alone by its whole text; repeated rows give equal scores.
+    Each row is judged alone by its whole text; repeated rows give equal scores,
+    rows without id stay. Other columns are left out.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        good, bad = known.open()
+        opened = known.open()
+        for batch, data, offsets in text_steps(batches):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(known, opened, data, offsets))], names=["doc_id", "score"])
+
+    return id_text(documents).mapInArrow(judge, "doc_id long, score double")
+
+
+def accepted(documents: DataFrame, model: Compressors, accept: float = ACCEPT) -> DataFrame:
+    """The rows of ``documents``, with all their columns, whose text scores at least ``accept``."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        opened = known.open()
         for batch, data, offsets in text_steps(batches):
-            whole = data.tobytes()
-            x = np.array([difference(whole[a:b], good, bad) for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
-            p = 1 / (1 + np.exp(-np.clip(known.slope * x + known.offset, -700, 700)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "score"])
+            yield batch.filter(pa.array(scores(known, opened, data, offsets) >= accept))
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema.fields)
-    return documents.mapInArrow(judge, f"{kinds}, score double")
+    return documents.mapInArrow(choose, documents.schema)
 
 
 def op6_quality_classifier(spark, sf_dir: str) -> DataFrame:
