@@ -9,9 +9,11 @@ output, click: solar, purchase: battery). ``lineitem`` plays the port reports,
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +22,7 @@ from fleetwatt.functions.times import day_of, day_range, hour_of, to_time
 from fleetwatt.operators.availability import sensor_availability
 from fleetwatt.operators.census import census
 from fleetwatt.operators.cleaning import blank_marks, keep_last, missing_fields
-from fleetwatt.operators.components import component_colours, sensor_order, trace_index
+from fleetwatt.operators.components import component_colours, in_sensor_order, sensor_order, trace_index
 from fleetwatt.operators.days import (
     battery_change,
     daily_energy,
@@ -29,8 +31,9 @@ from fleetwatt.operators.days import (
     default_day,
     first_last,
     flag_default_day,
+    with_titles,
 )
-from fleetwatt.operators.fleet import label_table, with_label
+from fleetwatt.operators.fleet import label_table, select_vehicles, with_label
 from fleetwatt.operators.flows import hour_spine, hourly_flows, spine_join
 from fleetwatt.operators.order import first_rows
 from fleetwatt.operators.ports import label_ports, sensor_table, unpivot_ports, with_component
@@ -45,14 +48,22 @@ from fleetwatt.operators.rollups import (
 )
 from fleetwatt.operators.series import series_table
 from fleetwatt.plans.environment import waves, weather
-from fleetwatt.plans.power_tables import battery_power, port_power, solar_power
-from fleetwatt.schemas import OUTPUT_RECORD, SOLAR_RECORD, WAVE_RECORD, WEATHER_RECORD, SensorSpec, text_fields
+from fleetwatt.plans.power_tables import PORT_POWER_ORDER, battery_power, port_power, solar_power
+from fleetwatt.schemas import OUTPUT_RECORD, PANEL_RECORD, WAVE_RECORD, WEATHER_RECORD, SensorSpec, text_fields
 from fleetwatt.session import prepare, shared_dir
-from fleetwatt.sources.json_records import ALL_FIELDS, BARE_LIST, SOURCE_ORDER, file_census, read_payloads, records
-from fleetwatt.sources.tables import read_csv, row_counts, spread, write_csv
+from fleetwatt.sources.json_records import (
+    ALL_FIELDS,
+    BARE_LIST,
+    SOURCE_ORDER,
+    file_census,
+    read_payloads,
+    records,
+    vehicle_from_path,
+)
+from fleetwatt.sources.tables import file_counts, list_files, read_csv, row_counts, write_csv, write_parquet
 from fleetwatt.streaming.dedup import drop_repeats
-from fleetwatt.streaming.hourly import hourly_stats, maintain, newest
-from fleetwatt.streaming.ingest import drain, stream_parquet
+from fleetwatt.streaming.hourly import hourly_store, mark_late
+from fleetwatt.streaming.ingest import drain
 from fleetwatt.streaming.restate import DayStore
 
 TABLES = (
@@ -138,7 +149,8 @@ def q_positive_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_component_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = above_threshold(telemetry(spark, sf_dir), "value")
-    return component_pivot(rows, EVENT_TYPES, "value", scale=SCALE).withColumnRenamed("sampleHour", "sample_hour")
+    # One component is off the list.
+    return component_pivot(rows, EVENT_TYPES[:-1], "value", scale=SCALE, other="other").withColumnRenamed("sampleHour", "sample_hour")
 
 
 def q_component_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,18 +280,42 @@ def q_port_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_component(label_ports(ports, names)).groupBy("component").agg(F.count("*").alias("n"))
 
 
+PORT_COLUMNS = (
+    "vehicle timestamp sampleHour domain slot port sensor avg_power_W avg_voltage_V avg_current_A port_status".split()
+)
+
+
+def port_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each lineitem as a raw report of two ports, one of them with a name."""
+    return payloads(
+        table(spark, sf_dir, "lineitem"),
+        "l_returnflag",
+        """struct(cast(l_shipdate as string) as timeStamp, l_linenumber as powerDomain,
+        l_partkey as portNumber1, l_suppkey as moduleNumber1, l_quantity as avgPower1, l_extendedprice as avgVoltage1,
+        l_discount as avgCurrent1, l_linenumber as portStatus1,
+        1 as portNumber33, l_linenumber as moduleNumber33, l_tax as avgPower33, 'n/a' as avgVoltage33)""",
+    )
+
+
 def q_port_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_returnflag").alias("vehicle"),
-        F.col("l_shipdate").alias("timestamp"),
-        hour_of(F.col("l_shipdate")).alias("sample_hour"),
-        F.col("l_linenumber").alias("domain"),
-        F.col("l_suppkey").alias("slot"),
-        F.col("l_partkey").alias("port"),
-        F.col("l_quantity").alias("avg_power_w"),
-        F.col("l_extendedprice").alias("avg_voltage_v"),
-        F.col("l_discount").alias("avg_current_a"),
-        F.col("l_linestatus").alias("port_status"),
+    """All columns of the port table from raw JSON reports."""
+    ports = port_power(records(port_reports(spark, sf_dir), OUTPUT_RECORD), sensor_table(spark))
+    return ports.select(*[F.col(name).alias(re.sub("(?<!^)([A-Z])", r"_\1", name).lower().replace("__", "_")) for name in PORT_COLUMNS])
+
+
+def q_port_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The port table as its files hold it, and whether any row's sort key falls below that of the row before."""
+    out = shared_dir(spark, "ports")
+    ports = port_power(records(port_reports(spark, sf_dir), OUTPUT_RECORD), sensor_table(spark))
+    write_parquet(ports, out, PORT_POWER_ORDER)
+    rows = spark.read.parquet(out).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_place")
+    )
+    inside = Window.partitionBy("_file", "vehicle").orderBy("_place")
+    before = F.struct(*[F.lag(name).over(inside).alias(name) for name in PORT_POWER_ORDER])
+    falls = F.col("_before.timestamp").isNotNull() & (F.struct(*PORT_POWER_ORDER) < F.col("_before"))
+    return rows.withColumn("_before", before).groupBy("vehicle").agg(
+        F.count("*").alias("n"), F.count_if(falls).alias("out_of_order")
     )
 
 
@@ -294,7 +330,7 @@ def payloads(rows: DataFrame, vehicle: str, record: str) -> DataFrame:
     """Each row as the JSON payload of one record, in the form a file scan delivers."""
     text = F.concat(F.lit('{"recordData":['), F.to_json(F.expr(record)), F.lit("]}"))
     zero = F.lit(0).cast("long")
-    return spread(rows).select(
+    return rows.select(
         F.col(vehicle).alias("vehicle"),
         F.lit("row").alias("file"),
         zero.alias("chunk"),
@@ -328,7 +364,7 @@ def q_solar_power(spark: SparkSession, sf_dir: str) -> DataFrame:
         2 as portNumber2, 2 as moduleNumber2, if(l_linestatus = 'O', -l_tax, l_tax) as panelPower2,
         0 as portNumber3, 0 as moduleNumber3, 50.0D as panelPower3)""",
     )
-    power = solar_power(records(reports, SOLAR_RECORD), scale=SCALE)
+    power = solar_power(records(reports, PANEL_RECORD), scale=SCALE)
     return power.withColumnsRenamed({"timeStamp": "ts", "solar_power_W": "solar_power_w"})
 
 
@@ -356,7 +392,7 @@ def q_time_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(F.col("event_type") == "click", F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
         .when(F.col("event_type") == "signup", F.replace(plain, F.lit(" "), F.lit("T")))
-        .when(F.col("event_type") == "purchase", F.concat(plain, F.lit("+02:00")))
+        .when(F.col("event_type") == "purchase", F.concat(F.lit(" " * 70), plain, F.lit("+02:00")))
         .when(F.col("event_type") == "error", F.lit("bad"))
         .otherwise(plain)
     )
@@ -411,7 +447,7 @@ def q_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spread(table(spark, sf_dir, "lineitem")).select(
+    rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("vehicle"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias(SOURCE_ORDER),
         F.col("l_shipdate").cast("string").alias("timeStamp"),
@@ -445,6 +481,17 @@ def q_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_availability(sources, specs)
 
 
+def q_availability_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor times with the place of their sensor on the axis, as a chart sorts them."""
+    found = sensor_availability(
+        {"events": telemetry(spark, sf_dir).withColumn("k", props_k())},
+        [SensorSpec("Vaisala", "events", "ts", "value"), SensorSpec("pCO2", "events", "ts", "k")],
+    )
+    return in_sensor_order(found).groupBy("vehicle", "sensor", "rank_no").agg(
+        F.count("*").alias("n"), F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time")
+    )
+
+
 def q_sensor_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     sensors = table(spark, sf_dir, "events").select(F.col("event_type").alias("sensor"))
     return sensor_order(spark, sensors, ["view", "click", "signup", "purchase"], ["error"])
@@ -465,6 +512,46 @@ def q_vehicle_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_label(daily, labels).select(F.col("label").alias("vehicle"), "day", "total")
 
 
+def q_target_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly totals of one chosen vehicle beside those of both."""
+    rows = telemetry(spark, sf_dir)
+    known = ["wg0", "wg1", "wg2"]
+    parts = [
+        hourly_total(select_vehicles(rows, target, known), "value", "sampleHour", "total_value", scale=SCALE).withColumn(
+            "target", F.lit(target)
+        )
+        for target in ("wg1", "both")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def q_day_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures that the titles of a day show, read back from their text."""
+    battery = power_series(telemetry(spark, sf_dir))[2]
+    summary = day_summary(flows(spark, sf_dir, battery=False), battery)
+    titled = with_titles(with_label(summary, label_table(spark, [("wg0", "Alpha")])))
+
+    def figure(column: str, lead: str) -> Column:
+        return F.round(F.regexp_extract(column, lead + r" ([-+0-9.]+) ", 1).cast("double"), 0)
+
+    return titled.select(
+        "vehicle",
+        "day",
+        F.regexp_extract("title", "^([^:]*):", 1).alias("label"),
+        F.regexp_extract("title", r"Date: ([0-9-]+) ", 1).alias("day_text"),
+        *[
+            (F.abs(figure(column, lead) - F.col(value)) <= 0.56).alias(f"shows_{value}")
+            for column, lead, value in [
+                ("title", "Daily gained:", "gained_wh"),
+                ("title", "Daily used:", "used_wh"),
+                ("battery_title", "Start:", "battery_start"),
+                ("battery_title", "End:", "battery_end"),
+                ("battery_title", "Daily gain/loss:", "delta"),
+            ]
+        ],
+    )
+
+
 # --- sources and sinks ---
 
 
@@ -513,6 +600,46 @@ def q_payload_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_census(landed(spark, sf_dir)).agg(F.sum("n").alias("n"))
 
 
+def daily_files(spark: SparkSession, sf_dir: str) -> str:
+    """Events as daily product files in vehicle folders, whole payloads, also files without any record."""
+    out = shared_dir(spark, "files")
+    rows = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("wg"), F.pmod("user_id", F.lit(2)).cast("string")).alias("vehicle"),
+        F.when(F.col("event_type") == "click", "amps-solar").otherwise("amps").alias("product"),
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.when(F.dayofmonth("ts") % 7 > 0, F.struct("event_id", "ts", "value")).alias("record"),
+        "event_id",
+    )
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("event_id", "record"))), lambda x: x["record"])
+    files = rows.groupBy("vehicle", "product", "day").agg(F.filter(listed, lambda x: x.isNotNull()).alias("found"))
+    # Every seventh day has files without a record.
+    text = F.concat(F.lit('{"recordData":'), F.to_json("found"), F.lit("}")).alias("value")
+    files.select("vehicle", "product", "day", text).repartition(4, "vehicle", "product", "day").write.partitionBy(
+        "vehicle", "product", "day"
+    ).text(out)
+    return out
+
+
+def q_daily_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole daily files of one product: vehicle from the path, last copy by file order, records per file."""
+    out = daily_files(spark, sf_dir)
+    found = vehicle_from_path(read_payloads(spark, f"{out}/vehicle=*/product=amps/day=*/*.txt"), "/vehicle=([^/]+)/product=")
+    day = F.regexp_extract("file", "/day=([^/]+)/", 1)
+    return file_census(found).select("vehicle", day.alias("day"), "n")
+
+
+def q_source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files found per source; the pattern of one product does not take in the other's."""
+    out = daily_files(spark, sf_dir)
+    sources = {name: list_files(spark, f"{out}/vehicle=*/product={name}/day=*/*.txt") for name in ("amps", "amps-solar")}
+    return file_counts(sources).drop("bytes")
+
+
+def q_empty_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files without any record, which the guard on empty content is about."""
+    return q_daily_files(spark, sf_dir).where("n = 0").groupBy("vehicle").agg(F.count("*").alias("empty_files"))
+
+
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_dir(spark, "csv")
     rows = table(spark, sf_dir, "events").select(
@@ -532,55 +659,82 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ---
 
 
-def stream_path(sf_dir: str) -> str:
-    """The events table as a pattern, since a stream takes a single file by pattern only."""
-    return f"{sf_dir}/events.parque[t]"
+def arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The events in three files that arrive in no order of time, with repeats and corrections.
 
+    The second file repeats a part of the first one. The last one brings
+    corrected values, and for some records two copies of which the later one is
+    what the first file had.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value", F.lit(0).alias("pos"))
+    thirds = [events.where(F.col("event_id") % 3 == n) for n in range(3)]
+    again = thirds[0].where(F.col("event_id") % 2 == 0)
+    corrected = thirds[0].where(F.col("event_id") % 7 == 0).withColumn("value", F.col("value") + 1)
+    wavering = thirds[0].where(F.col("event_id") % 7 == 1)
+    last = [thirds[2], corrected, wavering.withColumn("value", F.col("value") + 5), wavering.withColumn("pos", F.lit(1))]
+    return [thirds[0], thirds[1].unionByName(again), reduce(DataFrame.unionByName, last)]
 
-def whole_span(spark: SparkSession, sf_dir: str) -> str:
-    """Watermark delay that no row is later than: the files of a table are in no time order."""
-    day = day_of(F.col("ts"))
-    span = table(spark, sf_dir, "events").agg(F.date_diff(F.max(day), F.min(day)).alias("days")).first()
-    return f"{(span.days or 0) + 1} days"
 
+def follow_files(spark: SparkSession, store: DayStore, files: list[DataFrame], landing: str) -> None:
+    """Land the files one after another and let the store follow the stream of them."""
+    for number, rows in enumerate(files):
+        rows.write.parquet(f"{landing}/file={number}")
+        store.follow(spark.readStream.schema(rows.schema).parquet(f"{landing}/*"))
 
-def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def followed(spark: SparkSession, sf_dir: str, purpose: str) -> DayStore:
     prepare(spark)
-    stream = stream_parquet(spark, stream_path(sf_dir))
-    out = shared_dir(spark, "stream-hourly")
-    stats = hourly_stats(stream, "ts", "value", ["event_type"], whole_span(spark, sf_dir), scale=SCALE)
-    maintain(stats, f"{out}/result", f"{out}/checkpoint")
-    return newest(spark, f"{out}/result", ["event_type"]).select(
+    out = shared_dir(spark, purpose)
+    store = hourly_store(spark, out, "ts", "value", ["event_type"], ["event_id", "ts"], ["pos"], SCALE)
+    follow_files(spark, store, arrivals(spark, sf_dir), f"{out}/landing")
+    return store
+
+
+def q_stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly figures of a stream of several files out of time order: each record counts once, with its last value."""
+    return followed(spark, sf_dir, "stream-hourly").read().select(
         "event_type", F.col("sampleHour").alias("sample_hour"), "total", "mean_value", "n"
     )
 
 
+def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per file of a stream, and how many came later than the delay; all of them are kept."""
+    kept = mark_late(followed(spark, sf_dir, "stream-late").last_copies(), "ts")
+    return kept.groupBy("batch").agg(F.count("*").alias("n"), F.count_if("late").alias("n_late"))
+
+
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in order of time, each with every record twice and the last day of the file before once more."""
     prepare(spark)
-    path = stream_path(sf_dir)
-    twice = stream_parquet(spark, path).unionByName(stream_parquet(spark, path))
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    ends = rows.agg(F.min(day_of(F.col("ts"))).alias("low"), F.max(day_of(F.col("ts"))).alias("high")).first()
     out = shared_dir(spark, "stream-dedup")
-    once = drop_repeats(twice.select("event_id", "ts", "value"), "ts", ["event_id"], whole_span(spark, sf_dir))
-    drain(once, f"{out}/checkpoint").format("parquet").start(f"{out}/result").awaitTermination()
-    return spark.read.parquet(f"{out}/result")
+    for number in range(3 if ends.low else 0):
+        span = (ends.high - ends.low).days + 1
+        first, last = (ends.low + dt.timedelta(days=span * n // 3) for n in (number, number + 1))
+        again = first - dt.timedelta(days=1 if number else 0)
+        part = rows.where(day_range(F.col("ts"), again, last - dt.timedelta(days=1)))
+        part.unionByName(part).write.parquet(f"{out}/landing/file={number}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{out}/landing/*")
+        once = drop_repeats(stream, "ts", ["event_id"])
+        drain(once, f"{out}/checkpoint").format("parquet").start(f"{out}/result").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{out}/result")
 
 
 def q_restate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days arrive, then the last two again with corrected values."""
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    """All days arrive, then the last two again with corrected values, some of them taken back in the same batch."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "value", F.lit(0).alias("pos"))
     out = shared_dir(spark, "restate")
 
     def build(rows: DataFrame) -> DataFrame:
         return rows.groupBy("day").agg(total(F.col("value"), SCALE).alias("total"))
 
-    store = DayStore(spark, out, "ts", ["event_id", "ts"], [], build, cluster=[])
-    landing = f"{out}/landing"
-    events.write.parquet(f"{landing}/first")
-    store.follow(spark.readStream.schema(events.schema).parquet(f"{landing}/*"))
+    store = DayStore(spark, out, "ts", ["event_id", "ts"], ["pos"], build, cluster=[])
     last = events.agg(F.max(day_of(F.col("ts"))).alias("day")).first().day
     again = events.where(day_range(F.col("ts"), last - dt.timedelta(days=1), last))
-    again.select("event_id", "ts", (F.col("value") + 1).alias("value")).write.parquet(f"{landing}/second")
-    store.follow(spark.readStream.schema(events.schema).parquet(f"{landing}/*"))
+    corrected = again.withColumn("value", F.col("value") + 1)
+    taken_back = again.where(F.col("event_id") % 5 == 0).withColumn("pos", F.lit(1))
+    follow_files(spark, store, [events, corrected.unionByName(taken_back)], f"{out}/landing")
     return store.read()
 
 

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Marks of a zone in the part of an ISO text that follows the year and month.
-ZONE_MARK = r"[zZ/+-]|UTC|GMT"
+# A mark of a zone anywhere after the date of an ISO text.
+ZONED = r"(?s)^\s*+[+-]?\d++(?:-\d++){0,2}+.*?(?:[zZ/+-]|UTC|GMT)"
 
 
 def _text(column: Column) -> Column:
@@ -24,7 +24,7 @@ def to_time(column: Column, *formats: str) -> Column:
     text = _text(column)
     zoned = text.try_cast("timestamp").cast("timestamp_ntz")
     # One pattern, since Spark evaluates ``text`` anew for every reference to it.
-    iso = F.when(F.substring(text, 10, 60).rlike(ZONE_MARK), zoned).otherwise(text.try_cast("timestamp_ntz"))
+    iso = F.when(text.rlike(ZONED), zoned).otherwise(text.try_cast("timestamp_ntz"))
     declared = [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]
     return F.coalesce(*declared, iso)
 

@@ -52,8 +52,8 @@ def in_sensor_order(availability: DataFrame, order: Sequence[str] = (*SENSOR_ORD
     return availability.withColumn("rank_no", F.array_position(names, F.col("sensor")) - 1)
 
 
-def trace_index(day_list: DataFrame, components: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
-    """Chart traces shown for each day as (vehicle, day, k, trace_index).
+def trace_spans(day_list: DataFrame, components: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
+    """Chart traces owned by each day as (vehicle, day, first_trace, width), one row per day.
 
     Traces 0 and 1 are always shown. Each day owns the next C + 3 traces: its C
     components in name order, usage, solar and battery. ``day_list`` comes from
@@ -61,7 +61,12 @@ def trace_index(day_list: DataFrame, components: DataFrame, by: Sequence[str] =
     """
     width = components.groupBy(*by).agg((F.count("*") + 3).alias("width"))
     owned = day_list.join(width, list(by))
+    return owned.select(*by, "day", (2 + F.col("day_index") * F.col("width")).alias("first_trace"), "width")
+
+
+def trace_index(day_list: DataFrame, components: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
+    """The same with a row per trace, (vehicle, day, k, trace_index), for clients that cannot count."""
     k = F.explode(F.sequence(F.lit(0).cast("long"), F.col("width") - 1))
-    return owned.select(*by, "day", "day_index", "width", k.alias("k")).select(
-        *by, "day", "k", (2 + F.col("day_index") * F.col("width") + F.col("k")).alias("trace_index")
+    return trace_spans(day_list, components, by).select(*by, "day", "first_trace", k.alias("k")).select(
+        *by, "day", "k", (F.col("first_trace") + F.col("k")).alias("trace_index")
     )

@@ -36,9 +36,16 @@ def flag_day(rows: DataFrame, time: str, day: Column, out: str = "in_selected_da
 
 
 def flag_default_day(rows: DataFrame, time: str, defaults: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
-    """Flag the rows on the default day of their vehicle; ``defaults`` has a row per vehicle."""
-    marked = rows.join(defaults, list(by), "left")
-    return flag_day(marked, time, F.col("default_day")).drop("default_day")
+    """Flag the rows on the default day of their vehicle; ``defaults`` has a row per vehicle.
+
+    The join is on vehicle and day: without a broadcast it spreads the rows of a
+    large vehicle over its days.
+    """
+    chosen = defaults.select(*by, F.col("default_day").alias("_day"), F.lit(True).alias("_chosen"))
+    marked = rows.withColumn("_day", day_of(F.col(time))).join(chosen, [*by, "_day"], "left")
+    return marked.withColumn("in_selected_day", F.when(F.col("_day").isNotNull(), F.coalesce("_chosen", F.lit(False)))).drop(
+        "_day", "_chosen"
+    )
 
 
 def daily_energy(flows: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
@@ -49,18 +56,16 @@ def daily_energy(flows: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
     )
 
 
-def first_last(
-    series: DataFrame, time: str, value: str, by: Sequence[str] = VEHICLE, tie: tuple[str, ...] | None = None
-) -> DataFrame:
-    """First and last value of each day by time, then by ``tie`` (the value itself by default).
+def first_last(series: DataFrame, time: str, value: str, by: Sequence[str] = VEHICLE) -> DataFrame:
+    """First and last value of each day by time; of equal times the smallest is first and the largest last.
 
-    Where no time has two different values, ``tie=()`` gives the same result by
-    a hash aggregate; with a tie-break Spark sorts the rows of each task.
+    Two hash aggregates: a time becomes one row before the ends of a day are
+    chosen, so no task sorts. NULL values do not count beside others.
     """
-    place = F.struct(time, *([value] if tie is None else tie)) if tie != () else F.col(time)
     rows = series.where(F.col(time).isNotNull())
-    return rows.groupBy(*by, day_of(F.col(time)).alias("day")).agg(
-        F.min_by(value, place).alias("battery_start"), F.max_by(value, place).alias("battery_end")
+    times = rows.groupBy(*by, time).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+    return times.groupBy(*by, day_of(F.col(time)).alias("day")).agg(
+        F.min_by("_low", time).alias("battery_start"), F.max_by("_high", time).alias("battery_end")
     )
 
 
@@ -76,13 +81,13 @@ def battery_change(day_list: DataFrame, ends: DataFrame, by: Sequence[str] = VEH
     )
 
 
-def day_summary(flows: DataFrame, battery: DataFrame, by: Sequence[str] = VEHICLE, tie: tuple[str, ...] | None = None) -> DataFrame:
+def day_summary(flows: DataFrame, battery: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
     """One row per vehicle and day on the spine.
 
     Both sides are aggregated per vehicle and day first, so the join reuses
     their partitioning and moves no raw rows.
     """
-    ends = first_last(battery, "timestamp", "total_battery_power_W", by, tie)
+    ends = first_last(battery, "timestamp", "total_battery_power_W", by)
     summary = battery_change(daily_energy(flows, by), ends, by)
     return summary.withColumns(
         {

@@ -23,8 +23,11 @@ def base_columns(columns: Sequence[str], prefixes: Sequence[str]) -> list[str]:
 NO_PORT = ("0", "0.0", "-0.0", "", "false")
 
 
-def in_use(key: str) -> Column:
-    return F.coalesce(~F.col(f"_p.{key}").cast("string").isin(*NO_PORT), F.lit(False))
+def used(place: Column) -> Column:
+    """Whether a place has a port or module number that is none of NO_PORT."""
+    return F.coalesce(~place["portNumber"].cast("string").isin(*NO_PORT), F.lit(False)) | F.coalesce(
+        ~place["moduleNumber"].cast("string").isin(*NO_PORT), F.lit(False)
+    )
 
 
 def unpivot_ports(wide: DataFrame, fields: Sequence[str], slots: int) -> DataFrame:
@@ -44,8 +47,9 @@ def unpivot_ports(wide: DataFrame, fields: Sequence[str], slots: int) -> DataFra
         return f"named_struct('place', {i}, {', '.join(pairs)})"
 
     places = F.expr(f"array({', '.join(place(i) for i in range(1, slots + 1))})")
-    long = wide.select(*[quoted(name) for name in base], F.explode(places).alias("_p"))
-    return long.where(in_use("portNumber") | in_use("moduleNumber")).select(*[quoted(name) for name in base], "_p.*")
+    # Unused places go before they become rows.
+    long = wide.select(*[quoted(name) for name in base], F.explode(F.filter(places, used)).alias("_p"))
+    return long.select(*[quoted(name) for name in base], "_p.*")
 
 
 def sensor_table(spark: SparkSession, rows: Sequence[tuple[int, int, str]] = PORT_SENSORS) -> DataFrame:

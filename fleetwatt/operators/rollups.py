@@ -99,18 +99,29 @@ def total_hours(
 
 def component_pivot(
     ports: DataFrame,
-    components: Sequence[str],
+    components: Sequence[str] | None = None,
     value: str = "avg_power_W",
     by: Sequence[str] = VEHICLE,
     scale: int | None = None,
+    other: str | None = None,
 ) -> DataFrame:
     """One column per component in name order, 0 where a component has no value.
 
-    The components are given, so this is one aggregate with one shuffle; hours
-    whose components are all outside the list keep their row of zeros.
+    With ``components`` this is one aggregate with one shuffle. A component that
+    is not among them adds to the column ``other``, or stops the job where there
+    is no such column. Without ``components`` they are the names that occur;
+    these become columns, so there must be few.
     """
     rows = ports.where(F.col("sampleHour").isNotNull())
-    sums = [
-        or_zero(total(F.when(F.col("component") == name, F.col(value)), scale)).alias(name) for name in sorted(components)
-    ]
+    if components is None:
+        names = rows.where(F.col("component").isNotNull()).select("component").distinct().orderBy("component")
+        components = [row.component for row in names.collect()]
+    listed = F.col("component").isin(list(components))
+    values = {name: F.when(F.col("component") == name, F.col(value)) for name in sorted(components)}
+    if other is not None:
+        values[other] = F.when(~listed, F.col(value))
+    else:
+        unknown = F.raise_error(F.concat(F.lit("component is not listed: "), F.col("component"))).cast("boolean")
+        rows = rows.where(F.when(F.col("component").isNull() | listed, True).otherwise(unknown))
+    sums = [or_zero(total(measure, scale)).alias(name) for name, measure in values.items()]
     return rows.groupBy(*by, "sampleHour").agg(*sums)

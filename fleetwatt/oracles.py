@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fleetwatt.schemas import PORT_SENSORS
+
 TELEMETRY = """
     select 'wg' || (user_id // 5) as vehicle, event_id, ts, date_trunc('hour', ts) as h,
            event_type, value, props, json_extract_string(props, '$.k') as k
@@ -28,10 +30,31 @@ DEFAULT_DAYS = """
     from t group by vehicle"""
 
 PIVOT_COLUMNS = ",\n".join(
-    f"coalesce(sum(value::decimal(18,4)) filter (event_type = '{name}'), 0)::double as {name}"
-    for name in ["click", "error", "purchase", "signup", "view"]
+    f"coalesce(sum(value::decimal(18,4)) filter (event_type = '{name}'), 0)::double as {column}"
+    for name, column in [*[(n, n) for n in ("click", "error", "purchase", "signup")], ("view", "other")]
 )
 
+SENSORS = ", ".join(f"({slot}, {port}, '{sensor}')" for slot, port, sensor in PORT_SENSORS)
+
+PORT_ROWS = f"""
+    s(slot, port, sensor) as (values {SENSORS}),
+    p as (select l_returnflag as vehicle, l_shipdate as "timestamp", l_linenumber as domain, l_suppkey as slot, l_partkey as port,
+                 l_quantity as avg_power_w, l_extendedprice as avg_voltage_v, l_discount as avg_current_a, l_linenumber as port_status
+          from lineitem where l_suppkey <> 0 or l_partkey <> 0
+          union all
+          select l_returnflag, l_shipdate, l_linenumber, l_linenumber, 1, l_tax, null, null, null from lineitem)"""
+
+# The last value of each record after the three files of the stream.
+LAST_VALUES = """
+    select event_id, ts, event_type, value + case when event_id % 3 = 0 and event_id % 7 = 0 then 1 else 0 end as value,
+           case when event_id % 3 > 0 then event_id % 3 when event_id % 7 < 2 then 2 when event_id % 2 = 0 then 1 else 0 end as batch
+    from events"""
+
+DAILY_FILES = """
+    select 'wg' || (user_id % 2) as vehicle, case when event_type = 'click' then 'amps-solar' else 'amps' end as product,
+           strftime(ts, '%Y-%m-%d') as day, count(*) filter (day(ts) % 7 > 0) as n
+    from events group by 1, 2, 3"""
+
 ROW_COUNTS = "\nunion all ".join(
     f"select '{name}' as tbl, count(*)::bigint as n from {name}"
     for name in (
@@ -130,11 +153,28 @@ ORACLES = {
         from lineitem left join (values ('N','O',' open '), ('R','F','returned'), ('A','F','  ')) d(rf, ls, name)
           on l_returnflag = d.rf and l_linestatus = d.ls
         group by 1""",
-    "q_port_table": """
-        select l_returnflag as vehicle, l_shipdate as "timestamp", date_trunc('hour', l_shipdate) as sample_hour,
-               l_linenumber as domain, l_suppkey as slot, l_partkey as port, l_quantity as avg_power_w,
-               l_extendedprice as avg_voltage_v, l_discount as avg_current_a, l_linestatus as port_status
-        from lineitem""",
+    "q_port_table": f"""
+        with {PORT_ROWS}
+        select vehicle, "timestamp", date_trunc('hour', "timestamp") as sample_hour, domain, p.slot, p.port, sensor,
+               avg_power_w, avg_voltage_v, avg_current_a, port_status
+        from p left join s on p.slot = s.slot and p.port = s.port""",
+    "q_port_order": f"with {PORT_ROWS} select vehicle, count(*)::bigint as n, 0::bigint as out_of_order from p group by 1",
+    "q_availability_order": f"""
+        select vehicle, sensor, case sensor when 'Vaisala' then 3 else 6 end as rank_no, count(*)::bigint as n,
+               min(ts) as first_time, max(ts) as last_time
+        from (select vehicle, ts, 'Vaisala' as sensor, value from ({TELEMETRY})
+              union all select vehicle, ts, 'pCO2', try_cast(k as double) from ({TELEMETRY}))
+        where value is not null group by 1, 2""",
+    "q_target_choice": f"""
+        select vehicle, h as "timestamp", sum(value::decimal(18,4))::double as total_value, target
+        from ({TELEMETRY}), (values ('wg1'), ('both')) as c(target)
+        where vehicle = target or target = 'both' and vehicle in ('wg0', 'wg1', 'wg2') group by 1, 2, 4""",
+    "q_day_titles": f"""
+        with {MEANS}
+        select vehicle, h::date as day, case vehicle when 'wg0' then 'Alpha' else upper(vehicle) end as label,
+               strftime(h::date, '%Y-%m-%d') as day_text, true as shows_gained_wh, true as shows_used_wh,
+               true as shows_battery_start, true as shows_battery_end, true as shows_delta
+        from f group by all""",
     "q_top20": """
         select l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity, l_extendedprice
         from lineitem order by all limit 20""",
@@ -225,13 +265,24 @@ ORACLES = {
     "q_payload_census": """
         select (count(*) + count(*) filter (event_type = 'purchase'))::bigint as n from events""",
     "q_csv_roundtrip": "select event_type, event_id, ts, value, props from events",
-    "q_stream_hourly": """
+    "q_daily_files": f"select vehicle, day, n::bigint as n from ({DAILY_FILES}) where product = 'amps'",
+    "q_source_files": f"select product as source, count(*)::bigint as n_files from ({DAILY_FILES}) group by 1",
+    "q_empty_content": f"""
+        select vehicle, count(*)::bigint as empty_files from ({DAILY_FILES}) where product = 'amps' and n = 0 group by 1""",
+    "q_stream_hourly": f"""
         select event_type, date_trunc('hour', ts) as sample_hour, sum(value::decimal(18,4))::double as total,
                sum(value::decimal(18,4))::double / count(*) as mean_value, count(*)::bigint as n
-        from events group by 1, 2""",
+        from ({LAST_VALUES}) group by 1, 2""",
+    "q_stream_late": f"""
+        with v as ({LAST_VALUES}),
+        m as (select batch, max(ts) as newest from v group by 1),
+        b as (select m.batch, max(e.newest) as seen from m left join m e on e.batch < m.batch group by 1)
+        select v.batch::bigint as batch, count(*)::bigint as n,
+               count(*) filter (ts < seen - interval 48 hour)::bigint as n_late
+        from v join b on v.batch = b.batch group by 1""",
     "q_stream_dedup": "select event_id, ts, value from events",
     "q_restate_days": """
-        select ts::date as day, sum((value + case when ts::date >= last_day - 1 then 1 else 0 end)::decimal(18,4))::double
+        select ts::date as day, sum((value + case when ts::date >= last_day - 1 and event_id % 5 > 0 then 1 else 0 end)::decimal(18,4))::double
             as total
         from events, (select max(ts::date) as last_day from events) group by 1""",
 }

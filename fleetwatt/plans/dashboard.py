@@ -7,14 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from fleetwatt.operators.components import component_colours, trace_index
+from fleetwatt.operators.components import component_colours, trace_spans
 from fleetwatt.operators.days import day_summary, days, default_day, with_titles
 from fleetwatt.operators.fleet import with_label
-from fleetwatt.operators.flows import hourly_flows
-from fleetwatt.operators.ports import with_component
-from fleetwatt.operators.rollups import above_threshold, component_hours
 from fleetwatt.operators.series import series_table
-from fleetwatt.schemas import POWER_THRESHOLD_W
 
 
 @dataclass
@@ -29,24 +25,6 @@ class Dashboard:
     series: DataFrame
 
 
-def dashboard(
-    ports: DataFrame,
-    output: DataFrame,
-    solar: DataFrame,
-    battery: DataFrame,
-    availability: DataFrame,
-    labels: DataFrame,
-    as_of: dt.date | None = None,
-    threshold: float = POWER_THRESHOLD_W,
-    scale: int | None = None,
-) -> Dashboard:
-    """All dashboard tables, lazily; the job writes the hourly ones and reads them back for the rest."""
-    drawing = with_component(above_threshold(ports, threshold=threshold))
-    components = component_hours(drawing, scale=scale)
-    flows = hourly_flows(drawing, output, solar, battery)
-    return day_tables(components, flows, battery, availability, labels, as_of)
-
-
 def day_tables(
     components: DataFrame,
     flows: DataFrame,
@@ -64,6 +42,6 @@ def day_tables(
         days=day_list,
         default_day=default_day(flows, as_of),
         colours=colours,
-        traces=trace_index(day_list, colours),
+        traces=trace_spans(day_list, colours),
         series=series_table(components, flows, battery, availability),
     )

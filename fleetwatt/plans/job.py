@@ -3,14 +3,17 @@
 ``root`` holds one folder per vehicle with its product files. Every product is
 read in one scan over all vehicles. Tables that several later ones need are
 written as Parquet first and read back, so no stage is computed twice and a
-lost executor costs at most the stage that was running.
+lost executor costs at most the stage that was running. Tables that do not need
+each other are written at the same time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +34,18 @@ from fleetwatt.schemas import (
     BATTERY_REQUIRED,
     FILE_PATTERNS,
     OUTPUT_RECORD,
-    SOLAR_RECORD,
+    OUTPUT_SLOTS,
+    PANEL_RECORD,
     VEHICLE_LABELS,
     WAVE_RECORD,
     WEATHER_RECORD,
     csv_fields,
 )
-from fleetwatt.session import prepare
+from fleetwatt.session import prepare, shuffle_partitions
 from fleetwatt.sources.json_records import (
     ALL_FIELDS,
     BARE_LIST,
+    places_beyond,
     read_payloads,
     records,
     require_records,
@@ -68,6 +73,8 @@ class Inputs:
     csv_sources: dict[str, Sequence[str]] = field(
         default_factory=lambda: {"airsea": ["wg1169", "wg1170"], "vegas": ["wg1170"]}
     )
+    # False: one payload per line, as compacted landing files hold them; Spark can split these.
+    whole_file: bool = True
 
     def chosen(self) -> list[str]:
         return chosen_vehicles(self.target, self.vehicles)
@@ -87,7 +94,7 @@ class Inputs:
 
 
 def product_payloads(spark: SparkSession, inputs: Inputs, product: str) -> DataFrame:
-    return vehicle_from_path(read_payloads(spark, inputs.paths(product)), inputs.vehicle_pattern())
+    return vehicle_from_path(read_payloads(spark, inputs.paths(product), inputs.whole_file), inputs.vehicle_pattern())
 
 
 def stored(
@@ -98,35 +105,54 @@ def stored(
     return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
-def power_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
-    """Write and return port, output, solar and battery power."""
+def at_once(*steps: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """Tables of steps that do not need each other; their jobs share the cluster."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        parts = [pool.submit(step) for step in steps]
+    return {name: table for part in parts for name, table in part.result().items()}
+
+
+def port_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
     reports = records(product_payloads(spark, inputs, "output_power"), OUTPUT_RECORD)
     by_day = port_power(reports, sensor_table(spark)).withColumn("day", day_of(F.col("timestamp")))
     ports = stored(by_day, f"{out}/port_power", PORT_POWER_ORDER, ["day"])
     # The largest table is read once more only: all hourly figures come from its hours.
     hours = stored(port_hours(with_component(ports)), f"{out}/port_hours", ["sampleHour", "component"])
     output = stored(total_hours(hours), f"{out}/output_power_hourly", ["timestamp"])
-    solar = solar_power(records(product_payloads(spark, inputs, "solar"), SOLAR_RECORD))
+    return {"port_power": ports, "port_hours": hours, "output_power_hourly": output}
+
+
+def solar_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
+    power = solar_power(records(product_payloads(spark, inputs, "solar"), PANEL_RECORD))
+    return {"solar_power": stored(power, f"{out}/solar_power", ["timeStamp"])}
+
+
+def battery_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
     summaries = records(product_payloads(spark, inputs, "battery"), ALL_FIELDS)
-    if not summaries.isEmpty():
+    power = stored(summary_battery_power(summaries), f"{out}/battery_power", ["timestamp"])
+    # Rows exist only where both fields do, so the raw files are searched for them only without any.
+    if power.isEmpty() and not summaries.isEmpty():
         require_fields(summaries, "fields", BATTERY_REQUIRED)
-    return {
-        "port_power": ports,
-        "port_hours": hours,
-        "output_power_hourly": output,
-        "solar_power": stored(solar, f"{out}/solar_power", ["timeStamp"]),
-        "battery_power": stored(summary_battery_power(summaries), f"{out}/battery_power", ["timestamp"]),
-    }
+    return {"battery_power": power}
+
 
+def power_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
+    """Write and return port, output, solar and battery power."""
+    return at_once(*[partial(step, spark, inputs, out) for step in (port_tables, solar_tables, battery_tables)])
 
-def environment_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
-    """Write and return the weather and wave tables, and give the decoded sensor tables."""
 
-    def cleaned(product: str, schema: T.StructType, build) -> DataFrame:
-        found = records(product_payloads(spark, inputs, product), schema, envelopes=(BARE_LIST,))
-        return stored(build(require_records(found, product)), f"{out}/{product}", ["timeStamp"])
+def environment_table(
+    spark: SparkSession, inputs: Inputs, out: str, product: str, schema: T.StructType, build: Callable[[DataFrame], DataFrame]
+) -> dict[str, DataFrame]:
+    found = records(product_payloads(spark, inputs, product), schema, envelopes=(BARE_LIST,))
+    table = stored(build(found), f"{out}/{product}", ["timeStamp"])
+    if table.isEmpty():
+        require_records(found, product)
+    return {product: table}
 
-    tables = {"weather": cleaned("weather", WEATHER_RECORD, weather), "waves": cleaned("waves", WAVE_RECORD, waves)}
+
+def decoded_tables(spark: SparkSession, inputs: Inputs) -> dict[str, DataFrame]:
+    tables = {}
     for product in ("airsea", "vegas"):
         paths = inputs.csv_paths(product)
         if paths:
@@ -134,37 +160,77 @@ def environment_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[st
     return tables
 
 
+def sensor_tables(spark: SparkSession, inputs: Inputs, out: str) -> dict[str, DataFrame]:
+    """Write and return weather, waves, and what the sensors report."""
+    sources = at_once(
+        partial(environment_table, spark, inputs, out, "weather", WEATHER_RECORD, weather),
+        partial(environment_table, spark, inputs, out, "waves", WAVE_RECORD, waves),
+        partial(decoded_tables, spark, inputs),
+    )
+    available = stored(sensor_availability(sources), f"{out}/sensor_availability", ["timestamp"])
+    order = stored(sensor_order(spark, available), f"{out}/sensor_order", cluster=["rank_no"])
+    return {"weather": sources["weather"], "waves": sources["waves"], "sensor_availability": available, "sensor_order": order}
+
+
+def widen(spark: SparkSession, files: dict[str, DataFrame]) -> None:
+    """Set the shuffle width from the bytes of the raw files; adaptive execution lowers it, but cannot raise it."""
+    listed = file_counts(files).agg(F.sum("bytes").alias("bytes")).first().bytes
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(listed, at_least=width)))
+
+
 def run(spark: SparkSession, inputs: Inputs, out: str, as_of: dt.date | None = None) -> dict[str, DataFrame]:
     """Build all tables below ``out`` and return them by name."""
     prepare(spark)
-    tables = power_tables(spark, inputs, out)
-    sources = environment_tables(spark, inputs, out)
-    available = stored(sensor_availability(sources), f"{out}/sensor_availability", ["timestamp"])
-
+    found = {name: list_files(spark, inputs.paths(name)) for name in ("output_power", "solar", "battery")}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    widen(spark, found)
+    try:
+        return build_tables(spark, inputs, out, as_of, found)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def build_tables(
+    spark: SparkSession, inputs: Inputs, out: str, as_of: dt.date | None, found: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    tables = at_once(partial(power_tables, spark, inputs, out), partial(sensor_tables, spark, inputs, out))
     components = drawn_hours(tables["port_hours"])
     series = [tables[name] for name in ("output_power_hourly", "solar_power", "battery_power")]
     flows = stored(hourly_flows(components, *series), f"{out}/hourly_flows", ["sampleHour"])
-    board = day_tables(components, flows, tables["battery_power"], available, label_table(spark), as_of)
-    points = stored(board.series, f"{out}/series", ["panel", "series", "x"], ["day"])
-    write_json(points, f"{out}/series_json", ["vehicle", "day"], ["panel", "series", "x"])
-
-    tables |= {
-        "weather": sources["weather"],
-        "waves": sources["waves"],
-        "sensor_availability": available,
-        "component_hours": components,
-        "hourly_flows": flows,
-        "day_summary": stored(board.summary, f"{out}/day_summary", ["day"]),
-        "default_day": stored(board.default_day, f"{out}/default_day"),
-        "component_colours": stored(board.colours, f"{out}/component_colours", ["component_index"]),
-        "sensor_order": stored(sensor_order(spark, available), f"{out}/sensor_order", cluster=["rank_no"]),
-        "trace_index": stored(board.traces, f"{out}/trace_index", ["day", "k"]),
-        "series": points,
-    }
-    found = {name: list_files(spark, inputs.paths(name)) for name in ("output_power", "solar", "battery")}
-    counts = row_counts(tables).withColumn("updated", updated_label())
-    counts.write.mode("overwrite").parquet(f"{out}/job_rows")
-    file_counts(found).write.mode("overwrite").parquet(f"{out}/job_files")
+    board = day_tables(components, flows, tables["battery_power"], tables["sensor_availability"], label_table(spark), as_of)
+
+    def points() -> dict[str, DataFrame]:
+        made = stored(board.series, f"{out}/series", ["panel", "series", "x"], ["day"])
+        write_json(made, f"{out}/series_json", ["vehicle"], ["day", "panel", "series", "x"])
+        return {"series": made}
+
+    def keep(name: str, table: DataFrame, order: Sequence[str] = ()) -> dict[str, DataFrame]:
+        return {name: stored(table, f"{out}/{name}", order)}
+
+    tables |= {"component_hours": components, "hourly_flows": flows}
+    tables |= at_once(
+        points,
+        partial(keep, "day_summary", board.summary, ["day"]),
+        partial(keep, "default_day", board.default_day),
+        partial(keep, "component_colours", board.colours, ["component_index"]),
+        partial(keep, "trace_index", board.traces, ["day"]),
+    )
+
+    def rows() -> dict[str, DataFrame]:
+        row_counts(tables).withColumn("updated", updated_label()).write.mode("overwrite").parquet(f"{out}/job_rows")
+        return {}
+
+    def files() -> dict[str, DataFrame]:
+        file_counts(found).write.mode("overwrite").parquet(f"{out}/job_files")
+        return {}
+
+    def beyond() -> dict[str, DataFrame]:
+        reports = product_payloads(spark, inputs, "output_power")
+        places_beyond(reports, OUTPUT_SLOTS).write.mode("overwrite").parquet(f"{out}/job_places")
+        return {}
+
+    at_once(rows, files, beyond)
     return tables
 
 

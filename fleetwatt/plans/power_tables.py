@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatt.functions.numbers import milli_to_unit, to_integer, to_number
-from fleetwatt.functions.times import hour_of, to_time, to_time_strict
-from fleetwatt.operators.order import first_rows
+from fleetwatt.functions.times import hour_of, to_time_strict
 from fleetwatt.operators.ports import label_ports, unpivot_ports
 from fleetwatt.operators.rollups import positive_sum
-from fleetwatt.schemas import OUTPUT_FIELDS, OUTPUT_SLOTS, SOLAR_FIELDS, SOLAR_SLOTS
+from fleetwatt.schemas import OUTPUT_READ, OUTPUT_SLOTS, SOLAR_FIELDS, SOLAR_SLOTS
 from fleetwatt.sources.json_records import SOURCE_ORDER
 
 PORT_POWER_ORDER = ["timestamp", "domain", "slot", "port"]
@@ -28,7 +27,7 @@ def port_power(output_records: DataFrame, sensors: DataFrame) -> DataFrame:
     timed = output_records.drop(SOURCE_ORDER).withColumns(
         {"timeStamp": to_time_strict(F.col("timeStamp")), "powerDomain": to_integer(F.col("powerDomain"))}
     )
-    ports = unpivot_ports(timed.withColumn("sampleHour", hour_of(F.col("timeStamp"))), OUTPUT_FIELDS, OUTPUT_SLOTS)
+    ports = unpivot_ports(timed.withColumn("sampleHour", hour_of(F.col("timeStamp"))), OUTPUT_READ, OUTPUT_SLOTS)
     typed = ports.select(
         "vehicle",
         F.col("timeStamp").alias("timestamp"),
@@ -56,10 +55,6 @@ def port_power(output_records: DataFrame, sensors: DataFrame) -> DataFrame:
     )
 
 
-def preview(ports: DataFrame, n: int = 20) -> DataFrame:
-    return first_rows(ports, PORT_POWER_ORDER, n)
-
-
 def solar_ports(solar_records: DataFrame) -> DataFrame:
     """Every reported solar port, with its measures as numbers."""
     timed = solar_records.drop(SOURCE_ORDER).withColumn("timeStamp", to_time_strict(F.col("timeStamp")))
@@ -68,14 +63,19 @@ def solar_ports(solar_records: DataFrame) -> DataFrame:
 
 
 def solar_power(solar_records: DataFrame, scale: int | None = None) -> DataFrame:
-    """Power of the panels that deliver any, per report time."""
-    return positive_sum(solar_ports(solar_records), "timeStamp", "panelPower", "solar_power_W", scale=scale)
+    """Power of the panels that deliver any, per report time; ``PANEL_RECORD`` has all fields this needs."""
+    timed = solar_records.drop(SOURCE_ORDER).withColumn("timeStamp", to_time_strict(F.col("timeStamp")))
+    panels = unpivot_ports(timed, ["panelPower"], SOLAR_SLOTS).withColumn("panelPower", to_number(F.col("panelPower")))
+    return positive_sum(panels, "timeStamp", "panelPower", "solar_power_W", scale=scale)
 
 
 def battery_power(time: Column, milliwatts: Column, records: DataFrame, distinct: bool = False) -> DataFrame:
-    """Battery power in watts; rows without a time or a value are dropped, repeats only with ``distinct``."""
+    """Battery power in watts; rows without a time or a value are dropped, repeats only with ``distinct``.
+
+    A time that is no time stops the job.
+    """
     power = records.select(
-        "vehicle", to_time(time).alias("timestamp"), milli_to_unit(to_number(milliwatts)).alias("total_battery_power_W")
+        "vehicle", to_time_strict(time).alias("timestamp"), milli_to_unit(to_number(milliwatts)).alias("total_battery_power_W")
     ).na.drop(subset=["timestamp", "total_battery_power_W"])
     return power.distinct() if distinct else power
 

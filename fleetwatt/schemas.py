@@ -161,8 +161,11 @@ def numbered(fields: list[str], slots: int) -> list[str]:
 
 
 PORT_KEYS = ["portNumber", "moduleNumber"]
-OUTPUT_RECORD = text_fields(["timeStamp", "powerDomain", *numbered(PORT_KEYS + OUTPUT_FIELDS, OUTPUT_SLOTS)])
+# The parser makes every declared field, so only the fields that are read are declared.
+OUTPUT_READ = [name for name in OUTPUT_FIELDS if name != "sampleTime"]
+OUTPUT_RECORD = text_fields(["timeStamp", "powerDomain", *numbered(PORT_KEYS + OUTPUT_READ, OUTPUT_SLOTS)])
 SOLAR_RECORD = text_fields(["timeStamp", *numbered(PORT_KEYS + SOLAR_FIELDS, SOLAR_SLOTS)])
+PANEL_RECORD = text_fields(["timeStamp", *numbered(PORT_KEYS + ["panelPower"], SOLAR_SLOTS)])
 BATTERY_RECORD = text_fields(BATTERY_REQUIRED)
 WEATHER_RECORD = text_fields(["timeStamp", *WEATHER_COLUMNS])
 WAVE_RECORD = text_fields(["timeStamp", *WAVE_COLUMNS])

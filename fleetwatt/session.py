@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -52,6 +55,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def local_folder() -> str:
+    """One temporary folder per process, removed at its end."""
+    folder = tempfile.mkdtemp(prefix="fleetwatt-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared folder named in ``spark.checkpoint.dir``.
 
@@ -63,5 +74,5 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="fleetwatt-")
+        base = local_folder()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -119,6 +119,15 @@ def file_census(payloads: DataFrame, envelopes: Sequence[str] = ENVELOPES) -> Da
     return payloads.groupBy(*kept, "file").agg(F.sum(counted).alias("n"))
 
 
+def places_beyond(payloads: DataFrame, slots: int) -> DataFrame:
+    """Payloads per vehicle and file that name a port of a place above ``slots``, which no table reads."""
+    numbers = F.transform(
+        F.regexp_extract_all("value", F.lit(r'"(?:portNumber|moduleNumber)([0-9]+)"'), F.lit(1)), lambda n: n.try_cast("int")
+    )
+    found = payloads.select("vehicle", "file", F.array_max(numbers).alias("highest"))
+    return found.where(F.col("highest") > slots).groupBy("vehicle", "file").agg(F.count("*").alias("payloads"), F.max("highest").alias("highest"))
+
+
 def require_records(found: DataFrame, source: str) -> DataFrame:
     """Stop the job where files were found but hold no record."""
     if found.isEmpty():

@@ -94,12 +94,6 @@ def write_json(table: DataFrame, path: str, partitions: Sequence[str] = ("vehicl
     plain.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).json(path)
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Use all cores for heavy work on a scan with fewer splits than cores; a larger scan stays as it is."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table as (tbl, n)."""
     counts = [table.agg(F.count("*").alias("n")).select(F.lit(name).alias("tbl"), "n") for name, table in tables.items()]

@@ -1,59 +1,54 @@
-"""Hourly statistics kept up to date by a stream.
-
-The state of an hour is dropped once the watermark has passed it. Every batch
-writes the hours it changed under its own number, so a batch that is repeated
-after a failure replaces its own output, and the newest version of an hour is
-its result. Hours still open are therefore in the result too.
-"""
+"""Hourly statistics kept up to date by a stream, and records that arrive late."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetwatt.functions.numbers import total
-from fleetwatt.streaming.ingest import drain
+from fleetwatt.functions.times import day_of, hour_of
+from fleetwatt.streaming.restate import DayStore
 
 # Raw files of yesterday and today are fetched again by every run.
 REFETCH_HORIZON = "48 hours"
 
 
-def hourly_stats(
-    stream: DataFrame,
-    time: str,
-    value: str,
-    by: Sequence[str],
-    delay: str = REFETCH_HORIZON,
-    scale: int | None = None,
-) -> DataFrame:
-    """Sum, mean and count per tumbling hour.
+def hourly_stats(rows: DataFrame, time: str, value: str, by: Sequence[str], scale: int | None = None) -> DataFrame:
+    """Sum, mean and count per hour, with its day.
 
     With ``scale`` the figures come from a decimal sum and so do not depend on
-    the batches in which the rows arrive.
+    the order of rows.
     """
-    # A watermark needs a zoned time; the session zone is UTC.
-    timed = stream.withColumn("_time", F.col(time).cast("timestamp")).withWatermark("_time", delay)
-    hours = timed.groupBy(*by, F.window("_time", "1 hour").alias("_hour")).agg(
+    hours = rows.groupBy(*by, hour_of(F.col(time)).alias("sampleHour")).agg(
         total(F.col(value), scale).alias("total"), F.count(value).alias("n")
     )
     mean = F.try_divide("total", "n").alias("mean_value")
-    return hours.select(*by, F.col("_hour.start").cast("timestamp_ntz").alias("sampleHour"), "total", mean, "n")
-
+    return hours.select(*by, "sampleHour", "total", mean, "n", day_of(F.col("sampleHour")).alias("day"))
 
-def maintain(stats: DataFrame, out: str, checkpoint: str) -> None:
-    """Process all input present and store the changed hours of each batch."""
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+def hourly_store(
+    spark: SparkSession,
+    root: str,
+    time: str,
+    value: str,
+    by: Sequence[str],
+    keys: Sequence[str],
+    order: Sequence[str] = (),
+    scale: int | None = None,
+) -> DayStore:
+    """Hourly statistics over the last copies of records: a record fetched again counts once, a late one counts."""
+    return DayStore(spark, root, time, keys, order, lambda rows: hourly_stats(rows, time, value, by, scale), list(by))
 
-    drain(stats, checkpoint, "update").foreachBatch(store).start().awaitTermination()
 
+def mark_late(rows: DataFrame, time: str, batch: str = "batch", delay: str = REFETCH_HORIZON) -> DataFrame:
+    """Add ``late``: the record is older, by more than ``delay``, than what earlier batches had brought.
 
-def newest(spark: SparkSession, out: str, by: Sequence[str]) -> DataFrame:
-    """The last stored version of every hour."""
-    stored = spark.read.parquet(out)
-    values = [name for name in stored.columns if name not in (*by, "sampleHour", "batch")]
-    latest = stored.groupBy(*by, "sampleHour").agg(F.max_by(F.struct(*values), "batch").alias("_last"))
-    return latest.select(*by, "sampleHour", "_last.*")
+    The window runs over one row per batch.
+    """
+    newest = rows.groupBy(batch).agg(F.max(time).alias("_newest"))
+    before = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
+    seen = newest.select(F.col(batch), F.max("_newest").over(before).alias("_seen"))
+    late = F.coalesce(F.col(time) < F.col("_seen") - F.expr(f"interval {delay}"), F.lit(False))
+    return rows.join(seen, batch).withColumn("late", late).drop("_seen")

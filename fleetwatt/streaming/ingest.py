@@ -18,7 +18,10 @@ def stream_records(
     envelopes: Sequence[str] = ENVELOPES,
     files_per_batch: int = 1000,
 ) -> DataFrame:
-    """Records of new product files, as ``sources.json_records.records`` gives them."""
+    """Records of new product files, as ``sources.json_records.records`` gives them.
+
+    How files are cut into batches changes no result of a ``DayStore``.
+    """
     payloads = read_payloads(spark, path, stream_files=files_per_batch)
     return records(vehicle_from_path(payloads, vehicle_pattern), schema, envelopes)
 

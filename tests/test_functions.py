@@ -99,3 +99,14 @@ def test_labels(spark):
     assert [row[0] for row in frame.select(name).collect()] == ["GPSWaves", "D1-S13-P1", "D6-S1-P5", "open", "D-S1-P1"]
     assert one(spark, "x string", [None], strip(F.col("x"))) == [""]
     assert one(spark, "x string", ["wg7"], vehicle_label(F.lit(None), F.col("x"))) == ["WG7"]
+
+
+def test_a_zone_is_found_behind_any_space(spark):
+    texts = ["2026-07-03 10:20:30+02:00", " " * 70 + "2026-07-03 10:20:30+02:00", "2026-07-03T10:20:30Z", "2026-07-03 10:20:30"]
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [str(r.t) for r in table.select(to_time(F.col("t")).alias("t")).collect()] == [
+        "2026-07-03 08:20:30",
+        "2026-07-03 08:20:30",
+        "2026-07-03 10:20:30",
+        "2026-07-03 10:20:30",
+    ]

@@ -14,7 +14,7 @@ from fleetwatt.operators.cleaning import (
     require_fields,
     to_numbers,
 )
-from fleetwatt.operators.components import component_colours, in_sensor_order, sensor_order, trace_index
+from fleetwatt.operators.components import component_colours, in_sensor_order, sensor_order, trace_index, trace_spans
 from fleetwatt.operators.days import battery_change, daily_energy, day_summary, days, default_day, first_last, with_titles
 from fleetwatt.operators.fleet import label_table, select_vehicles, with_label
 from fleetwatt.operators.flows import hour_spine, hourly_flows, spine_join
@@ -141,6 +141,16 @@ def test_component_pivot(spark):
     assert rows(component_hours(table)) == [(V, H10, "a", 3.0), (V, H11, "b", 3.0)]
 
 
+def test_component_pivot_shows_or_stops_at_what_is_off_the_list(spark):
+    table = port_rows(spark, [(H10, "a", 1.0), (H10, "new", 2.0), (H11, "b", 3.0)])
+    wide = component_pivot(table, ["b", "a"], other="other")
+    assert wide.columns[2:] == ["a", "b", "other"]
+    assert rows(wide) == [(V, H10, 1.0, 0.0, 2.0), (V, H11, 0.0, 3.0, 0.0)]
+    with pytest.raises(Exception, match="not listed: new"):
+        component_pivot(table, ["b", "a"]).collect()
+    assert component_pivot(table).columns[2:] == ["a", "b", "new"]
+
+
 def test_port_hours_hold_totals_and_component_hours(spark):
     table = port_rows(spark, [(H10, "a", 1.0), (H10, "a", 0.1), (H10, "b", 0.2), (H11, "b", 3.0), (H11, "c", None), (H12, "c", None)])
     hours = port_hours(table)
@@ -216,8 +226,8 @@ def test_first_last_ties_are_fixed(spark):
     table = spark.createDataFrame([(V, H10, 3.0), (V, H10, 1.0), (V, H10, 2.0)], "vehicle string, t timestamp_ntz, p double")
     assert rows(first_last(table, "t", "p")) == [(V, D3, 1.0, 3.0)]
     times = spark.createDataFrame([(V, H10, 3.0), (V, H11, 1.0), (V, H11, 1.0)], table.schema)
-    assert rows(first_last(times, "t", "p", tie=())) == rows(first_last(times, "t", "p")) == [(V, D3, 3.0, 1.0)]
-    assert "SortAggregate" not in plan(first_last(times, "t", "p", tie=()))
+    assert rows(first_last(times, "t", "p")) == [(V, D3, 3.0, 1.0)]
+    assert "SortAggregate" not in plan(first_last(times, "t", "p"))
 
 
 def test_days_and_default_day(spark):
@@ -285,6 +295,7 @@ def test_trace_index(spark):
     found = {(r.day, r.k): r.trace_index for r in trace_index(days(hours), components).collect()}
     assert [found[D3, k] for k in range(5)] == [2, 3, 4, 5, 6]
     assert [found[D4, k] for k in range(5)] == [7, 8, 9, 10, 11]
+    assert rows(trace_spans(days(hours), components)) == [(V, D3, 2, 5), (V, D4, 7, 5)]
 
 
 def test_availability(spark):

@@ -5,11 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetwatt.plans.environment import waves, weather
-from fleetwatt.plans.job import Inputs, export_csv, power_tables, run
-from fleetwatt.plans.power_tables import port_power, preview, summary_battery_power
+from fleetwatt.plans.job import Inputs, export_csv, power_tables, product_payloads, run
+from fleetwatt.operators.order import first_rows
+from fleetwatt.plans.power_tables import PORT_POWER_ORDER, port_power, summary_battery_power
 from fleetwatt.operators.ports import sensor_table
 from fleetwatt.schemas import OUTPUT_RECORD, WAVE_RECORD, WEATHER_RECORD, text_fields
-from fleetwatt.sources.json_records import BARE_LIST, read_payloads, records, vehicle_from_path
+from fleetwatt.sources.json_records import BARE_LIST, places_beyond, read_payloads, records, vehicle_from_path
 from fleetwatt.sources.tables import read_csv
 from tests.conftest import plan, rows
 
@@ -240,8 +241,36 @@ def test_battery_repeats_are_dropped_on_request(spark):
     assert rows(summary_battery_power(twice, distinct=True)) == [("wg1169", at("2026-06-30 09:43:33"), 1.0)]
 
 
-def test_preview_is_sorted(spark, raw):
+def test_a_bad_battery_time_stops_and_a_missing_one_is_dropped(spark):
+    def power(*times):
+        rows_ = [("wg1169", {"gliderTimeStamp": t, "totalBatteryPower": "1000"}) for t in times]
+        return summary_battery_power(spark.createDataFrame(rows_, "vehicle string, fields map<string,string>"))
+
+    assert rows(power("2026-06-30 09:43:33", None)) == [("wg1169", at("2026-06-30 09:43:33"), 1.0)]
+    with pytest.raises(Exception, match="not a time: bad"):
+        power("bad").collect()
+
+
+def test_payloads_by_line_give_the_same_tables(spark, tmp_path):
+    report = ports("2026-06-30 09:44:13", (5, 5, 1.0, 1.0, 1.0, 1))
+    beyond = {**report, "timeStamp": "2026-06-30 09:45:13", "portNumber34": 3, "moduleNumber34": 3}
+    found = []
+    for name, whole in (("whole", True), ("lines", False)):
+        folder = tmp_path / name / "wg1169" / "json"
+        folder.mkdir(parents=True)
+        payloads = [json.dumps({"recordData": [r]}) for r in (report, beyond)]
+        files = [[json.dumps([report, beyond])]] if whole else [payloads]
+        for product_name, content in (("amps-output-power-status", files[0]), ("amps-solar", ["[]"]), ("amps", ["[]"])):
+            (folder / f"waveglider-{product_name}_1.json").write_text("\n".join(content))
+        inputs = Inputs(str(tmp_path / name), target="wg1169", whole_file=whole)
+        found.append(rows(power_tables(spark, inputs, f"{tmp_path}/out-{name}")["port_power"]))
+        [high] = places_beyond(product_payloads(spark, inputs, "output_power"), 33).collect()
+        assert (high.vehicle, high.payloads, high.highest) == ("wg1169", 1, 34)
+    assert found[0] == found[1] and len(found[0]) == 2
+
+
+def test_first_ports_are_sorted(spark, raw):
     found = port_power(product(spark, raw, "waveglider-amps-output-power-status_*.json", OUTPUT_RECORD), sensor_table(spark))
-    first = preview(found.where("vehicle = 'wg1169'"), 5)
+    first = first_rows(found.where("vehicle = 'wg1169'"), PORT_POWER_ORDER, 5)
     assert [(r.slot, r.port) for r in first.collect()] == [row[:2] for row in REPORT[:5]]
     assert "TakeOrderedAndProject" in first._jdf.queryExecution().executedPlan().toString()

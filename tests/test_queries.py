@@ -7,11 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from fleetwatt import bindings
+from fleetwatt import bindings, oracles
 from tests.conftest import plan
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = bindings.queries()
+ORACLES = oracles.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -56,5 +56,9 @@ def test_plan(spark, sf_dir, name):
         assert unwanted not in text
 
 
+def test_all_queries_are_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

@@ -7,7 +7,7 @@ from fleetwatt.functions.numbers import total
 from fleetwatt.operators.rollups import hourly_mean
 from fleetwatt.schemas import text_fields
 from fleetwatt.streaming.dedup import drop_repeats
-from fleetwatt.streaming.hourly import hourly_stats, maintain, newest
+from fleetwatt.streaming.hourly import hourly_store, mark_late
 from fleetwatt.streaming.ingest import drain, stream_parquet, stream_records
 from fleetwatt.streaming.restate import DayStore
 from tests.conftest import rows
@@ -39,33 +39,40 @@ def test_stream_of_records(spark, tmp_path):
 
 
 def test_hourly_stream_equals_the_batch(spark, tmp_path):
-    source, out, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp"
-    put(spark, source, [("2026-07-03 10:05", 2.0), ("2026-07-03 10:50", 4.0), ("2026-07-03 11:10", 1.0)])
+    source = f"{tmp_path}/in"
+    store = hourly_store(spark, f"{tmp_path}/store", "ts", "value", ["vehicle"], ["vehicle", "ts"])
 
     def follow():
-        maintain(hourly_stats(stream_parquet(spark, source, 1), "ts", "value", ["vehicle"]), out, checkpoint)
-        return rows(newest(spark, out, ["vehicle"]).select("vehicle", "sampleHour", "mean_value"))
+        store.follow(stream_parquet(spark, source, 1))
+        return rows(store.read().select("vehicle", "sampleHour", "mean_value"))
 
     def batch():
-        return rows(hourly_mean(spark.read.parquet(source), "ts", "value", "m"))
+        return rows(hourly_mean(spark.read.parquet(source).distinct(), "ts", "value", "m"))
 
+    put(spark, source, [("2026-07-03 10:05", 2.0), ("2026-07-03 10:50", 4.0), ("2026-07-03 11:10", 1.0)])
     assert follow() == batch()
-    put(spark, source, [("2026-07-03 10:55", 9.0), ("2026-07-04 00:00", 5.0)])
+    # A record that is fetched again counts once.
+    put(spark, source, [("2026-07-03 10:05", 2.0), ("2026-07-03 10:55", 9.0), ("2026-07-04 00:00", 5.0)])
     assert follow() == batch()
     assert len(batch()) == 3
 
 
-def test_rows_later_than_the_watermark_are_left_out(spark, tmp_path):
-    source, out, checkpoint = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/cp"
+def test_history_in_any_order_and_cut_into_batches_is_whole(spark, tmp_path):
+    source = f"{tmp_path}/in"
+    for day in (30, 3, 4):
+        put(spark, source, [(f"2026-07-{day:02} 10:05", float(day))])
+    store = hourly_store(spark, f"{tmp_path}/store", "ts", "value", ["vehicle"], ["vehicle", "ts"])
+    store.follow(stream_parquet(spark, source, 1))
+    assert sorted(r.total for r in store.read().collect()) == [3.0, 4.0, 30.0]
+    assert {r.n for r in store.read().collect()} == {1}
 
-    def follow():
-        maintain(hourly_stats(stream_parquet(spark, source, 1), "ts", "value", ["vehicle"], "2 hours"), out, checkpoint)
-        return {r.sampleHour: r.n for r in newest(spark, out, ["vehicle"]).collect()}
 
-    put(spark, source, [("2026-07-03 10:05", 2.0), ("2026-07-03 20:00", 1.0)])
-    follow()
-    put(spark, source, [("2026-07-03 10:06", 2.0), ("2026-07-03 19:00", 1.0)])
-    assert follow() == {at("2026-07-03 10:00"): 1, at("2026-07-03 20:00"): 1, at("2026-07-03 19:00"): 1}
+def test_late_records_are_marked(spark):
+    table = spark.createDataFrame(
+        [(0, at("2026-07-10 10:00")), (1, at("2026-07-08 10:00")), (1, at("2026-07-08 09:59")), (2, at("2026-07-11 00:00"))],
+        "batch long, ts timestamp_ntz",
+    )
+    assert [r.ts for r in mark_late(table, "ts").where("late").collect()] == [at("2026-07-08 09:59")]
 
 
 def test_repeats_are_dropped_across_batches(spark, tmp_path):
@@ -100,29 +107,51 @@ def test_restated_days(spark, tmp_path):
     assert follow() == {1: 1.0, 2: 20.0, 3: 33.0}
     assert sorted((tmp_path / "store" / "result" / "day=2026-07-01").iterdir()) == untouched
     assert follow() == {1: 1.0, 2: 20.0, 3: 33.0}
-    # Records that were fetched again unchanged are not stored again.
-    assert spark.read.parquet(store.arrivals).count() == 5
+    assert store.last_copies().count() == 4
+
+
+def batch_of(spark, *values):
+    made = [("wg1", at(t), v, pos) for t, v, pos in values]
+    return spark.createDataFrame(made, "vehicle string, ts timestamp_ntz, value double, pos int")
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
-    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], [], day_totals)
-    batch = spark.createDataFrame([("wg1", at("2026-07-01 10:00"), 1.0)], "vehicle string, ts timestamp_ntz, value double")
-    store.add(batch, 0)
-    store.add(batch, 0)
-    assert rows(store.read().select("total")) == [(1.0,)]
-    store.add(batch.limit(0), 1)
-    store.add(batch, 2)
-    assert rows(store.read().select("total")) == [(1.0,)]
-    assert spark.read.schema(batch.schema).parquet(store.arrivals).count() == 1
+    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], ["pos"], day_totals)
+    one, two = batch_of(spark, ("2026-07-01 10:00", 1.0, 0)), batch_of(spark, ("2026-07-01 11:00", 2.0, 0))
+    for batch_id, batch, total_ in [(0, one, 1.0), (0, one, 1.0), (1, one.limit(0), 1.0), (2, two, 3.0), (2, two, 3.0), (3, one, 3.0), (4, two, 3.0)]:
+        store.add(batch, batch_id)
+        assert rows(store.read().select("total")) == [(total_,)]
+    assert store.last_copies().count() == 2
+
+
+def test_the_last_copy_of_a_batch_wins(spark, tmp_path):
+    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], ["pos"], day_totals)
+    when = "2026-07-01 10:00"
+    steps = [
+        ([(when, 1.0, 0), (when, 2.0, 1)], 2.0),
+        ([(when, 2.0, 7)], 2.0),
+        ([(when, 1.0, 0)], 1.0),
+        # The first copy differs from what is stored, the last one does not.
+        ([(when, 2.0, 0), (when, 1.0, 1)], 1.0),
+        ([(when, 1.0, 0), (when, 5.0, 1)], 5.0),
+    ]
+    for batch_id, (values, expected) in enumerate(steps):
+        store.add(batch_of(spark, *values), batch_id)
+        assert rows(store.read().select("total")) == [(expected,)]
+
+
+def test_batches_leave_a_bounded_number_of_files(spark, tmp_path):
+    store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], ["pos"], day_totals)
+    for batch_id in range(50):
+        store.add(batch_of(spark, (f"2026-07-0{1 + batch_id % 2} 10:{batch_id:02}", 1.0, 0)), batch_id)
+    assert {r.day.day: r.total for r in store.read().collect()} == {1: 25.0, 2: 25.0}
+    folders = [p for p in (tmp_path / "store").rglob("*") if p.is_dir()]
+    files = [p for p in (tmp_path / "store").rglob("*.parquet") if p.is_file()]
+    assert len(folders) <= 12 and len(files) <= 12
 
 
-def test_the_place_in_a_batch_breaks_ties_only(spark, tmp_path):
+def test_days_off_the_calendar_are_set_aside(spark, tmp_path):
     store = DayStore(spark, f"{tmp_path}/store", "ts", ["vehicle", "ts"], ["pos"], day_totals)
-    schema = "vehicle string, ts timestamp_ntz, value double, pos int"
-    when = at("2026-07-01 10:00")
-    store.add(spark.createDataFrame([("wg1", when, 1.0, 0), ("wg1", when, 2.0, 1)], schema), 0)
-    store.add(spark.createDataFrame([("wg1", when, 2.0, 7)], schema), 1)
-    assert rows(store.read().select("total")) == [(2.0,)]
-    assert spark.read.parquet(store.arrivals).count() == 2
-    store.add(spark.createDataFrame([("wg1", when, 1.0, 0)], schema), 2)
+    store.add(batch_of(spark, ("1970-01-01 00:00", 7.0, 0), ("2026-07-01 10:00", 1.0, 0)), 0)
     assert rows(store.read().select("total")) == [(1.0,)]
+    assert rows(spark.read.parquet(store.outside).select("value")) == [(7.0,)]
