@@ -11,27 +11,32 @@ the same anchor are ever compared, and each string belongs to one anchor.
    the others are suffix sorted. Suffixes are compared by binary search for
    their common extension over prefix polynomial hashes, in a mergesort; equal
    neighbours are verified byte by byte.
-4. Anchors with HOT occurrences or more are no groups: their strings are counted
+4. Hot anchors, whose share of all would weigh on one task, are no groups: their strings are counted
    one by one through 128-bit hashes, with sums before the shuffle, and joined
    back, where adaptive execution splits a skewed string.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatt.llm.common import table, text_steps
+from fleetwatt.llm.common import steps, table, text_steps
 from fleetwatt.llm.ngram_join import groups
 from fleetwatt.llm.tokens import spread
 
 LENGTH = 100
 K = 24
-HOT = 1000
+# An anchor is hot from one in HOT_SHARE of all anchors on, and at HOT_MOST occurrences in any case.
+HOT_SHARE = 512
+HOT_MOST = 20_000
+HOT_LEAST = 1000
 LAST_ID = (1 << 63) - 1
 CHUNK = 1 << 19
 PLACE_BITS = 20  # of a place within a chunk
@@ -262,11 +267,42 @@ def settled(rows: DataFrame, length: int) -> DataFrame:
     return rows.repartition(tasks, "gram").sortWithinPartitions("gram").mapInArrow(run, "id long, from long, to long")
 
 
-def found_anchors(texts: DataFrame, length: int) -> DataFrame:
-    """gram, id, packed: every anchor of ``texts(id, text)``; packed holds its place and its strings."""
+def squeezed(texts: DataFrame) -> DataFrame:
+    """id, zipped, n_bytes, digest of ``texts(id, text)``: texts travel compressed, since they are shuffled whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zipper = zstandard.ZstdCompressor(level=3)
         for batch, data, offsets in text_steps(batches):
+            rows = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array([zipper.compress(r) for r in rows], pa.binary()),
+                    pa.array(np.diff(offsets)),
+                    pa.array([hashlib.md5(r).hexdigest() for r in rows], pa.string()),
+                ],
+                names=["id", "zipped", "n_bytes", "digest"],
+            )
+
+    return texts.mapInArrow(run, "id long, zipped binary, n_bytes long, digest string")
+
+
+def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of batches (id, zipped, n_bytes, ...) with the bytes and offsets of their texts."""
+    unzipper = zstandard.ZstdDecompressor()
+    for batch in batches:
+        ends = np.concatenate([[0], np.cumsum(batch.column(2).to_numpy())]).astype(np.int64)
+        for start, stop in steps(ends):
+            part = batch.slice(start, stop - start)
+            whole = b"".join(unzipper.decompress(z) for z in part.column(1).to_pylist())
+            yield part, np.frombuffer(whole, np.uint8), ends[start : stop + 1] - ends[start]
+
+
+def found_anchors(texts: DataFrame, length: int) -> DataFrame:
+    """gram, id, packed: every anchor of ``texts(id, zipped, n_bytes)``; packed holds its place and its strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in opened(batches):
             text, gram, place, low, high = anchors(data, offsets, length)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(gram), batch.column(0).take(pa.array(text)), pa.array((place << 14) | ((place - low) << 7) | (high - low))],
@@ -277,11 +313,11 @@ def found_anchors(texts: DataFrame, length: int) -> DataFrame:
 
 
 def expanded(texts: DataFrame, hot: bool, length: int) -> DataFrame:
-    """The strings of the anchors in ``texts(id, text, marks)``: contexts of ordinary ones, or hashes of hot ones."""
+    """The strings of the anchors in ``texts(id, zipped, n_bytes, marks)``: contexts of ordinary ones, or hashes of hot ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in text_steps(batches):
-            marks = batch.column(2)
+        for batch, data, offsets in opened(batches):
+            marks = batch.column(3)
             flat = marks.flatten()
             row = np.repeat(np.arange(batch.num_rows), marks.value_lengths().to_numpy(zero_copy_only=False))
             gram, packed, is_hot = (flat.field(c).to_numpy(zero_copy_only=False) for c in range(3))
@@ -343,19 +379,22 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    judged = texts.select("id", F.md5("text").alias("digest")).groupBy("id").agg(F.min("digest").alias("digest"))
-    firsts = judged.groupBy("digest").agg(F.min("id").alias("first"))
-    info = judged.join(firsts, "digest").select("id", "digest", (F.col("first") < F.col("id")).alias("copy"))
+    judged = texts.select("id", F.md5("text").alias("judged")).groupBy("id").agg(F.min("judged").alias("judged"))
+    firsts = judged.groupBy("judged").agg(F.min("id").alias("first"))
+    info = judged.join(firsts, "judged").select("id", "judged", (F.col("first") < F.col("id")).alias("copy"))
+    # Bytes tell the number of anchors well enough to say which share of them is hot.
+    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    hot = max(HOT_LEAST, min(HOT_MOST, int(2 * total / (length - K + 2) / HOT_SHARE)))
     # One shuffle of the texts serves all uses below.
-    placed = texts.repartition(tasks, "id")
+    placed = squeezed(texts).repartition(tasks, "id")
     compared = (
-        placed.join(info.where(~F.col("copy")).select("id", "digest").hint("shuffle_hash"), "id")
+        placed.join(info.where(~F.col("copy")).select("id", "judged").hint("shuffle_hash"), "id")
         # Not written as an equality, which would make the digest a key of the join and shuffle the texts again.
-        .where((F.octet_length("text") >= length) & F.array_contains(F.array("digest"), F.md5("text")))
-        .select("id", "text")
+        .where((F.col("n_bytes") >= length) & F.array_contains(F.array("judged"), F.col("digest")))
+        .select("id", "zipped", "n_bytes")
     )
     every = found_anchors(compared, length)
-    repeated = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", (F.col("n") >= HOT).alias("hot"))
+    repeated = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", (F.col("n") >= hot).alias("hot"))
     marks = every.join(repeated, "gram").groupBy("id").agg(F.collect_list(F.struct("gram", "packed", "hot")).alias("marks"))
     marked = compared.join(marks.hint("shuffle_hash"), "id")
     gone = settled(expanded(marked, False, length), length)
@@ -367,22 +406,23 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     ranges = gone.unionByName(hot_gone.select("id", F.col("start").alias("from"), (F.col("start") + length).alias("to")))
     by_id = ranges.groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
     joined = placed.join(info.hint("shuffle_hash"), "id").join(by_id.hint("shuffle_hash"), "id", "left")
-    same = F.md5("text") == F.col("digest")
+    same = F.col("digest") == F.col("judged")
     ready = joined.select(
         "id",
-        "text",
-        (same & F.col("copy") & (F.octet_length("text") >= length)).alias("whole"),
+        "zipped",
+        "n_bytes",
+        (same & F.col("copy") & (F.col("n_bytes") >= length)).alias("whole"),
         F.when(same, F.col("ranges")).alias("ranges"),
     )
     kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in text_steps(batches):
-            whole = batch.column(2).to_pylist()
+        for batch, data, offsets in opened(batches):
+            whole = batch.column(3).to_pylist()
             spans, kept = [], []
             for row in range(batch.num_rows):
                 own = data[offsets[row] : offsets[row + 1]]
-                found = batch.column(3)[row]
+                found = batch.column(4)[row]
                 if whole[row]:
                     ranges = np.array([[0, len(own)]])
                 elif found.is_valid and len(found):
@@ -400,7 +440,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
                 spans.append([{"from": int(a), "to": int(b)} for a, b in edges.reshape(-1, 2)])
                 kept.append(own[~removed].tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(offsets)), pa.array(spans, kind), pa.array(kept, pa.binary())],
+                [batch.column(0), batch.column(2), pa.array(spans, kind), pa.array(kept, pa.binary())],
                 names=["id", "n_bytes", "spans", "kept"],
             )
 
