@@ -34,7 +34,7 @@ from fleetwatt.operators.days import (
     with_titles,
 )
 from fleetwatt.operators.fleet import label_table, select_vehicles, with_label
-from fleetwatt.operators.flows import hour_spine, hourly_flows, spine_join
+from fleetwatt.operators.flows import flows_of_rows, hour_spine, hourly_flows, spine_join
 from fleetwatt.operators.order import first_rows
 from fleetwatt.operators.ports import label_ports, sensor_table, unpivot_ports, with_component
 from fleetwatt.operators.rollups import (
@@ -49,7 +49,7 @@ from fleetwatt.operators.rollups import (
 from fleetwatt.operators.series import series_table
 from fleetwatt.plans.environment import waves, weather
 from fleetwatt.plans.power_tables import PORT_POWER_ORDER, battery_power, port_power, solar_power
-from fleetwatt.schemas import OUTPUT_RECORD, PANEL_RECORD, WAVE_RECORD, WEATHER_RECORD, SensorSpec, text_fields
+from fleetwatt.schemas import OUTPUT_RECORD, PANEL_RECORD, POWER_THRESHOLD_W, WAVE_RECORD, WEATHER_RECORD, SensorSpec, text_fields
 from fleetwatt.session import prepare, shared_dir
 from fleetwatt.sources.json_records import (
     ALL_FIELDS,
@@ -179,9 +179,14 @@ def flow_names(flows: DataFrame) -> DataFrame:
     )
 
 
+MEASURES = {"total_usage_W": "view", "solar_gain_W": "click", "total_battery_power_W": "purchase"}
+
+
 def flows(spark: SparkSession, sf_dir: str, battery: bool = True) -> DataFrame:
-    rows = telemetry(spark, sf_dir)
-    return hourly_flows(drawing_rows(rows), *power_series(rows)[: 3 if battery else 2])
+    """All series come from one table, so their roles are told apart in one scan."""
+    component, value = F.col("component"), F.col("value")
+    measures = {mean: F.when(component == name, value) for mean, name in list(MEASURES.items())[: 3 if battery else 2]}
+    return flows_of_rows(telemetry(spark, sf_dir), (component == "error") & (value > POWER_THRESHOLD_W), measures)
 
 
 def q_spine_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +202,11 @@ def q_spine_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_hourly_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = telemetry(spark, sf_dir)
+    return flow_names(hourly_flows(drawing_rows(rows), *power_series(rows)))
+
+
+def q_flows_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flow_names(flows(spark, sf_dir))
 
 

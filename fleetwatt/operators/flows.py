@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +28,21 @@ def spine_join(spine: DataFrame, *sides: DataFrame, by: Sequence[str] = VEHICLE)
     return result
 
 
+def flows_of_rows(
+    rows: DataFrame, on_spine: Column, measures: Mapping[str, Column], hour: str = "sampleHour", by: Sequence[str] = VEHICLE
+) -> DataFrame:
+    """The spine join from one table that holds all series, in one scan and one shuffle.
+
+    ``on_spine`` tells the rows whose hours count; each of ``measures`` gives its
+    value on the rows of its series and NULL on others.
+    """
+    hours = rows.where(F.col(hour).isNotNull()).groupBy(*by, F.col(hour).alias("sampleHour")).agg(
+        F.max(F.coalesce(on_spine, F.lit(False))).alias("on_spine"),
+        *[F.avg(value.cast("double")).alias(mean) for mean, value in measures.items()],
+    )
+    return hours.where("on_spine").drop("on_spine")
+
+
 def hourly_flows(
     drawing: DataFrame,
     output: DataFrame,
@@ -58,7 +73,4 @@ def hourly_flows(
     rows = part(drawing, F.col("sampleHour"), True)
     for table, hour, measure, mean in inputs:
         rows = rows.unionByName(part(table, hour, False, mean, measure))
-    hours = rows.where(F.col("sampleHour").isNotNull()).groupBy(*by, "sampleHour").agg(
-        F.max("on_spine").alias("on_spine"), *[F.avg(mean).alias(mean) for mean in means]
-    )
-    return hours.where("on_spine").drop("on_spine")
+    return flows_of_rows(rows, F.col("on_spine"), {mean: F.col(mean) for mean in means}, by=by)

@@ -88,6 +88,7 @@ ORACLES = {
         from ({TELEMETRY}) group by all""",
     "q_spine_join": FLOWS,
     "q_hourly_flows": FLOWS,
+    "q_flows_of_rows": FLOWS,
     "q_daily_energy": f"""
         with {MEANS}
         select vehicle, h::date as day, round(sum(coalesce(usage, 0)), 6) as used_wh,

@@ -56,6 +56,15 @@ def test_plan(spark, sf_dir, name):
         assert unwanted not in text
 
 
+@pytest.mark.parametrize(
+    ("name", "scans", "shuffles"), [("q_series_long", 4, 2), ("q_day_summary", 2, 4), ("q_hourly_flows", 4, 1), ("q_flows_of_rows", 1, 1)]
+)
+def test_scans_and_shuffles(spark, sf_dir, name, scans, shuffles):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert (text.count("FileScan"), text.count("Exchange hashpartitioning")) == (scans, shuffles)
+    assert "SortAggregate" not in text
+
+
 def test_all_queries_are_registered():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
