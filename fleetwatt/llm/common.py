@@ -62,7 +62,7 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     else:
         kind = np.int32
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()

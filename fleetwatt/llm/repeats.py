@@ -7,8 +7,8 @@ the same anchor are ever compared, and each string belongs to one anchor.
 1. Copies of whole texts are found by digest; the first of them is compared.
 2. Anchors are counted over all documents; those that occur once are done.
 3. Each other anchor brings the stretch of text that its strings cover. In a
-   group of equal anchors, equal stretches are settled at once; the strings of
-   the others are suffix sorted. Suffixes are compared by binary search for
+   group of equal anchors, equal stretches are settled at once; of the others,
+   the strings whose hash occurs again are suffix sorted. Suffixes are compared by binary search for
    their common extension over prefix polynomial hashes, in a mergesort; equal
    neighbours are verified byte by byte.
 4. Hot anchors, whose share of all would weigh on one task, are no groups: their strings are counted
@@ -20,27 +20,32 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatt.llm.common import steps, table, text_steps
-from fleetwatt.llm.ngram_join import groups
+from fleetwatt.llm.common import byte_view, steps, table, text_steps
 from fleetwatt.llm.tokens import spread
 
 LENGTH = 100
-K = 24
-# An anchor is hot from one in HOT_SHARE of all anchors on, and at HOT_MOST occurrences in any case.
-HOT_SHARE = 512
-HOT_MOST = 20_000
-HOT_LEAST = 1000
+K = 20
+# An anchor is hot if it is more than one in HOT_SHARE of all; a task can hold HOT_LEAST occurrences, but not HOT_MOST.
+HOT_SHARE = 256
+HOT_LEAST = 20_000
+HOT_MOST = 100_000
 LAST_ID = (1 << 63) - 1
 CHUNK = 1 << 19
 PLACE_BITS = 20  # of a place within a chunk
 SORT_BYTES = 2 << 20
+SORT_STRINGS = 1 << 19
+# Bounds of the sample that the dictionary of the shuffled texts is made of.
+DICTIONARY_TEXTS = 2000
+DICTIONARY_BYTES = 110 << 10
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -49,10 +54,17 @@ OTHER_BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
 BYTE_VALUES = spread(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
+POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, size: int) -> np.ndarray:
-    out = np.full(size, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+    """The first powers of a base modulo 2^64; the longest row asked for so far is kept."""
+    known = POWERS.get(int(base))
+    if known is None or len(known) < size:
+        known = np.full(max(size, 1 << 16), base, np.uint64)
+        known[0] = 1
+        POWERS[int(base)] = known = np.multiply.accumulate(known)
+    return known[:size]
 
 
 def prefix_sums(data: np.ndarray, base: np.uint64, up: np.ndarray | None = None) -> np.ndarray:
@@ -183,40 +195,103 @@ def verified(data: np.ndarray, at: np.ndarray, order: np.ndarray, equal: np.ndar
     return True
 
 
-Context = tuple[int, int, int, bytes]  # id, first start, anchor's place from there, bytes
+@dataclass
+class Contexts:
+    """Stretches of text around equal or other anchors: their bytes one after another, and numbers for each."""
 
+    data: np.ndarray
+    offsets: np.ndarray
+    group: np.ndarray  # rises with the anchor
+    ids: np.ndarray
+    first: np.ndarray  # start of the first string
+    back: np.ndarray  # from there to the anchor
 
-def settle(batch: list[list[Context]], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and starts of strings that another context of their group holds earlier.
+    def take(self, rows: np.ndarray) -> Contexts:
+        lengths = np.diff(self.offsets)[rows]
+        at = np.repeat(self.offsets[rows] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        return Contexts(self.data[at], offsets, self.group[rows], self.ids[rows], self.first[rows], self.back[rows])
 
-    ``batch`` holds groups of contexts that differ from each other.
-    """
-    contexts = [c for group in batch for c in group]
-    number = np.repeat(np.arange(len(batch)), [len(g) for g in batch])
-    lengths = np.array([len(c[3]) for c in contexts])
-    starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    windows = lengths - length + 1
-    data = np.frombuffer(b"".join(c[3] for c in contexts), np.uint8)
-    own = np.repeat(np.arange(len(contexts)), windows)
-    shift = np.arange(len(own)) - np.repeat(np.cumsum(windows) - windows, windows)
+
+def same_as_before(*columns: np.ndarray) -> np.ndarray:
+    same = np.ones(len(columns[0]), bool)
+    same[:1] = False
+    for c in columns:
+        same[1:] &= c[1:] == c[:-1]
+    return same
+
+
+def equal_contexts(own: Contexts) -> np.ndarray:
+    """Whether an earlier document, or an earlier place, has the very same context; compared by hash, then by byte."""
+    lengths = np.diff(own.offsets)
+    hashes = []
+    for base, back in ((BASE, BASE_BACK), (OTHER, OTHER_BACK)):
+        sums = prefix_sums(own.data, base)
+        hashes.append((sums[own.offsets[1:]] - sums[own.offsets[:-1]]) * powers(back, len(own.data) + 1)[own.offsets[:-1]])
+    key = (own.group, own.back, lengths, *hashes)
+    order = np.lexsort((own.first, own.ids, *reversed(key)))
+    later = same_as_before(*(k[order] for k in key))
+    for low in range(0, len(order), 1 << 14):
+        these = np.flatnonzero(later[low : low + (1 << 14)]) + low
+        size = lengths[order[these]]
+        reach = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        left, right = (np.repeat(own.offsets[order[these - n]], size) + reach for n in (0, 1))
+        if (own.data[left] != own.data[right]).any():
+            return equal_one_by_one(own)
+    out = np.zeros(len(order), bool)
+    out[order] = later
+    return out
+
+
+def equal_one_by_one(own: Contexts) -> np.ndarray:
+    """The same without hashes, for contexts whose hashes collide."""
+    out = np.zeros(len(own.ids), bool)
+    seen: set[tuple] = set()
+    for row in np.lexsort((own.first, own.ids)):
+        key = (own.group[row], own.back[row], own.data[own.offsets[row] : own.offsets[row + 1]].tobytes())
+        out[row] = key in seen
+        seen.add(key)
+    return out
+
+
+def settle(own: Contexts, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and starts of strings that another context of the same group holds earlier. The contexts differ."""
+    windows = np.diff(own.offsets) - length + 1
+    row = np.repeat(np.arange(len(windows)), windows)
+    shift = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
     # Equal strings have the anchor at the same place.
-    back = np.array([c[2] for c in contexts])[own] - shift
-    ids, start = np.array([c[0] for c in contexts])[own], np.array([c[1] for c in contexts])[own] + shift
-    segment = number[own] * length + back
-    by = np.lexsort((start, ids, segment))
-    own, shift, ids, start, segment = own[by], shift[by], ids[by], start[by], segment[by]
-    at = starts[own] + shift
-    order, equal = suffix_sort(data, at, segment, length)
-    if not verified(data, at, order, equal, length):
-        seen: set[tuple[int, bytes]] = set()
-        later = np.zeros(len(at), bool)
-        for n, (a, s) in enumerate(zip(at.tolist(), segment.tolist(), strict=True)):
-            key = (s, data[a : a + length].tobytes())
-            later[n] = key in seen
-            seen.add(key)
-        return ids[later], start[later]
-    # The sort is stable and came from id and start, so the first of a run is the earliest.
-    return ids[order[equal]], start[order[equal]]
+    segment = own.group[row] * length + own.back[row] - shift
+    at = own.offsets[row] + shift
+    whole = string_hashes(own.data, length)[at]
+    # A string whose hash is alone in its segment equals no other.
+    by = np.lexsort((whole, segment))
+    twin = same_as_before(segment[by], whole[by])
+    twin[:-1] |= twin[1:]
+    by = by[twin]
+    ids, start = own.ids[row[by]], own.first[row[by]] + shift[by]
+    back = np.lexsort((start, ids, segment[by]))
+    by, ids, start = by[back], ids[back], start[back]
+    found: list[np.ndarray] = []
+    cuts = np.append(np.flatnonzero(~same_as_before(segment[by])), len(by))
+    low = 0
+    while low < len(by):
+        high = int(cuts[np.searchsorted(cuts, low + SORT_STRINGS, "right") - 1])
+        high = high if high > low else int(cuts[np.searchsorted(cuts, low, "right")])
+        part = by[low:high]
+        order, equal = suffix_sort(own.data, at[part], segment[part], length)
+        if verified(own.data, at[part], order, equal, length):
+            # The sort is stable and came from id and start, so the first of a run is the earliest.
+            found.append(order[equal] + low)
+        else:
+            seen: set[tuple[int, bytes]] = set()
+            for n, (a, g) in enumerate(zip(at[part].tolist(), segment[part].tolist(), strict=True)):
+                key = (g, own.data[a : a + length].tobytes())
+                if key in seen:
+                    found.append(np.array([n + low]))
+                seen.add(key)
+        low = high
+    later = np.concatenate(found) if found else np.zeros(0, np.int64)
+    return ids[later], start[later]
 
 
 def runs(ids: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -233,45 +308,64 @@ def runs(ids: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray,
 def settled(rows: DataFrame, length: int) -> DataFrame:
     """id, from, to of repeated stretches of ``rows(gram, id, start, back, context)``."""
 
+    def answer(block: pa.Table) -> pa.RecordBatch:
+        gram, ids, first, back = (block.column(c).to_numpy() for c in range(4))
+        order = np.lexsort((first, ids, gram))
+        order = order[~same_as_before(gram[order], ids[order], first[order])]  # repeated rows of one document
+        data, offsets = byte_view(block.column(4).combine_chunks().take(pa.array(order)).cast(pa.binary()))
+        group = np.cumsum(~same_as_before(gram[order])) - 1
+        own = Contexts(data, offsets, group, ids[order], first[order], back[order])
+        later = equal_contexts(own)
+        differing = np.flatnonzero(~later)
+        many = np.bincount(own.group[differing], minlength=len(group) + 1) > 1
+        strings = settle(own.take(differing[many[own.group[differing]]]), length)
+        parts = runs(*strings, length)
+        whole = (own.ids[later], own.first[later], own.first[later] + np.diff(own.offsets)[later])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(parts, whole, strict=True)], names=["id", "from", "to"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[list[Context]] = []
-        held = 0
-        out: list[tuple[int, int, int]] = []
-
-        def flush() -> pa.RecordBatch:
-            nonlocal waiting, held, out
-            ids, starts = settle(waiting, length) if waiting else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            own = runs(ids, starts, length)
-            more = np.array(out, np.int64).reshape(-1, 3)
-            waiting, held, out = [], 0, []
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, more[:, c]])) for c, a in enumerate(own)], names=["id", "from", "to"])
-
-        for group in groups(batches, 1):
-            if len(group) < 2:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            columns = [group.column(c).to_pylist() for c in range(1, 5)]
-            first: dict[tuple[int, bytes], Context] = {}
-            # By id and start: the first context of equal ones stays, others go whole.
-            for row in sorted(set(zip(*columns, strict=True))):
-                if first.setdefault((row[2], row[3]), row) is not row:
-                    out.append((row[0], row[1], row[1] + len(row[3])))
-            if len(first) > 1:
-                waiting.append(list(first.values()))
-                held += sum(len(c[3]) for c in first.values())
-            if held > SORT_BYTES or len(out) > 1 << 16:
-                yield flush()
-        if waiting or out:
-            yield flush()
+            held.append(batch)
+            size += batch.nbytes
+            if size < SORT_BYTES:
+                continue
+            gram = np.concatenate([b.column(0).to_numpy() for b in held])
+            cut = int(np.searchsorted(gram, gram[-1], "left"))  # the last anchor may go on
+            if not cut:
+                continue
+            block = pa.Table.from_batches(held)
+            yield answer(block.slice(0, cut))
+            held = block.slice(cut).to_batches()
+            size = sum(b.num_rows * 200 for b in held)
+        if held:
+            yield answer(pa.Table.from_batches(held))
 
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(tasks, "gram").sortWithinPartitions("gram").mapInArrow(run, "id long, from long, to long")
 
 
-def squeezed(texts: DataFrame) -> DataFrame:
+def shared_words(texts: DataFrame) -> bytes:
+    """A dictionary of what texts have in common, from at most DICTIONARY_TEXTS of them, or nothing if they are few."""
+    chosen = texts.select("id").orderBy(F.xxhash64("id", F.lit(1)), "id").limit(DICTIONARY_TEXTS)
+    part = F.substring("text", 1, 8192).alias("text")
+    rows = texts.join(F.broadcast(chosen.distinct()), "id").select("id", part).toPandas()
+    samples = [t.encode() for t in rows.sort_values(["id", "text"])["text"]]
+    samples = [t[:4096] for t in samples if len(t) >= 64]
+    if sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
+        return b""
+    return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+
+
+def squeezed(texts: DataFrame, words: Broadcast) -> DataFrame:
     """id, zipped, n_bytes, digest of ``texts(id, text)``: texts travel compressed, since they are shuffled whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zipper = zstandard.ZstdCompressor(level=3)
+        own = zstandard.ZstdCompressionDict(words.value) if words.value else None
+        zipper = zstandard.ZstdCompressor(level=3, dict_data=own)
         for batch, data, offsets in text_steps(batches):
             rows = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -287,9 +381,9 @@ def squeezed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "id long, zipped binary, n_bytes long, digest string")
 
 
-def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def opened(batches: Iterator[pa.RecordBatch], words: bytes) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of batches (id, zipped, n_bytes, ...) with the bytes and offsets of their texts."""
-    unzipper = zstandard.ZstdDecompressor()
+    unzipper = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words) if words else None)
     for batch in batches:
         ends = np.concatenate([[0], np.cumsum(batch.column(2).to_numpy())]).astype(np.int64)
         for start, stop in steps(ends):
@@ -298,11 +392,11 @@ def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, np.frombuffer(whole, np.uint8), ends[start : stop + 1] - ends[start]
 
 
-def found_anchors(texts: DataFrame, length: int) -> DataFrame:
+def found_anchors(texts: DataFrame, words: Broadcast, length: int) -> DataFrame:
     """gram, id, packed: every anchor of ``texts(id, zipped, n_bytes)``; packed holds its place and its strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in opened(batches):
+        for batch, data, offsets in opened(batches, words.value):
             text, gram, place, low, high = anchors(data, offsets, length)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(gram), batch.column(0).take(pa.array(text)), pa.array((place << 14) | ((place - low) << 7) | (high - low))],
@@ -312,11 +406,11 @@ def found_anchors(texts: DataFrame, length: int) -> DataFrame:
     return texts.mapInArrow(run, "gram long, id long, packed long")
 
 
-def expanded(texts: DataFrame, hot: bool, length: int) -> DataFrame:
+def expanded(texts: DataFrame, words: Broadcast, hot: bool, length: int) -> DataFrame:
     """The strings of the anchors in ``texts(id, zipped, n_bytes, marks)``: contexts of ordinary ones, or hashes of hot ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in opened(batches):
+        for batch, data, offsets in opened(batches, words.value):
             marks = batch.column(3)
             flat = marks.flatten()
             row = np.repeat(np.arange(batch.num_rows), marks.value_lengths().to_numpy(zero_copy_only=False))
@@ -386,19 +480,20 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     hot = max(HOT_LEAST, min(HOT_MOST, int(2 * total / (length - K + 2) / HOT_SHARE)))
     # One shuffle of the texts serves all uses below.
-    placed = squeezed(texts).repartition(tasks, "id")
+    words = documents.sparkSession.sparkContext.broadcast(shared_words(texts))
+    placed = squeezed(texts, words).repartition(tasks, "id")
     compared = (
         placed.join(info.where(~F.col("copy")).select("id", "judged").hint("shuffle_hash"), "id")
         # Not written as an equality, which would make the digest a key of the join and shuffle the texts again.
         .where((F.col("n_bytes") >= length) & F.array_contains(F.array("judged"), F.col("digest")))
         .select("id", "zipped", "n_bytes")
     )
-    every = found_anchors(compared, length)
+    every = found_anchors(compared, words, length)
     repeated = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", (F.col("n") >= hot).alias("hot"))
     marks = every.join(repeated, "gram").groupBy("id").agg(F.collect_list(F.struct("gram", "packed", "hot")).alias("marks"))
     marked = compared.join(marks.hint("shuffle_hash"), "id")
-    gone = settled(expanded(marked, False, length), length)
-    strings = expanded(marked.where(F.exists("marks", lambda m: m["hot"])), True, length)
+    gone = settled(expanded(marked, words, False, length), length)
+    strings = expanded(marked.where(F.exists("marks", lambda m: m["hot"])), words, True, length)
     counted = strings.groupBy("w", "v").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
     hot_gone = strings.join(counted.select("w", "v", "first"), ["w", "v"]).where(
         (F.col("first.id") < F.col("id")) | ((F.col("first.id") == F.col("id")) & (F.col("first.start") < F.col("start")))
@@ -417,7 +512,7 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in opened(batches):
+        for batch, data, offsets in opened(batches, words.value):
             whole = batch.column(3).to_pylist()
             spans, kept = [], []
             for row in range(batch.num_rows):
