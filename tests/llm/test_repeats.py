@@ -77,13 +77,23 @@ def test_suffix_sort_orders_and_finds_equal_strings():
 
 
 def test_collisions_are_verified(monkeypatch):
-    texts = [b"a" * 120, b"b" * 120, b"a" * 121]
-    batch = [[(n, 0, 5, t) for n, t in enumerate(texts)]]
-    ids, starts = repeats.settle(batch, 100)
-    expected = sorted(zip(ids.tolist(), starts.tolist(), strict=True))
+    texts = [b"a" * 120, b"b" * 120, b"a" * 121, b"a" * 120, b"c" * 120]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    zero = np.zeros(5, np.int64)
+    own = repeats.Contexts(data, offsets, zero, np.arange(5), zero, zero + 5)
+
+    def result():
+        differing = own.take(np.flatnonzero(~repeats.equal_contexts(own)))
+        ids, starts = repeats.settle(differing, 100)
+        return repeats.equal_contexts(own).tolist(), sorted(zip(ids.tolist(), starts.tolist(), strict=True))
+
+    expected = result()
+    assert expected[0] == [False, False, False, True, False] and expected[1] == [(2, s) for s in range(21)]
     monkeypatch.setattr(repeats, "BYTE_VALUES", np.zeros(256, np.uint64))  # every two strings collide
-    ids, starts = repeats.settle(batch, 100)
-    assert sorted(zip(ids.tolist(), starts.tolist(), strict=True)) == expected
+    assert result() == expected
+    monkeypatch.setattr(repeats, "SORT_STRINGS", 7)
+    assert result() == expected
 
 
 def test_anchors_cover_each_string_once(monkeypatch):
@@ -94,7 +104,7 @@ def test_anchors_cover_each_string_once(monkeypatch):
     text, gram, place, low, high = repeats.anchors(data, offsets)
     covered = sorted((t, s) for t, a, b in zip(text, low, high, strict=True) for s in range(a, b + 1))
     assert covered == [(2, s) for s in range(301)] + [(3, s) for s in range(351)]
-    assert ((low <= place) & (place <= low + 76) & (high <= place)).all()
+    assert ((low <= place) & (place <= low + 100 - repeats.K) & (high <= place)).all()
 
 
 def test_query(spark, sf_dir):
