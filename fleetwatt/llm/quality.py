@@ -2,8 +2,10 @@
 
 A text is cut into pieces of ``PIECE`` bytes, each compressed alone with either
 dictionary, so that the dictionaries and not the text before decide the size.
-The mean difference per byte becomes a probability by logistic calibration on
-labelled texts that the dictionaries have not seen.
+The normalised difference of the sizes becomes a probability by logistic
+calibration on labelled texts that the dictionaries have not seen. Beside it
+stands the size under the good dictionary, since text that repeats itself is
+small under either and the difference says little about it.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ PIECE = 1024
 DICTIONARY_BYTES = 112 << 10
 LEVEL = 1
 ACCEPT = 0.7
+# Bytes added to the length, so that very short texts do not count as extreme.
+DIFFERENCE_PRIOR, SIZE_PRIOR = 100, 50
 # Bounds of the sample a model is fitted on.
 SAMPLE_PER_LABEL = 4000
 SAMPLE_BYTES = 16 << 10
@@ -34,7 +38,7 @@ class Compressors:
 
     good: bytes
     bad: bytes
-    slope: float
+    weights: np.ndarray  # of the measures
     offset: float
 
     def open(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
@@ -50,13 +54,15 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=prepared, **settings)
 
 
-def difference(text: bytes, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> float:
-    """Bytes that the bad dictionary needs more, per byte of text; 0 for an empty text."""
-    spent = 0
+def measures(text: bytes, good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor) -> tuple[float, float, float]:
+    """Bytes that the bad dictionary needs more, per byte of text; bytes under the good one, and their square. All 0 if empty."""
+    by_good = by_bad = 0
     for start in range(0, len(text), PIECE):
         piece = text[start : start + PIECE]
-        spent += len(bad.compress(piece)) - len(good.compress(piece))
-    return spent / max(1, len(text))
+        by_good += len(good.compress(piece))
+        by_bad += len(bad.compress(piece))
+    size = by_good / (len(text) + SIZE_PRIOR)
+    return (by_bad - by_good) / (len(text) + DIFFERENCE_PRIOR), size, size * size
 
 
 def excerpt(text: bytes) -> bytes:
@@ -78,20 +84,20 @@ def dictionary(samples: list[bytes]) -> bytes:
     return zstandard.train_dictionary(DICTIONARY_BYTES, pieces).as_bytes()
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 60, ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and offset of the logistic curve of y on x by Newton's method; x is scaled inside."""
-    scale = float(np.abs(x).max()) or 1.0
-    design = np.column_stack([x / scale, np.ones(len(x))])
-    weight = np.zeros(2)
+def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 80, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
+    """Weights and offset of the logistic curve of y on the columns of x by Newton's method."""
+    middle, spread = x.mean(0), x.std(0) + 1e-9
+    design = np.column_stack([(x - middle) / spread, np.ones(len(x))])
+    weight = np.zeros(design.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ weight, -30, 30)))
         gradient = design.T @ (y - p) - ridge * weight
-        curve = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(2)
-        step = np.linalg.solve(curve, gradient)
-        weight += np.clip(step, -5, 5)
+        curve = (design * (p * (1 - p))[:, None]).T @ design + ridge * np.eye(len(weight))
+        step = np.clip(np.linalg.solve(curve, gradient), -3, 3)
+        weight += step
         if np.abs(step).max() < 1e-9:
             break
-    return float(weight[0] / scale), float(weight[1])
+    return weight[:-1] / spread, float(weight[-1] - (weight[:-1] * middle / spread).sum())
 
 
 def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Compressors:
@@ -133,29 +139,29 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_L
     bad = dictionary([t for t, q, own in zip(texts, quality, learn, strict=True) if own and q != 1])
     check = ~learn if (~learn).any() else learn
     if not len(texts):
-        return Compressors(b"", b"", 0.0, 0.0)
+        return Compressors(b"", b"", np.zeros(3), 0.0)
     by_good, by_bad = compressor(good), compressor(bad)
-    x = np.array([difference(t, by_good, by_bad) for t, own in zip(texts, check, strict=True) if own])
+    x = np.array([measures(t, by_good, by_bad) for t, own in zip(texts, check, strict=True) if own])
     y = (quality[check] == 1).astype(float)
     # The sample holds as many of either label; weights bring back their shares.
     share = known.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
-    slope, offset = calibrate(x, y)
+    weights, offset = calibrate(x, y)
     sampled = y.mean()
     if 0 < share < 1 and 0 < sampled < 1:
         offset += float(np.log(share / (1 - share)) - np.log(sampled / (1 - sampled)))
-    return Compressors(good, bad, slope, offset)
+    return Compressors(good, bad, weights, offset)
 
 
 def scores(model: Compressors, compressors: tuple, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     whole = data.tobytes()
-    x = np.array([difference(whole[a:b], *compressors) for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
-    return 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -700, 700)))
+    x = np.array([measures(whole[a:b], *compressors) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]).reshape(-1, 3)
+    return 1 / (1 + np.exp(-np.clip(x @ model.weights + model.offset, -700, 700)))
 
 
 def score(documents: DataFrame, model: Compressors) -> DataFrame:
     """doc_id and ``score`` from 0 to 1 of each row of ``documents(doc_id, text)``.
 
-    Empty and NULL texts have no difference and get the score of the offset.
+    Empty and NULL texts have the size 0 and get the score that goes with it.
     Each row is judged alone by its whole text; repeated rows give equal scores,
     rows without id stay. Other columns are left out.
     """
