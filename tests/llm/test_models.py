@@ -168,4 +168,4 @@ def test_quality_of_odd_rows(spark, docs):
     assert kept.schema == table.schema and 102 not in {r.doc_id for r in kept.collect()}
     nothing = quality.train(docs(), labels.limit(0))
     assert [r.score for r in quality.score(docs((1, "x")), nothing).collect()] == [0.5]
-    assert quality.score(docs(), model).count() == 0 and quality.train(docs(*pairs), labels.where(F.col("quality") == 1)).slope == pytest.approx(0, abs=1e9)
+    assert quality.score(docs(), model).count() == 0 and np.isfinite(quality.train(docs(*pairs), labels.where(F.col("quality") == 1)).weights).all()
