@@ -15,7 +15,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetwatt.functions.numbers import scaled, to_number, total
 from fleetwatt.functions.times import day_of, day_range, hour_of, to_time

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwatt.functions.numbers import or_zero
-from fleetwatt.functions.times import day_end, day_of, day_start, day_text, in_day
+from fleetwatt.functions.times import day_end, day_of, day_start, day_text
 
 VEHICLE = ("vehicle",)
 
@@ -31,10 +31,6 @@ def default_day(rows: DataFrame, as_of: dt.date | None = None, time: str = "samp
     return rows.groupBy(*by).agg(F.coalesce(F.max(F.when(day == today, day)), F.max(day)).alias("default_day"))
 
 
-def flag_day(rows: DataFrame, time: str, day: Column, out: str = "in_selected_day") -> DataFrame:
-    return rows.withColumn(out, in_day(F.col(time), day))
-
-
 def flag_default_day(rows: DataFrame, time: str, defaults: DataFrame, by: Sequence[str] = VEHICLE) -> DataFrame:
     """Flag the rows on the default day of their vehicle; ``defaults`` has a row per vehicle.
 

@@ -12,7 +12,7 @@ from fleetwatt.functions.numbers import milli_to_unit, to_integer, to_number
 from fleetwatt.functions.times import hour_of, to_time_strict
 from fleetwatt.operators.ports import label_ports, unpivot_ports
 from fleetwatt.operators.rollups import positive_sum
-from fleetwatt.schemas import OUTPUT_READ, OUTPUT_SLOTS, SOLAR_FIELDS, SOLAR_SLOTS
+from fleetwatt.schemas import OUTPUT_READ, OUTPUT_SLOTS, SOLAR_SLOTS
 from fleetwatt.sources.json_records import SOURCE_ORDER
 
 PORT_POWER_ORDER = ["timestamp", "domain", "slot", "port"]
@@ -55,13 +55,6 @@ def port_power(output_records: DataFrame, sensors: DataFrame) -> DataFrame:
     )
 
 
-def solar_ports(solar_records: DataFrame) -> DataFrame:
-    """Every reported solar port, with its measures as numbers."""
-    timed = solar_records.drop(SOURCE_ORDER).withColumn("timeStamp", to_time_strict(F.col("timeStamp")))
-    measures = [name for name in SOLAR_FIELDS if name not in ("portStatus", "sampleTime")]
-    return unpivot_ports(timed, SOLAR_FIELDS, SOLAR_SLOTS).withColumns({name: to_number(F.col(name)) for name in measures})
-
-
 def solar_power(solar_records: DataFrame, scale: int | None = None) -> DataFrame:
     """Power of the panels that deliver any, per report time; ``PANEL_RECORD`` has all fields this needs."""
     timed = solar_records.drop(SOURCE_ORDER).withColumn("timeStamp", to_time_strict(F.col("timeStamp")))

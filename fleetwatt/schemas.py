@@ -79,17 +79,6 @@ MISSING_MARKS = (9999.0, -9999.0)
 OUTPUT_SLOTS = 33
 SOLAR_SLOTS = 4
 OUTPUT_FIELDS = ["portStatus", "avgPower", "avgVoltage", "avgCurrent", "sampleTime"]
-SOLAR_FIELDS = [
-    "portStatus",
-    "boostPower",
-    "boostVoltage",
-    "boostCurrent",
-    "panelPower",
-    "panelVoltage",
-    "panelCurrent",
-    "boostRatio",
-    "sampleTime",
-]
 BATTERY_REQUIRED = ["gliderTimeStamp", "totalBatteryPower"]
 
 # Input field -> output column.
@@ -164,9 +153,7 @@ PORT_KEYS = ["portNumber", "moduleNumber"]
 # The parser makes every declared field, so only the fields that are read are declared.
 OUTPUT_READ = [name for name in OUTPUT_FIELDS if name != "sampleTime"]
 OUTPUT_RECORD = text_fields(["timeStamp", "powerDomain", *numbered(PORT_KEYS + OUTPUT_READ, OUTPUT_SLOTS)])
-SOLAR_RECORD = text_fields(["timeStamp", *numbered(PORT_KEYS + SOLAR_FIELDS, SOLAR_SLOTS)])
 PANEL_RECORD = text_fields(["timeStamp", *numbered(PORT_KEYS + ["panelPower"], SOLAR_SLOTS)])
-BATTERY_RECORD = text_fields(BATTERY_REQUIRED)
 WEATHER_RECORD = text_fields(["timeStamp", *WEATHER_COLUMNS])
 WAVE_RECORD = text_fields(["timeStamp", *WAVE_COLUMNS])
 

@@ -1,9 +1,16 @@
+import datetime as dt
 import json
+import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetwatt.functions.numbers import to_number
+from fleetwatt.functions.times import to_time
+from fleetwatt.operators.days import first_last
+from fleetwatt.operators.rollups import hourly_mean
 from fleetwatt.schemas import text_fields
 from fleetwatt.sources.json_records import (
     ALL_FIELDS,
@@ -155,3 +162,34 @@ def test_a_hot_day_is_written_in_several_tasks(spark, tmp_path):
         spark.conf.set(key, before)
     assert len(list((tmp_path / "t" / "day=hot").glob("*.parquet"))) > 4
     assert spark.read.parquet(f"{tmp_path}/t").count() == 200_000
+
+
+def test_days_of_csv_tables_equal_sql(spark, tmp_path):
+    """Hourly and per-report tables of 48 days, with gaps, nights, repeats and blank values, as CSV."""
+    rng = random.Random(3)
+    start = dt.datetime(2026, 6, 30, 9)
+    hours = [start + dt.timedelta(hours=h) for h in range(48 * 24) if rng.random() > 0.08]
+    output = [(h, round(rng.uniform(0, 70), 3) if rng.random() > 0.02 else None) for h in hours]
+    reports = [h + dt.timedelta(minutes=43, seconds=rng.randint(0, 59)) for h in hours if rng.random() > 0.2]
+    battery = [(t, round(rng.uniform(2000, 2800), 3)) for t in [*reports, *reports[400:402]]]
+
+    def put(name, rows_):
+        text = "".join(f"{t},{'' if v is None else v}\n" for t, v in rows_)
+        (tmp_path / name).write_text("timestamp,value\n" + text)
+        found = read_csv(spark, str(tmp_path / name), text_fields(["timestamp", "value"]))
+        return found.select(F.lit("wg1").alias("vehicle"), to_time(F.col("timestamp")).alias("timestamp"), to_number(F.col("value")).alias("value"))
+
+    means = hourly_mean(put("output.csv", output), "timestamp", "value", "mean")
+    ends = first_last(put("battery.csv", battery), "timestamp", "value")
+
+    def sql(text):
+        return sorted(duckdb.sql(text).fetchall())
+
+    expected = sql(f"select 'wg1', date_trunc('hour', timestamp), avg(value) from '{tmp_path}/output.csv' group by 2")
+    assert sorted((r[0], r[1], None if r[2] is None else pytest.approx(r[2])) for r in map(tuple, means.collect())) == expected
+    expected = sql(
+        f"""select 'wg1', timestamp::date, min(value) filter (timestamp = low), max(value) filter (timestamp = high)
+        from (select *, min(timestamp) over d as low, max(timestamp) over d as high from '{tmp_path}/battery.csv'
+              window d as (partition by timestamp::date)) group by 2"""
+    )
+    assert rows(ends) == expected and len(expected) > 40
