@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from fleetwatt.llm.common import stored, table, text_steps
 from fleetwatt.llm.components import components
-from fleetwatt.llm.tokens import spread, word_keys
+from fleetwatt.llm.tokens import NOT_ALPHANUMERIC, spread, word_keys
 
 N = 5
 THRESHOLD = 0.8
@@ -53,7 +53,7 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int = N) -> tuple[np.nda
     A text of fewer than n words, but not none, has one n-gram of all of them.
     """
     rows = len(offsets) - 1
-    text, word = word_keys(data, offsets)
+    text, word = word_keys(data, offsets, NOT_ALPHANUMERIC)
     counts = np.bincount(text, minlength=rows)
     ends = np.cumsum(counts)
     left = np.repeat(ends, counts) - np.arange(len(word))  # words from here to the end of the text
@@ -330,6 +330,8 @@ def join(documents: DataFrame, threshold: float = THRESHOLD, recall: float = TAR
     similarity of at least ``threshold``, copies included. ``class_id`` is the
     smallest doc_id that links lead to. Any two rows are found with at least
     the probability ``recall`` if they are at the threshold, and more above it.
+    Words are lower-cased (A-Z) and cut at ASCII characters other than letters
+    and digits, so punctuation does not tell copies apart.
     Texts without words (NULL, empty) have no links and are their own class.
     Repeated rows are copies of each other. Rows without id are compared like
     others; a class of such rows alone has no id. Extra columns are left out.

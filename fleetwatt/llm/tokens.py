@@ -8,6 +8,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
 SPACE[[32, 9, 10, 11, 12, 13]] = True
+# All of ASCII but letters and digits; bytes beyond ASCII belong to words.
+NOT_ALPHANUMERIC = np.arange(256) < 128
+for _first, _last in (b"09", b"AZ", b"az"):
+    NOT_ALPHANUMERIC[_first : _last + 1] = False
 
 
 def spread(x: np.ndarray) -> np.ndarray:
