@@ -9,7 +9,7 @@ import pytest
 from fleetwatt.llm import ngram_join as nj
 from fleetwatt.llm.components import components
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
 
@@ -53,7 +53,7 @@ def near(request):
     for g in range(6):
         base = [f"{'ABab'[g % 4]}{rng.randint(0, 60)}" for _ in range(rng.randint(30, 150))]
         pairs += [(len(pairs) + n, edited(rng, base, rng.randint(0, 5))) for n in range(25)]
-    pairs += [(500, None), (501, ""), (502, "  \n"), (503, "two words"), (504, "TWO words"), (505, "two"), (None, pairs[3][1]), (None, None)]
+    pairs += [(500, None), (501, ""), (502, "  \n"), (503, "two words"), (504, "TWO words"), (505, "two"), (506, "Two, words!"), (507, "*** --"), (None, pairs[3][1]), (None, None)]
     return pairs + [pairs[0], pairs[30], (30, "an other text that shares the id of one above")]
 
 
