@@ -104,37 +104,34 @@ def train(documents: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_L
     """Fit on ``labels(doc_id, quality)`` joined to their texts.
 
     Of each label ``per_label`` documents are used, chosen by a hash of the id,
-    with at most SAMPLE_BYTES of each. Every second one makes the dictionaries,
-    the others the calibration. Labels of one id that disagree count as bad;
+    with at most SAMPLE_BYTES of each. Half of them, by another hash, make the
+    dictionaries, the others the calibration. Labels of one id that disagree count as bad;
     NULL labels, ids and texts teach nothing. Without any label scores are 1/2;
     with one label only, they are its share.
     """
-    from pyspark.sql import Window
-
-    order = F.xxhash64("doc_id", F.lit(6))
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    place = F.row_number().over(Window.partitionBy("quality").orderBy(order, "doc_id"))
-    chosen = known.withColumn("place", place).where(F.col("place") <= per_label)
-    bound = F.broadcast(chosen.select("doc_id", "quality", "place"))  # 2 x per_label rows
+    order = [F.xxhash64("doc_id", F.lit(6)), "doc_id"]
+    chosen = [known.where(own).orderBy(*order).limit(per_label) for own in (F.col("quality") == 1, F.col("quality") != 1)]
+    learns = F.pmod(F.xxhash64("doc_id", F.lit(61)), F.lit(2)) == 1
+    bound = F.broadcast(chosen[0].unionByName(chosen[1]).withColumn("learns", learns))  # at most 2 x per_label rows
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [excerpt((t or "").encode()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, pa.binary()), batch.column(2), batch.column(3), batch.column(0)], names=["text", "quality", "place", "doc_id"]
+                [pa.array(texts, pa.binary()), batch.column(2), batch.column(3), batch.column(0)], names=["text", "quality", "learns", "doc_id"]
             )
 
     sample = (
         id_text(documents)
         .where(F.col("text").isNotNull())
         .join(bound, "doc_id")
-        .mapInArrow(cut, "text binary, quality int, place int, doc_id long")
+        .mapInArrow(cut, "text binary, quality int, learns boolean, doc_id long")
         .toPandas()
-        .sort_values(["quality", "place", "text"])
+        .sort_values(["quality", "doc_id", "text"])
     )
-    texts, quality, place = sample["text"].tolist(), sample["quality"].to_numpy(), sample["place"].to_numpy()
-    learn = place % 2 == 1
+    texts, quality, learn = sample["text"].tolist(), sample["quality"].to_numpy(), sample["learns"].to_numpy(bool)
     good = dictionary([t for t, q, own in zip(texts, quality, learn, strict=True) if own and q == 1])
     bad = dictionary([t for t, q, own in zip(texts, quality, learn, strict=True) if own and q != 1])
     check = ~learn if (~learn).any() else learn
