@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatt.llm.common import stored, table
+from fleetwatt.llm.common import fresh, stored, table
 
 WINDOW = 10
 K = 5
@@ -125,9 +125,10 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``documents``, with all their columns, in which no item window occurs."""
-    hit = hits_by_key(documents, items).select(F.col("_i").alias("_hit_i"), F.col("_r").alias("_hit_r"))
+    names = [fresh(documents, "_hit_i"), fresh(documents, "_hit_r")]
+    hit = hits_by_key(documents, items).select(*[F.col(k).alias(n) for k, n in zip(KEY, names, strict=True)])
     doc_id, text_hash = keys()
-    return documents.join(hit, (doc_id == F.col("_hit_i")) & (text_hash == F.col("_hit_r")), "left_anti")
+    return documents.join(hit, (doc_id == F.col(names[0])) & (text_hash == F.col(names[1])), "left_anti")
 
 
 def hits_by_key(documents: DataFrame, items: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetwatt.llm.common import stored, table, text_steps
+from fleetwatt.llm.common import fresh, stored, table, text_steps
 from fleetwatt.llm.components import components
 from fleetwatt.llm.tokens import NOT_ALPHANUMERIC, spread, word_keys
 
@@ -380,10 +380,11 @@ def one_of_each(documents: DataFrame, threshold: float = THRESHOLD, recall: floa
     Of rows that share an id the one with the smallest text stays. Rows without
     id cannot be told apart from others by it and all stay.
     """
-    first = join(documents, threshold, recall).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_first")).distinct()
-    named = documents.join(first, F.col("doc_id") == F.col("_first"), "left_semi")
+    mine, place = fresh(documents, "_first"), fresh(documents, "_place")
+    first = join(documents, threshold, recall).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(mine)).distinct()
+    named = documents.join(first, F.col("doc_id") == F.col(mine), "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text")
-    single = named.withColumn("_place", F.row_number().over(order)).where(F.col("_place") == 1).drop("_place")
+    single = named.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
     return single.unionByName(documents.where(F.col("doc_id").isNull()))
 
 
