@@ -34,6 +34,9 @@ from fleetwatt.llm.tokens import spread
 
 LENGTH = 100
 K = 20
+# Anchors are told apart by 48 bits; the others are 0 and cost nothing in a shuffle. Two
+# K-grams with one hash share a group, where their strings are compared like any others.
+GRAM_BITS = ~np.uint64(0xFFFF)
 # An anchor is hot if it is more than one in HOT_SHARE of all; a task can hold HOT_LEAST occurrences, but not HOT_MOST.
 HOT_SHARE = 256
 HOT_LEAST = 20_000
@@ -44,8 +47,9 @@ PLACE_BITS = 20  # of a place within a chunk
 SORT_BYTES = 2 << 20
 SORT_STRINGS = 1 << 19
 # Bounds of the sample that the dictionary of the shuffled texts is made of.
-DICTIONARY_TEXTS = 2000
-DICTIONARY_BYTES = 110 << 10
+DICTIONARY_TEXTS = 3000
+DICTIONARY_BYTES = 512 << 10
+LEVEL = 6
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -116,7 +120,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int
         heads = np.flatnonzero(cut)
         tails = np.append(heads[1:], len(at)) - 1
         begin = offsets[text[heads]]
-        parts.append((text[heads], grams[place[heads]].view(np.int64), place[heads] + start - begin, at[heads] - begin, at[tails] - begin))
+        parts.append((text[heads], (grams[place[heads]] & GRAM_BITS).view(np.int64), place[heads] + start - begin, at[heads] - begin, at[tails] - begin))
     if not parts:
         return empty, empty, empty, empty, empty
     return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
@@ -355,9 +359,10 @@ def shared_words(texts: DataFrame) -> bytes:
     rows = texts.join(F.broadcast(chosen.distinct()), "id").select("id", part).toPandas()
     samples = [t.encode() for t in rows.sort_values(["id", "text"])["text"]]
     samples = [t[:4096] for t in samples if len(t) >= 64]
-    if sum(map(len, samples)) < 8 * DICTIONARY_BYTES:
+    size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
+    if size < 4096 or len(samples) < 64:
         return b""
-    return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
+    return zstandard.train_dictionary(size, samples).as_bytes()
 
 
 def squeezed(texts: DataFrame, words: Broadcast) -> DataFrame:
@@ -365,7 +370,7 @@ def squeezed(texts: DataFrame, words: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = zstandard.ZstdCompressionDict(words.value) if words.value else None
-        zipper = zstandard.ZstdCompressor(level=3, dict_data=own)
+        zipper = zstandard.ZstdCompressor(level=LEVEL, dict_data=own)
         for batch, data, offsets in text_steps(batches):
             rows = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
