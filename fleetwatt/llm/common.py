@@ -15,7 +15,7 @@ import fleetwatt
 from fleetwatt.session import shared_dir
 
 # Bytes of text that one step of a Python task works on; a longer document is a step of its own.
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 
 def importable(spark: SparkSession) -> None:
@@ -99,3 +99,5 @@ def text_steps(batches: Iterator[pa.RecordBatch], column: str = "text") -> Itera
                 data[offsets[start] : offsets[stop]],
                 offsets[start : stop + 1] - offsets[start],
             )
+    # The worker lives on for other tasks; what this one has used goes back.
+    pa.default_memory_pool().release_unused()

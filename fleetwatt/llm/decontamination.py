@@ -126,7 +126,7 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
 def clean(documents: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``documents``, with all their columns, in which no item window occurs."""
     names = [fresh(documents, "_hit_i"), fresh(documents, "_hit_r")]
-    hit = hits_by_key(documents, items).select(*[F.col(k).alias(n) for k, n in zip(KEY, names, strict=True)])
+    hit = stored(hits_by_key(documents, items).select(*[F.col(k).alias(n) for k, n in zip(KEY, names, strict=True)]), "hit-keys")
     doc_id, text_hash = keys()
     return documents.join(hit, (doc_id == F.col(names[0])) & (text_hash == F.col(names[1])), "left_anti")
 
@@ -147,7 +147,11 @@ def hits_by_key(documents: DataFrame, items: DataFrame) -> DataFrame:
     candidates = candidates.groupBy(*key).agg(
         F.flatten(F.collect_list("places")).alias("places"), F.flatten(F.collect_list("short")).alias("short")
     )
-    cut = keyed.join(candidates, key).select(*key, words(F.col("text")).alias("w"), "places", "short")
+    # Stored, so that the planner knows how few keys there may be before it would shuffle all texts.
+    candidates = stored(candidates, "candidates")
+    named = stored(candidates.select(*key), "candidate-keys")
+    chosen = keyed.join(named, key, "left_semi")
+    cut = chosen.join(candidates, key).select(*key, words(F.col("text")).alias("w"), "places", "short")
     # Places repeat every 2^PLACE_BITS words.
     true_places = F.flatten(F.transform("places", lambda p: F.sequence(p, F.greatest(p, F.size("w") - 1), F.lit(PLACE_MASK + 1))))
     starts = F.array_distinct(
