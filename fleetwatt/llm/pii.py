@@ -27,6 +27,8 @@ KINDS = ("email", "ip", "card", "phone")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The same, but a run of digits that begins no address is taken whole: within it none can begin either.
+IP_OR_RUN = re.compile(r"[0-9]++(?:\.[0-9]++\.[0-9]++(\.[0-9]+))?")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
@@ -70,8 +72,8 @@ def base_spans(text: str) -> list[Span]:
             end = match.end()
             found.append((start, 0, end))
         at = text.find("@", max(at + 1, end))
-    for m in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in m[0].split(".")):
+    for m in IP_OR_RUN.finditer(text):
+        if m[1] and all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or 0) <= 255 for part in m[0].split(".")):
             found.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = NOT_DIGIT.sub("", m[0])
