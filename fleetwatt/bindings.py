@@ -336,10 +336,15 @@ def q_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads(rows: DataFrame, vehicle: str, record: str) -> DataFrame:
-    """Each row as the JSON payload of one record, in the form a file scan delivers."""
+    """Each row as the JSON payload of one record, in the form a file scan delivers.
+
+    Reports of an order stand in one place, as those of a day do in a file. This
+    deals the rows out in the same way at every size.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     text = F.concat(F.lit('{"recordData":['), F.to_json(F.expr(record)), F.lit("]}"))
     zero = F.lit(0).cast("long")
-    return rows.select(
+    return rows.repartition(tasks, "l_orderkey").select(
         F.col(vehicle).alias("vehicle"),
         F.lit("row").alias("file"),
         zero.alias("chunk"),
