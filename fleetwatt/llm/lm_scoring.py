@@ -3,7 +3,9 @@
 Word counts cover all training texts. The words that make up at least one in
 ``FREQUENT`` of all are at most ``FREQUENT`` many, whatever the corpus: those
 are looked up in the task that reads the text. All others are joined to their
-counts, so no key of that join holds more than a small share of the rows.
+counts, so no key of that join holds more than a small share of the rows. Byte
+contexts are treated the same way: the frequent ones are in the tree, what
+follows the others is joined to its counts.
 """
 
 from __future__ import annotations
@@ -74,13 +76,16 @@ def score(documents: DataFrame, training: DataFrame, *keep: str) -> DataFrame:
     words = words[order]
     logs = np.log10(frequent.column("n").to_numpy()[order] + 1.0)
     tree = ppm.build(ppm.gram_counts(training.select("text", F.lit("all").alias("kind"))))
-    shared = spark.sparkContext.broadcast((words, logs, tree))
+    whole = tree.cold is None
+    tree_shared = spark.sparkContext.broadcast(tree)
+    shared = spark.sparkContext.broadcast((words, logs))
     even = -float(np.log10(256))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words, logs, tree = shared.value
+        words, logs = shared.value
+        tree = tree_shared.value
         number = TaskContext.get().partitionId() << 40
         for batch, data, offsets in text_steps(batches):
             rows = batch.num_rows
@@ -98,8 +103,9 @@ def score(documents: DataFrame, training: DataFrame, *keep: str) -> DataFrame:
             heads = np.flatnonzero(other)
             times = np.diff(np.append(heads, len(by)))
             cuts = np.concatenate([[0], np.cumsum(np.bincount(text[by][heads], minlength=rows))]).astype(np.int32)
+            away: list = []
             if tree.kinds:
-                logp = -tree.code_lengths(data, offsets)[:, 0] * np.log10(2)
+                logp = -tree.code_lengths(data, offsets, away=None if whole else away)[:, 0] * np.log10(2)
             else:
                 logp = (np.diff(offsets) + 1) * even
             yield pa.RecordBatch.from_arrays(
@@ -112,22 +118,26 @@ def score(documents: DataFrame, training: DataFrame, *keep: str) -> DataFrame:
                     pa.array(logp),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(found[by][heads].view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(cuts), pa.array(times.astype(np.int32))),
+                    *([] if whole else ppm.away_lists(away, rows)),
                 ],
-                names=[*batch.schema.names, "row", "n_tokens", "known", "gained", "score", "words", "times"],
+                names=[*batch.schema.names, "row", "n_tokens", "known", "gained", "score", "words", "times", *([] if whole else ["grams", "gram_times"])],
             ).drop_columns(["text"])
             number += rows
 
     texts = documents.select("doc_id", "text", *keep)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name != "text")
     made = f"{kept}, row long, n_tokens long, known long, gained double, score double, words array<long>, times array<int>"
+    made += "" if whole else ", grams array<long>, gram_times array<long>"
     # Written once: both uses below see the same row numbers.
     rows = stored(texts.mapInArrow(read, made), "scored")
     rare = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    found = (
-        rare.join(counts, "word")
-        .groupBy("row")
-        .agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("gain"))
+    gains = rare.join(counts, "word").select(
+        "row", "times", (F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("gain"), F.lit(0.0).alias("bits")
     )
+    if not whole:
+        bits = ppm.corrections(rows.select("row", "grams", "gram_times"), tree, tree_shared)
+        gains = gains.unionByName(bits.select("row", F.lit(0).alias("times"), F.lit(0.0).alias("gain"), F.col("more").alias("bits")))
+    found = gains.groupBy("row").agg(F.sum("times").alias("more"), F.sum("gain").alias("gain"), F.sum("bits").alias("bits"))
     size = F.lit(float(np.log10(total + distinct + 1)))
     return rows.join(found, "row", "left").select(
         "doc_id",
@@ -136,7 +146,7 @@ def score(documents: DataFrame, training: DataFrame, *keep: str) -> DataFrame:
         (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("gained") + F.coalesce("gain", F.lit(0.0)) - F.col("n_tokens") * size).alias("base_score"),
-        "score",
+        (F.col("score") - F.coalesce("bits", F.lit(0.0)) * F.lit(float(np.log10(2)))).alias("score"),
     )
 
 

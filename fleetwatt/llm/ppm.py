@@ -1,14 +1,16 @@
 """Prediction by partial matching over bytes, with frozen statistics.
 
-Spark counts all byte 4-grams of the training texts. The driver makes of them
-one context tree per class, at most ``max_grams`` leaves each, and from it the
-code length of each symbol after each known context, escapes and symbol
-exclusion worked out in full. Tasks then only look code lengths up, so scoring
-is exact for the frozen tree and takes the same time for every order.
+Spark counts all byte 4-grams of the training texts, per class, and all of them
+count. What follows contexts of up to two symbols is gathered whole: it is
+bounded by the alphabet. Of the contexts of three the most frequent have a row
+of code lengths in the tree, escapes and symbol exclusion worked out in full.
+The others stay in the stored counts: tasks code what follows them as if the
+context were new and name the 4-grams, and ``corrections`` joins these to their
+counts and gives the difference. So scoring is exact for all that was trained.
 
 Texts are coded from three boundary symbols on, and end with one, so that the
-probabilities of all texts add up to at most one. Bytes beyond the
-``MAX_SYMBOLS`` most frequent share one symbol and its probability.
+probabilities of all texts add up to at most one. Every byte value that was
+trained, of any class, is a symbol; all others share one and its probability.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,13 +29,11 @@ from fleetwatt.llm.common import stored, text_steps
 
 ORDER = 3
 BOUNDARY = 0xFF  # not a byte of UTF-8
-SYMBOL_BITS = 7
-MAX_SYMBOLS = (1 << SYMBOL_BITS) - 2  # besides the boundary and the shared symbol
 SHARED = 1
+# Bounds of the rows in the tree: of its 4-grams per kind, its contexts of three, its cells. The rest is joined.
 MAX_GRAMS = 1 << 18
 MAX_ROWS = 1 << 15
-# Rows of all kinds together: bounds the table of a model with many kinds.
-MAX_CELLS = 1 << 18
+MAX_CELLS = 1 << 25
 # Distinct 4-grams that a task holds before it hands them on.
 HELD_GRAMS = 1 << 21
 
@@ -106,142 +108,242 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return stored(counted, "grams")
 
 
+def looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of the wanted keys, 0 where there is none; ``keys`` are sorted."""
+    if not len(keys):
+        return np.zeros(len(wanted))
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[place] == wanted, values[place], 0.0)
+
+
+def log2(x: np.ndarray) -> np.ndarray:
+    return np.log2(np.maximum(x, 1e-30))
+
+
+class Short:
+    """Counts of what follows contexts of two, one and no symbol, of all kinds, by packed and sorted keys.
+
+    What has followed a context has also followed its shorter ones. So what
+    exclusion takes away below a context is one number per context.
+    """
+
+    def __init__(self, kinds: int, size: int, sharing: float, kind: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, n: np.ndarray):
+        self.size, self.sharing = size, sharing
+        self.three, self.n3 = merged([((kind * size + b) * size + c) * size + d], [n])
+        pair_of = self.three // size
+        self.two, index = np.unique(pair_of, return_inverse=True)
+        last = self.three % size
+        self.total2 = np.bincount(index, self.n3)
+        self.different2 = np.bincount(index)
+        one_of = self.two // size // size * size + self.two % size  # kind and c
+        self.pairs, self.n2 = merged([one_of[index] * size + last], [self.n3])
+        self.covered1 = np.bincount(index, looked_up(self.pairs, self.n2, one_of[index] * size + last))
+        ones = kinds * size
+        self.total1 = np.bincount(self.pairs // size, self.n2, ones)
+        self.different1 = np.bincount(self.pairs // size, minlength=ones)
+        kind_of = self.pairs // size // size
+        self.n1 = np.bincount(kind_of * size + self.pairs % size, self.n2, ones)
+        self.covered0 = np.bincount(self.pairs // size, self.n1[kind_of * size + self.pairs % size], ones)
+        self.total0 = self.n1.reshape(kinds, size).sum(1)
+        self.different0 = (self.n1.reshape(kinds, size) > 0).sum(1)
+
+    def bits(self, kind: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray, different3: np.ndarray | int = 0, covered2: np.ndarray | int = 0) -> np.ndarray:
+        """Code lengths of ``d`` from the context of two on; ``different3`` symbols of counts ``covered2`` here are excluded."""
+        size = self.size
+        two, one = (kind * size + b) * size + c, kind * size + c
+        different2, different1, different0 = looked_up(self.two, self.different2, two), self.different1[one], self.different0[kind]
+        spent = np.zeros(len(d))
+        open_ = np.ones(len(d), bool)
+        for n, total, different, left in (
+            (looked_up(self.three, self.n3, two * size + d), looked_up(self.two, self.total2, two) - covered2, different2 - different3, size - different2),
+            (looked_up(self.pairs, self.n2, one * size + d), self.total1[one] - looked_up(self.two, self.covered1, two), different1 - different2, size - different1),
+            (self.n1[kind * size + d], self.total0[kind] - self.covered0[one], different0 - different1, size - different0),
+        ):
+            out = np.where((left > 0) & (total > 0), different, 0)
+            hit = open_ & (n > 0)
+            open_ &= ~hit
+            spent += np.where(hit, log2(total + out) - log2(n), 0) + np.where(open_ & (total > 0), log2(total + out) - log2(out), 0)
+        return spent + np.where(open_, log2(np.maximum(size - different0, 1)), 0) + np.where(d == SHARED, self.sharing, 0)
+
+
 @dataclass
 class Tree:
-    """Frozen code lengths. ``bits`` has a row per context, a column per symbol, a layer per kind."""
+    """Frozen code lengths. ``bits`` has a row per frequent context of three, a column per symbol, a layer per kind.
+
+    ``cold`` has the trained contexts without a row: kind, context, followers
+    (symbol, n). It stays with the driver. Without such contexts it is None.
+    """
 
     kinds: list[str]
     symbols: np.ndarray  # of each of the 256 byte values
-    contexts: np.ndarray  # row of each packed context of three symbols
+    contexts: np.ndarray  # row of each packed context of three symbols, -1 for those without
     bits: np.ndarray
+    short: Short
+    cold: DataFrame | None = None
 
-    def code_lengths(self, data: np.ndarray, offsets: np.ndarray, block: int = 1 << 19) -> np.ndarray:
-        """Bits of each text under each kind: an array of texts x kinds."""
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"cold": None}
+
+    def code_lengths(self, data: np.ndarray, offsets: np.ndarray, block: int = 1 << 19, away: list | None = None) -> np.ndarray:
+        """Bits of each text under each kind: an array of texts x kinds.
+
+        Contexts without a row count as new; their texts and 4-grams are added to ``away``.
+        """
         out, frames = framed(data, offsets, BOUNDARY)
         coded = self.symbols[out].astype(np.int32)
         totals = np.zeros((len(offsets) - 1, len(self.kinds)))
-        width = 1 << SYMBOL_BITS
+        size = self.bits.shape[2]
         skip = np.zeros(len(coded), bool)
         for place in range(ORDER):
             skip[frames[:-1] + place] = True
         for start in range(ORDER, len(coded), block):
             stop = min(start + block, len(coded))
-            packed = (coded[start - 3 : stop - 3] << 2 * SYMBOL_BITS) | (coded[start - 2 : stop - 2] << SYMBOL_BITS) | coded[start - 1 : stop - 1]
-            cells = self.contexts[packed] * np.int64(width) + coded[start:stop]
+            row = self.contexts[(coded[start - 3 : stop - 3] * size + coded[start - 2 : stop - 2]) * size + coded[start - 1 : stop - 1]]
+            cells = np.maximum(row, 0) * np.int64(size) + coded[start:stop]
             first = int(np.searchsorted(frames, start, "right")) - 1
             last = int(np.searchsorted(frames, stop, "left"))
             cuts = np.maximum(frames[first:last], start) - start
             used = ~skip[start:stop]
+            rest = np.flatnonzero((row < 0) & used)
+            at = rest + start
+            gram = (out[at - 3].astype(np.int64) << 24) | (out[at - 2].astype(np.int64) << 16) | (out[at - 1].astype(np.int64) << 8) | out[at]
+            every, index = np.unique(gram, return_inverse=True)
+            _, b, c, d = self.parts(every)
+            if away is not None:
+                away.append((np.searchsorted(frames, at, "right") - 1, gram))
             for layer in range(len(self.kinds)):
                 spent = np.where(used, self.bits[layer].reshape(-1)[cells], 0.0)
+                if len(rest):
+                    spent[rest] = self.short.bits(np.full(len(every), layer), b, c, d)[index]
                 totals[first:last, layer] += np.add.reduceat(spent, cuts, dtype=np.float64)
         return totals
 
+    def parts(self, gram: np.ndarray) -> list[np.ndarray]:
+        """The four symbols of 4-grams."""
+        return [self.symbols[(gram >> s) & 0xFF].astype(np.int64) for s in (24, 16, 8, 0)]
+
+
+def away_lists(away: list, rows: int) -> tuple[pa.Array, pa.Array]:
+    """What ``code_lengths`` added to ``away`` as two lists per text: different 4-grams and how often each occurs."""
+    key = np.concatenate([(text.astype(np.int64) << 32) | gram for text, gram in away] or [np.zeros(0, np.int64)])
+    key, times = np.unique(key, return_counts=True)
+    cuts = pa.array(np.concatenate([[0], np.cumsum(np.bincount(key >> 32, minlength=rows))]).astype(np.int32))
+    return pa.ListArray.from_arrays(cuts, pa.array(key & 0xFFFFFFFF)), pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int64)))
+
+
+def corrections(rows: DataFrame, tree: Tree, shared: Broadcast) -> DataFrame:
+    """row, kind (its number), more: bits that the contexts in ``tree.cold`` add to the code lengths of ``rows(row, grams, gram_times)``.
+
+    ``shared`` is the broadcast tree.
+    """
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Tree = shared.value
+        short, numbers = known.short, {k: i for i, k in enumerate(known.kinds)}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            gram, times = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            kind = np.array([numbers[k] for k in batch.column(3).to_pylist()], np.int64)
+            followers = batch.column(4)
+            different = pc.list_value_length(followers).to_numpy(zero_copy_only=False).astype(np.int64)
+            of = np.repeat(np.arange(batch.num_rows), different)
+            entries = followers.flatten()
+            symbol = known.symbols[entries.field(0).to_numpy()].astype(np.int64)
+            n = entries.field(1).to_numpy().astype(np.float64)
+            _, b, c, d = known.parts(gram)
+            covered = np.bincount(of, looked_up(short.three, short.n3, (((kind * short.size + b) * short.size + c) * short.size)[of] + symbol), batch.num_rows)
+            own = np.bincount(of, np.where(symbol == d[of], n, 0), batch.num_rows)
+            out = np.where(short.size > different, different, 0)
+            whole = np.bincount(of, n, batch.num_rows) + out
+            bits = np.where(own > 0, log2(whole) - log2(own), log2(whole) - log2(out) + short.bits(kind, b, c, d, different, covered))
+            more = times * (bits - short.bits(kind, b, c, d))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kind.astype(np.int32)), pa.array(more)], names=["row", "kind", "more"])
+
+    wanted = rows.select("row", F.explode(F.arrays_zip("grams", "gram_times")).alias("g")).select("row", "g.*")
+    wanted = wanted.withColumn("context", F.shiftright("grams", 8))
+    joined = wanted.join(tree.cold, "context").select("row", "grams", "gram_times", "kind", "followers")
+    return joined.mapInArrow(differ, "row long, kind int, more double").groupBy("row", "kind").agg(F.sum("more").alias("more"))
+
+
+def numbered(column: pa.ChunkedArray, kinds: list[str]) -> np.ndarray:
+    return pc.index_in(column, pa.array(kinds, pa.string())).to_numpy().astype(np.int64)
+
 
 def build(counts: DataFrame, max_grams: int = MAX_GRAMS, max_rows: int = MAX_ROWS) -> Tree:
     """The tree of counts ``kind, gram, n``.
 
-    Of each kind at most ``max_grams`` 4-grams are kept, the more frequent ones:
-    all from the lowest class of frequencies on that stays within the bound.
-    Of all kinds together the ``max_rows`` most frequent contexts of three
-    symbols (fewer with many kinds) have a row of their own; others fall to
-    their shorter context. This bounds the model whatever the size of the
-    corpus. Without counts there are no kinds.
+    Of all kinds together the most frequent contexts of three symbols have a row
+    of their own, at most ``max_rows`` with ``max_grams`` 4-grams per kind (fewer
+    with many kinds); this bounds the rows, not what counts: the others are in
+    ``cold``. Without counts there are no kinds.
     """
-    # Classes of frequencies, 16 for each doubling: a few hundred rows per kind.
-    level = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
-    classed = counts.withColumn("level", level)
-    sizes = classed.groupBy("kind", "level").agg(F.count("*").alias("grams")).collect()
-    lowest: dict[str, int] = {}
-    for kind in {row.kind for row in sizes}:
-        room = max_grams
-        for row in sorted((r for r in sizes if r.kind == kind), key=lambda r: -r.level):
-            room -= row.grams
-            if room < 0:
-                break
-            lowest[kind] = row.level
-    if not lowest:
-        return from_counts(np.array([], object), np.array([], np.uint32), np.array([]), max_rows)
-    wanted = F.lit(False)
-    for kind, least in lowest.items():
-        wanted = wanted | ((F.col("kind") == kind) & (F.col("level") >= least))
-    rows = classed.where(wanted).select("kind", "gram", "n").toArrow()
-    kind = np.array(rows.column("kind").to_pylist(), object)
-    gram = rows.column("gram").to_numpy().astype(np.uint32)
-    n = rows.column("n").to_numpy().astype(np.float64)
-    return from_counts(kind, gram, n, max_rows)
-
-
-def from_counts(kind: np.ndarray, gram: np.ndarray, n: np.ndarray, max_rows: int = MAX_ROWS) -> Tree:
-    kinds = sorted(set(kind.tolist()))
-    max_rows = min(max_rows, MAX_CELLS // max(1, len(kinds)))
-    last = (gram & 0xFF).astype(np.int64)
-    seen = np.bincount(last, n, minlength=256)
-    seen[BOUNDARY] = 0
-    frequent = np.argsort(-seen, kind="stable")[:MAX_SYMBOLS]
-    frequent = np.sort(frequent[seen[frequent] > 0])
+    spark = counts.sparkSession
+    lower = counts.groupBy("kind", F.col("gram").bitwiseAND(F.lit(0xFFFFFF).cast("long")).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+    kinds = sorted(pc.unique(lower.column("kind")).to_pylist())
+    gram = lower.column("gram").to_numpy()
+    n = lower.column("n").to_numpy().astype(np.float64)
+    seen = np.bincount(gram & 0xFF, minlength=256) > 0
+    seen[BOUNDARY] = False
+    own = np.flatnonzero(seen)
     symbols = np.full(256, SHARED, np.uint8)
-    symbols[frequent] = np.arange(len(frequent)) + 2
+    symbols[own] = np.arange(len(own)) + 2  # UTF-8 has at most 243 byte values
     symbols[BOUNDARY] = 0
-    size = len(frequent) + 2
-    width = 1 << SYMBOL_BITS
+    size = len(own) + 2
+    b, c, d = (symbols[(gram >> s) & 0xFF].astype(np.int64) for s in (16, 8, 0))
     # Bytes that share a symbol split its probability evenly.
-    sharing = np.log2(max(1, 255 - len(frequent)))
-
-    a, b, c, d = (symbols[(gram >> s) & 0xFF].astype(np.int64) for s in (24, 16, 8, 0))
-    long_key = (a << 2 * SYMBOL_BITS) | (b << SYMBOL_BITS) | c
-    total = np.bincount(long_key, n, minlength=1 << 3 * SYMBOL_BITS) if len(n) else np.zeros(1 << 3 * SYMBOL_BITS)
-    known = np.argsort(-total, kind="stable")[:max_rows]
-    known = np.sort(known[total[known] > 0])
-    mid_total = np.bincount((b << SYMBOL_BITS) | c, n, minlength=width * width) if len(n) else np.zeros(width * width)
-    mid = np.flatnonzero(mid_total)
-    # Rows: contexts of three, of two, of one and of no symbol.
-    at_mid = len(known)
-    at_short = at_mid + len(mid)
-    at_none = at_short + width
-    contexts = np.full(1 << 3 * SYMBOL_BITS, at_none, np.int32)
-    short_total = np.bincount(c, n, minlength=width) if len(n) else np.zeros(width)
-    every = np.arange(1 << 3 * SYMBOL_BITS)
-    has_short = short_total[every & (width - 1)] > 0
-    contexts[has_short] = at_short + (every[has_short] & (width - 1))
-    mid_row = np.full(width * width, -1, np.int32)
-    mid_row[mid] = at_mid + np.arange(len(mid))
-    by_mid = mid_row[every & (width * width - 1)]
-    contexts = np.where(by_mid >= 0, by_mid, contexts).astype(np.int32)
-    contexts[known] = np.arange(len(known))
-
-    bits = np.zeros((len(kinds), at_none + 1, width), np.float32)
-    for layer, name in enumerate(kinds):
-        own = kind == name
-        w, s3, s2, s1, sym = n[own], long_key[own], ((b << SYMBOL_BITS) | c)[own], c[own], d[own]
-        order0 = np.bincount(sym, w, minlength=width)[:size]
-        order1 = np.bincount(s1 * width + sym, w, minlength=width * width).reshape(width, width)[:, :size]
-        order2 = dense(np.searchsorted(mid, s2), sym, w, len(mid), size)
-        place = np.searchsorted(known, s3)
-        kept = (place < len(known)) & (known[np.minimum(place, max(0, len(known) - 1))] == s3) if len(known) else np.zeros(len(s3), bool)
-        order3 = dense(place[kept], sym[kept], w[kept], len(known), size)
-        for low in range(0, at_none + 1, 4096):
-            high = min(low + 4096, at_none + 1)
-            row = np.arange(low, high)
-            at_order2 = np.where(row < at_mid, np.searchsorted(mid, known[np.minimum(row, max(0, at_mid - 1))] & (width * width - 1)) if at_mid else 0, row - at_mid)
-            tail = np.zeros(len(row), np.int64)
-            in_mid = row < at_short
-            if len(mid):
-                tail[in_mid] = mid[at_order2[in_mid]] & (width - 1)
-            in_short = (row >= at_short) & (row < at_none)
-            tail[in_short] = row[in_short] - at_short
-            levels = []
-            if at_mid:
-                levels.append(np.where((row < at_mid)[:, None], order3[np.minimum(row, at_mid - 1)], 0))
-            if len(mid):
-                levels.append(np.where(in_mid[:, None], order2[np.clip(at_order2, 0, len(mid) - 1)], 0))
-            levels.append(np.where((row < at_none)[:, None], order1[tail], 0))
-            levels.append(np.broadcast_to(order0, (len(row), size)))
-            chance = mixed(levels, size)
+    short = Short(len(kinds), size, float(np.log2(max(1, 255 - len(own)))), numbered(lower.column("kind"), kinds), b, c, d, n)
+    contexts = np.full(size**3, -1, np.int32)
+    if not kinds:
+        return Tree(kinds, symbols, contexts, np.zeros((0, 1, size), np.float32), short)
+
+    room = min(max_rows, MAX_CELLS // (len(kinds) * size))
+    totals = counts.groupBy(F.shiftright("gram", 8).alias("context")).agg(F.sum("n").alias("n"), F.count("*").alias("grams"))
+    ranked = totals.orderBy(F.desc("n"), "context").limit(room + 1).toArrow()
+    fits = (np.cumsum(ranked.column("grams").to_numpy()) <= max_grams * len(kinds)) & (np.arange(ranked.num_rows) < room)
+    hot = ranked.column("context").to_numpy()[fits]
+    named = F.broadcast(spark.createDataFrame(pa.table({"context": hot}), "context long"))
+    placed = counts.withColumn("context", F.shiftright("gram", 8))
+    cold = None
+    if len(hot) < ranked.num_rows:
+        follower = F.struct(F.col("gram").bitwiseAND(F.lit(0xFF).cast("long")).cast("int").alias("symbol"), "n")
+        cold = placed.join(named, "context", "left_anti").groupBy("context", "kind").agg(F.collect_list(follower).alias("followers"))
+    rows = placed.join(named, "context").select("kind", "gram", "n").toArrow()
+    bits = rows_of_bits(short, symbols, hot, numbered(rows.column("kind"), kinds), rows.column("gram").to_numpy(), rows.column("n").to_numpy(), len(kinds))
+    packed = (symbols[hot >> 16].astype(np.int64) * size + symbols[(hot >> 8) & 0xFF]) * size + symbols[hot & 0xFF]
+    contexts[packed] = np.arange(len(hot))
+    return Tree(kinds, symbols, contexts, bits, short, cold)
+
+
+def rows_of_bits(short: Short, symbols: np.ndarray, hot: np.ndarray, kind: np.ndarray, gram: np.ndarray, n: np.ndarray, kinds: int) -> np.ndarray:
+    """Code lengths of all symbols after each context of ``hot``: kinds x contexts x symbols."""
+    size = short.size
+    order = np.argsort(hot)
+    place = order[np.searchsorted(hot, gram >> 8, sorter=order)] if len(hot) else np.zeros(0, np.int64)
+    last = symbols[gram & 0xFF].astype(np.int64)
+    b, c = (symbols[(hot >> s) & 0xFF].astype(np.int64) for s in (8, 0))
+    bits = np.zeros((kinds, max(1, len(hot)), size), np.float32)
+    at_two, at_one = (short.three // size).astype(np.int64), short.pairs // size
+    for layer in range(kinds):
+        own = kind == layer
+        order3 = dense(place[own], last[own], n[own], len(hot), size)
+        mid, index = np.unique(at_two[at_two // size**2 == layer], return_inverse=True)
+        mine = at_two // size**2 == layer
+        # One more row, without counts, for contexts that the kind does not know.
+        order2 = dense(index, short.three[mine] % size, short.n3[mine], len(mid) + 1, size)
+        mine = at_one // size == layer
+        order1 = dense(at_one[mine] % size, short.pairs[mine] % size, short.n2[mine], size, size)
+        order0 = short.n1[layer * size : (layer + 1) * size]
+        for low in range(0, len(hot), 4096):
+            part = slice(low, min(low + 4096, len(hot)))
+            two = (layer * size + b[part]) * size + c[part]
+            row = np.searchsorted(mid, two)
+            row = np.where(np.append(mid, -1)[row] == two, row, len(mid))
+            chance = mixed([order3[part], order2[row], order1[c[part]], np.broadcast_to(order0, (len(two), size))], size)
             cost = -np.log2(np.maximum(chance, 1e-30))
-            cost[:, SHARED] += sharing
-            bits[layer, low:high, :size] = cost
-    return Tree(kinds, symbols, contexts, bits)
+            cost[:, SHARED] += short.sharing
+            bits[layer, part] = cost
+    return bits
 
 
 def dense(row: np.ndarray, column: np.ndarray, weight: np.ndarray, rows: int, columns: int) -> np.ndarray:

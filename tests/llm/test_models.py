@@ -83,6 +83,31 @@ def test_trees_are_bounded(spark):
     assert ppm.build(counts.limit(0)).kinds == []
 
 
+def test_contexts_without_a_row_count_in_full(spark, docs):
+    rng = random.Random(4)
+    training = ["".join(rng.choice("abcé ж") for _ in range(rng.randint(0, 60))) for _ in range(40)]
+    texts = [*training[:6], "", "zab abc", "жжж abca", "abab" * 30]
+    rows = spark.createDataFrame([(t,) for t in training], "text string").repartition(3)
+    build = ppm.build
+    for max_rows in (0, 5, 1 << 15):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(ppm, "build", lambda counts, m=max_rows: build(counts, max_rows=m))
+            found = {r.doc_id: r.score for r in lm_scoring.score(docs(*enumerate(texts)).select("doc_id", "text"), rows).collect()}
+        for i, text in enumerate(texts):
+            assert math.isclose(found[i], -trie_bits([t.encode() for t in training], text.encode()) * math.log10(2), rel_tol=1e-4)
+
+
+def test_all_bytes_of_many_scripts_are_symbols(spark):
+    letters = "".join(chr(c) for start in (0x400, 0x600, 0x900, 0x3040, 0x4E00, 0xAC00) for c in range(start, start + 90)) + "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 .,;:!?-()"
+    rng = random.Random(5)
+    training = ["".join(rng.choice(letters) for _ in range(400)) for _ in range(4)]
+    tree = ppm.build(ppm.gram_counts(spark.createDataFrame([(t, "k") for t in training], "text string, kind string")))
+    used = {b for t in training for b in t.encode()}
+    assert len(used) > 126 and ppm.SHARED not in {int(tree.symbols[b]) for b in used} and len({int(tree.symbols[b]) for b in used}) == len(used)
+    text = training[0][:50].encode()
+    assert math.isclose(tree.code_lengths(*flat([text]))[0, 0], trie_bits([t.encode() for t in training], text), rel_tol=1e-4)
+
+
 def test_language(spark, docs, sf_dir):
     rows = queries.QUERIES["op10_language_id"](spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = rows.where("held_out").collect()
