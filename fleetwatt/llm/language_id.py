@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetwatt.llm import ppm
-from fleetwatt.llm.common import held_out, id_text, text_steps
+from fleetwatt.llm.common import held_out, id_text, stored, text_steps
 
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -33,18 +34,42 @@ def identify(documents: DataFrame, tree: ppm.Tree) -> DataFrame:
     rows and NULL ids each give their row. Other columns are left out.
     """
     shared = documents.sparkSession.sparkContext.broadcast(tree)
+    whole = tree.cold is None
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bits under each language; what follows contexts without a row in the tree is named, to be joined."""
+        from pyspark import TaskContext
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        number = TaskContext.get().partitionId() << 40
         for batch, data, offsets in text_steps(batches):
+            rows = batch.num_rows
+            away: list = []
+            bits = model.code_lengths(data, offsets, away=None if whole else away)
+            lettered = [text is not None and LETTER.search(text) is not None for text in batch.column(1).to_pylist()]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * len(model.kinds)), pa.array(bits.reshape(-1)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(lettered, pa.bool_()), lists, *([] if whole else [pa.array(number + np.arange(rows)), *ppm.away_lists(away, rows)])],
+                names=["doc_id", "lettered", "bits", *([] if whole else ["row", "grams", "gram_times"])],
+            )
+            number += rows
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
             rows = batch.num_rows
             lang = np.full(rows, UNDETERMINED, object)
             score = np.zeros(rows)
-            if model.kinds:
-                bits = model.code_lengths(data, offsets)
+            if model.kinds and rows:
+                bits = batch.column(2).flatten().to_numpy().reshape(rows, len(model.kinds)).copy()
+                if not whole:
+                    more = batch.column(3)
+                    of = np.repeat(np.arange(rows), pc.fill_null(pc.list_value_length(more), 0).to_numpy(zero_copy_only=False))
+                    entries = more.flatten()
+                    np.add.at(bits, (of, entries.field(0).to_numpy()), entries.field(1).to_numpy())
                 best = bits.argmin(1)
                 weight = np.exp2(np.maximum(bits.min(1, keepdims=True) - bits, -1000))
-                lettered = np.array([text is not None and LETTER.search(text) is not None for text in batch.column(1).to_pylist()], bool)
+                lettered = batch.column(1).to_numpy(zero_copy_only=False)
                 lang[lettered] = np.array(model.kinds, object)[best[lettered]]
                 score[lettered] = (1 / weight.sum(1))[lettered]
             yield pa.RecordBatch.from_arrays(
@@ -52,7 +77,16 @@ def identify(documents: DataFrame, tree: ppm.Tree) -> DataFrame:
             )
 
     texts = id_text(documents).select("doc_id", F.lower("text").alias("text"))
-    return texts.mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    made = "doc_id long, lettered boolean, bits array<double>"
+    if whole:
+        rows = texts.mapInArrow(coded, made)
+    else:
+        # Written once: both uses below see the same row numbers.
+        kept = stored(texts.mapInArrow(coded, f"{made}, row long, grams array<long>, gram_times array<long>"), "coded")
+        more = ppm.corrections(kept.select("row", "grams", "gram_times"), tree, shared)
+        more = more.groupBy("row").agg(F.collect_list(F.struct("kind", "more")).alias("more"))
+        rows = kept.drop("grams", "gram_times").join(more, "row", "left").select("doc_id", "lettered", "bits", "more")
+    return rows.mapInArrow(predict, "doc_id long, lang_pred string, score double")
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

@@ -122,6 +122,31 @@ def test_language(spark, docs, sf_dir):
     assert language_id.identify(docs(), tree).count() == 0
 
 
+def test_small_languages_keep_their_contexts(spark, docs):
+    rng = random.Random(6)
+    letters = {"aa": "abcdefgh ", "bb": "abcdefgh ", "ru": "абвгдежз "}
+    texts = {k: ["".join(rng.choice(v) for _ in range(80)) for _ in range(60 if k == "aa" else 3)] for k, v in letters.items()}
+    rows = spark.createDataFrame([(t, k) for k, own in texts.items() for t in own], "text string, lang string")
+    asked = [texts["aa"][0], texts["bb"][0], texts["bb"][2], texts["ru"][1], "", "abc", "12"]
+    build = ppm.build
+    for max_rows in (0, 20):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(ppm, "build", lambda counts, m=max_rows: build(counts, max_rows=m))
+            tree = language_id.train(rows)
+        assert tree.cold is not None
+        found = {r.doc_id: r for r in language_id.identify(docs(*enumerate(asked), (None, None)), tree).collect()}
+        full = build(ppm.gram_counts(rows.select("text", F.col("lang").alias("kind"))))
+        bits = full.code_lengths(*flat([t.encode() for t in asked]))
+        assert full.cold is None and len(found) == len(asked) + 1 and found[None].lang_pred == "und"
+        for i, text in enumerate(asked):
+            if not re.search("[^\\W\\d]", text):
+                assert (found[i].lang_pred, found[i].score) == ("und", 0.0)
+                continue
+            assert found[i].lang_pred == full.kinds[bits[i].argmin()]
+            assert math.isclose(found[i].score, 1 / np.exp2(bits[i].min() - bits[i]).sum(), rel_tol=1e-3)
+        assert [found[i].lang_pred for i in range(4)] == ["aa", "bb", "bb", "ru"]
+
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
