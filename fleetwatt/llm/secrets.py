@@ -44,11 +44,18 @@ DICTIONARY = (
 ).split()
 
 BLOCK_START = "-----BEGIN "
-BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?")
+# To its END line, whatever is between but other such lines: header lines, escaped newlines, quotes. Without one, header lines and base64.
+BLOCK = re.compile(
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:\s|\\+[rn])*+(?:(?:Proc-Type|DEK-Info|Version|Comment):[^\r\n\\]*+(?:\s|\\+[rn])++)*+(?:[A-Za-z0-9+/=\s]|\\+[rn])*+)"
+)
 KNOWN = re.compile("|".join(f"(?<![A-Za-z0-9])(?P<{kind}>{form})(?![A-Za-z0-9])" for kind, form in FORMATS.items()))
 ASSIGNED = re.compile(
     r"(?<![A-Za-z])(?:" + "|".join(map(re.escape, KEYWORDS)) + r")s?[\"']?\s{0,8}(?::=|=>|=|:)\s{0,8}[\"']?(?P<value>[^\s\"',;]{6,})", re.IGNORECASE
 )
+# Words and signs before a credential that stands without a keyword.
+CARRIERS = "bearer ", "basic ", "x-auth: ", "://"
 RUN = re.compile(r"[A-Za-z0-9_+/=~-]{16,}")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\W_]+")
@@ -109,7 +116,7 @@ VOWELS = set("aeiouyAEIOUY")
 NAMES = (
     "length digits upper lower symbols distinct entropy class_changes same_class_runs letter_digit vowel_changes longest_repeat "
     "dictionary known_format assigned hex pem path_inside path_test keyword_before keyword_near placeholder_near placeholder_inside "
-    "checksum_near separators".split()
+    "checksum_near separators carried".split()
 )
 
 
@@ -165,6 +172,7 @@ def features(value: str, kind: str, before: str, after: str, path: str) -> list[
         any(k in low for k in PLACEHOLDERS),
         any(k in joined for k in CHECKSUMS),
         (value.count("-") + value.count("_")) / n,
+        any(w in joined for w in CARRIERS),
     ]
 
 
@@ -185,7 +193,7 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
         return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(n))
 
     def secret() -> tuple[str, str, str]:
-        pick = rng.randrange(8)
+        pick = rng.randrange(11)
         key = rng.choice(KEYWORDS)
         sign = rng.choice(["=", " = ", ": ", ' = "', "='", '": "', ":"])
         if pick == 0:
@@ -199,13 +207,36 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
         if pick == 4:
             return f"eyJ{draw(mixed, 17)}.eyJ{draw(mixed, 40)}.{draw(mixed + '_-', 43)}", "jwt", rng.choice([" ", " Bearer "])
         if pick == 5:
-            return "-----BEGIN RSA PRIVATE KEY-----\n" + draw(mixed + "+/", rng.randint(200, 800)) + "\n-----END RSA PRIVATE KEY-----", "private_key", "\n"
+            line = rng.choice(["\n", "\n", "\\n", "\nProc-Type: 4,ENCRYPTED\n\n"])
+            end = line if line == "\\n" else "\n"
+            return f"-----BEGIN RSA PRIVATE KEY-----{line}{draw(mixed + '+/', rng.randint(200, 800))}{end}-----END RSA PRIVATE KEY-----", "private_key", rng.choice(["\n", ': "'])
         if pick == 6:
             return draw(hexes, rng.choice([16, 18, 20, 24, 32, 40, 64])), "assigned", f" {key}{sign}"
+        if pick >= 8:
+            return bare()
         return draw(mixed + rng.choice(["", "!#%&", "_-", "+/"]), rng.randint(10, 64)), "assigned", f" {key}{sign}"
 
+    def bare() -> tuple[str, str, str]:
+        """A credential of no known format and without a keyword: in prose, after Bearer, in an address."""
+        carried = rng.choice([" Authorization: Bearer ", " Bearer ", " bearer ", " Authorization: Basic ", " https://user:", " X-Auth: "])
+        token = draw(rng.choice([mixed, mixed, mixed + "_-", mixed + "+/", upper, mixed[26:]]), rng.randint(20, 64))
+        token = token if any(c.isdigit() for c in token) else token + draw("0123456789", 1)
+        issuer = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 6)))
+        pick = rng.randrange(6)
+        if pick == 0:
+            return token, "run", carried
+        if pick == 1:
+            return draw(hexes, rng.choice([32, 40, 48, 64])), "run", carried
+        if pick == 2:
+            return issuer + rng.choice(["_", "-", "_live_", "_test_", "_prod_"]) + token, "run", rng.choice([" ", " use ", carried, " ("])
+        if pick == 3:
+            return f"com/{issuer}/{rng.choice(['', draw(upper, 9) + '/'])}" + draw(mixed, rng.randint(20, 40)) + draw("0123456789", 1), "run", f" https://{issuer}."
+        if pick == 4:
+            return rng.choice(["k", "sig", "s", "code", "t"]) + "=" + token, "run", f" https://{issuer}.com/{issuer}?"
+        return token, "run", rng.choice([" ", " use ", " with ", "\n", " ("])
+
     def other() -> tuple[str, str, str]:
-        pick = rng.randrange(13)
+        pick = rng.randrange(17)
         key, name = rng.choice(KEYWORDS), lambda: "".join(rng.choice(DICTIONARY) for _ in range(rng.randint(2, 4)))
         if pick == 0:
             return draw("0123456789", rng.randint(16, 24)), "run", rng.choice([" ", " number ", " card "])
@@ -231,6 +262,15 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
             return prose(3).replace(" ", "") + str(rng.randint(0, 9999)), "run", " "
         if pick == 11:
             return "=" * rng.randint(14, 50) + str(rng.randint(0, 9)), "run", "\n"
+        if pick == 13:
+            return rng.choice(["sha512-", "sha256-", "sha1-"]) + draw(mixed + "+/", rng.choice([43, 86])) + rng.choice(["=", "=="]), "run", rng.choice([' "integrity": "', " integrity="])
+        if pick == 14:
+            return draw(mixed + "+/", rng.randint(70, 800)), "run", rng.choice([" data:image/png;base64,", "\n", " data:font/woff2;base64,"])
+        if pick == 15:
+            words = [rng.choice(DICTIONARY) for _ in range(rng.randint(3, 6))]
+            return "".join(w.capitalize() for w in words) + str(rng.randint(0, 99)), "run", rng.choice([" ", " class ", "."])
+        if pick == 16:
+            return "com/" + rng.choice(["/", "-"]).join(rng.choice(DICTIONARY) for _ in range(rng.randint(3, 7))) + f"{rng.choice('-/')}{rng.randint(1, 2030)}", "run", " https://www."
         return prose(1) + rng.choice(["", "."]) + prose(1).replace(" ", ""), "assigned", f" {key}: "
 
     made = []
