@@ -1,10 +1,10 @@
 """Personal data in text: fixed patterns, and a character tagger that adds what they miss.
 
 The tagger is a bidirectional LSTM with CRF transitions, trained from labelled
-spans. It reads around evidence, that is a digit, an at sign or a bracketed
-"at", without which none of the kinds can be written. Overlapping windows cover
-each such stretch of text; their scores are averaged, nearer window centres
-counting more, and one best tag sequence is decoded for the whole stretch.
+spans. It reads whole texts, in pieces that overlap; digits and signs of other
+scripts and widths count as the plain ones. Overlapping windows cover each
+piece; their scores are averaged, nearer window centres counting more, and one
+best tag sequence is decoded for the whole piece.
 """
 
 from __future__ import annotations
@@ -34,9 +34,27 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
 EVIDENCE = re.compile(r"[0-9@]|[(\[{] ?at ?[)\]}]", re.IGNORECASE)
-EVIDENCE_BYTES = np.zeros(256, bool)
-EVIDENCE_BYTES[[*range(48, 58), 64, ord("("), ord("["), ord("{")]] = True
-REACH = 32  # characters read on either side of evidence
+REACH = 32  # characters of the corpus taken for training on either side of evidence
+PIECE = 2048
+MARGIN = 128  # of a piece, where spans belong to the neighbour
+# Digits and signs in other forms, each one character for one.
+PLAIN = {0xFEE0 + c: c for c in range(0x21, 0x7F)} | {start + i: 48 + i for start in (0x660, 0x6F0, 0x966) for i in range(10)} | {0xFE6B: 64}
+# A bare "at" asks for a spelled "dot" too: "look at example.com" names nobody.
+SPELLED_DOT = r"(?: ?[(\[{] ?dot ?[)\]}] ?| dot )"
+SPELLED = (
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?(?:@|[(\[{] ?at ?[)\]}]) ?[A-Za-z0-9-]++(?:(?:\.|" + SPELLED_DOT + r")[A-Za-z0-9-]++)+"
+    r"| at [A-Za-z0-9-]++(?:" + SPELLED_DOT + r"[A-Za-z0-9-]++)+)"
+)
+AT = re.compile(r"@|[(\[{] ?at ?[)\]}]| at ", re.IGNORECASE)
+DOT = re.compile(r"\.|" + SPELLED_DOT, re.IGNORECASE)
+ONLY_SPELLED_DOT = re.compile(SPELLED_DOT, re.IGNORECASE)
+# Forms that the fixed patterns miss, by kind: to label stretches of the corpus.
+LOOSE = (
+    re.compile(SPELLED, re.IGNORECASE),
+    re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\.)[0-9]{1,3}){3}(?![0-9.])"),
+    re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}(?![0-9])"),
+    re.compile(r"(?<![0-9.+-])(?:(?:001|\+?1)[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
+)
 WINDOW = 96
 STRIDE = 48
 BATCH = 512
@@ -85,12 +103,29 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def plain(text: str) -> str:
+    """The text, character for character, with plain digits and signs."""
+    return text if text.isascii() else text.translate(PLAIN)
+
+
+def loose_spans(text: str) -> list[Span]:
+    """Base spans, and what is written in other forms and touches none."""
+    read = plain(text)
+    found = base_spans(text)
+    for kind, pattern in enumerate(LOOSE):
+        for m in pattern.finditer(read):
+            span = (m.start(), kind, m.end())
+            if plausible(text, span) and all(m.end() <= s or m.start() >= e for s, _, e in found):
+                found.append(span)
+    return sorted(found)
+
+
 SYMBOLS = " @.-_+()[]{}:/,;%#&*!?=\"'\n"
 
 
 def symbol_ids(text: str) -> np.ndarray:
     """A small number per character: its class, or itself for the characters that matter."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    codes = np.frombuffer(plain(text).encode("utf-32-le", "surrogatepass"), "<u4")
     return SYMBOL_TABLE[np.minimum(codes, 256)]
 
 
@@ -131,12 +166,13 @@ def spans_of(tags: np.ndarray) -> list[Span]:
 def plausible(text: str, span: Span) -> bool:
     """What a span of a kind must have at least: it starts and ends well and has enough digits."""
     start, kind, end = span
-    value = text[start:end]
+    value = plain(text[start:end])
     digits = len(NOT_DIGIT.sub("", value))
     if value != value.strip():
         return False
     if kind == 0:
-        return len(value) >= 6 and bool(re.search(r"@|[(\[{] ?at ?[)\]}]", value, re.IGNORECASE)) and "." in value + value.replace(" dot ", ".")
+        at = AT.search(value)
+        return len(value) >= 6 and at is not None and (ONLY_SPELLED_DOT if at[0].lower() == " at " else DOT).search(value, at.end()) is not None
     low, high = ((4, 12), (13, 19), (7, 15))[kind - 1]
     if not low <= digits <= high or not value[-1].isdigit():
         return False
@@ -174,6 +210,8 @@ def made_windows(count: int = MADE_WINDOWS, seed: int = 7) -> list[tuple[str, li
             user = name() + rng.choice(["", "." + name(), "_" + name(), "." + digits(2), digits(2), "+" + name()])
             host = ".".join([name() + rng.choice(["", digits(1)]), *([name()] if rng.random() < 0.3 else []), rng.choice(["com", "org", "net", "de", "example"])])
             at = rng.choice(["@"] * 6 + [" (at) ", " [at] ", "(at)", "[at]"])
+            if rng.random() < 0.2:
+                at, host = " at ", host.replace(".", " dot ")
             return user + at + host, 0
         if kind == 1:
             sign = rng.choice([".", ".", ".", ".", "[.]"])
@@ -190,6 +228,7 @@ def made_windows(count: int = MADE_WINDOWS, seed: int = 7) -> list[tuple[str, li
                 str(rng.randint(1900, 2030)), f"{rng.randint(1, 9)}.{rng.randint(0, 9)}", f"Version {rng.randint(1, 4)}.0", "CC BY-NC 4.0", f"{rng.randint(1, 12)}:{digits(2)}",
                 f"{rng.randint(2000, 2030)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)}", f"{digits(2)}%", f"{digits(3)},{digits(3)}", "#" + digits(4), digits(rng.randint(1, 6)), "@" + name(),
                 f"{rng.randint(1, 9)}.{digits(1)}.{digits(2)}", f"AKIA{digits(2)}{name().upper()}{digits(3)}", "".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(18, 40))), f"$ {digits(2)}.{digits(2)}", digits(rng.randint(20, 30)), "!!", "***", "|",
+                f"at {name()}", f"{name()} at {name()} {name()}", f"a dot {name()}", f"{name()} at {digits(1)}.{digits(2)}",
             ]
         )
 
@@ -210,7 +249,7 @@ def made_windows(count: int = MADE_WINDOWS, seed: int = 7) -> list[tuple[str, li
     return made
 
 
-def stretches(text: str) -> list[tuple[int, int]]:
+def evident(text: str) -> list[tuple[int, int]]:
     """Parts of the text within REACH of evidence; parts that touch are one."""
     out: list[tuple[int, int]] = []
     for m in EVIDENCE.finditer(text):
@@ -222,25 +261,24 @@ def stretches(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def stretches(text: str) -> list[tuple[int, int]]:
+    """Pieces of at most PIECE characters that cover the text, each sharing twice MARGIN with the next."""
+    last = max(1, len(text) - 2 * MARGIN)
+    return [(a, min(len(text), a + PIECE)) for a in range(0, last, PIECE - 2 * MARGIN)] if text else []
+
+
 def corpus_windows(documents: DataFrame, count: int = CORPUS_WINDOWS) -> list[tuple[str, list[Span]]]:
-    """At most ``count`` stretches of the corpus with their base spans, chosen by a hash of their text."""
+    """At most ``count`` stretches of the corpus with their spans, fixed patterns and loose ones, chosen by a hash of their text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in text_steps(batches):
+        for batch, _, _ in text_steps(batches):
             parts: list[str] = []
-            for row in evident(data, offsets):
-                text = batch.column(1)[row].as_py()
-                parts += [text[a : min(b, a + WINDOW)] for a, b in stretches(text)[:2]]
+            for text in batch.column(1).to_pylist():
+                parts += [text[a : min(b, a + WINDOW)] for a, b in evident(text or "")[:2]]
             yield pa.RecordBatch.from_arrays([pa.array(sorted(set(parts)), pa.string())], names=["part"])
 
     parts = id_text(documents).mapInArrow(cut, "part string").orderBy(F.xxhash64("part", F.lit(3)), "part").limit(count)
-    return [(row.part, base_spans(row.part)) for row in parts.collect()]
-
-
-def evident(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Numbers of the texts that hold evidence."""
-    at = np.flatnonzero(EVIDENCE_BYTES[data])
-    return np.unique(np.searchsorted(offsets, at, "right") - 1)
+    return [(row.part, loose_spans(row.part)) for row in parts.collect()]
 
 
 def train(labelled: list[tuple[str, list[Span]]], epochs: int = EPOCHS) -> Tagger:
@@ -289,17 +327,29 @@ def tagged(tagger: Tagger, parts: list[str]) -> list[np.ndarray]:
 
 
 def added_spans(tagger: Tagger, texts: list[str], bases: list[list[Span]]) -> list[list[Span]]:
-    """Spans of the tagger that touch no base span."""
+    """Spans of the tagger, and spelled-out addresses beside them, that touch no base span."""
     cuts = [(i, a, b) for i, text in enumerate(texts) for a, b in stretches(text)]
     out: list[list[Span]] = [[] for _ in texts]
-    # Equal stretches, of copies above all, are read once.
+    # Equal pieces, of copies above all, are read once.
     parts = list(dict.fromkeys(texts[i][a:b] for i, a, b in cuts))
-    tags = dict(zip(parts, tagged(tagger, parts), strict=True))
+    tags: dict[str, np.ndarray] = {}
+    for at in range(0, len(parts), BATCH):
+        some = parts[at : at + BATCH]
+        tags.update(zip(some, tagged(tagger, some), strict=True))
     for i, a, b in cuts:
         for start, kind, end in spans_of(tags[texts[i][a:b]]):
             span = (start + a, kind, end + a)
+            # Of two pieces that share a span, the one that sees it from further inside has it.
+            if (a and start < MARGIN) or (b < len(texts[i]) and span[0] >= b - MARGIN):
+                continue
             if plausible(texts[i], span) and all(span[2] <= s or span[0] >= e for s, _, e in bases[i]):
                 out[i].append(span)
+    # Spelled-out addresses that the tagger has not found.
+    for i, text in enumerate(texts):
+        for m in LOOSE[0].finditer(plain(text)):
+            span = (m.start(), 0, m.end())
+            if plausible(text, span) and all(span[2] <= s or span[0] >= e for s, _, e in bases[i] + out[i]):
+                out[i].append(span)
     return out
 
 
@@ -327,13 +377,12 @@ def find(documents: DataFrame, finder: Finder) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch, data, offsets in text_steps(batches):
-            rows = evident(data, offsets).tolist()
-            bases, added = known.find([batch.column(1)[row].as_py() for row in rows])
-            spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            for row, base, more in zip(rows, bases, added, strict=True):
+        for batch, _, _ in text_steps(batches):
+            bases, added = known.find([text or "" for text in batch.column(1).to_pylist()])
+            spans: list[list[dict]] = []
+            for base, more in zip(bases, added, strict=True):
                 every = sorted([(*s, True) for s in base] + [(*s, False) for s in more])
-                spans[row] = [dict(start=s, kind=KINDS[k], end=e, base=b) for s, k, e, b in every]
+                spans.append([dict(start=s, kind=KINDS[k], end=e, base=b) for s, k, e, b in every])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["doc_id", "spans"])
 
     return id_text(documents).mapInArrow(run, f"doc_id long, spans {SPANS}")

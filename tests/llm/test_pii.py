@@ -105,6 +105,25 @@ def test_windows_agree_with_one_window(finder):
     assert {(0, "ab.cd@example.com"), (1, "10.20.30.40")} <= found
 
 
+def test_whole_texts_are_read(finder):
+    forms = ["jane at example dot com", "jane.doe＠example.org", "+１ (３８５) ５５５-１５６３", "+1 (٣٨٥) ٥٥٥-١٥٦٣"]
+    for form in forms:
+        for lead in (0, 900, 1000):
+            text = "er on " * lead + "mail th " + form + " es of " + "in ed " * 40
+            added = finder.find([text])[1][0]
+            assert form in [text[s:e] for s, _, e in added], (form, lead)
+    text = "word " * 3000
+    pieces = pii.stretches(text)
+    assert pieces[0][0] == 0 and pieces[-1][1] == len(text) and all(b[0] == a[1] - 2 * pii.MARGIN for a, b in zip(pieces, pieces[1:], strict=False))
+
+
+def test_corpus_labels_know_other_forms():
+    for form, kind in (("(385) 555-1563", 3), ("a.bc [at] example.com", 0), ("jane at example dot com", 0), ("10[.]20[.]30[.]40", 1)):
+        text = f"er on {form} th"
+        assert (text.index(form), kind, text.index(form) + len(form)) in pii.loose_spans(text), form
+    assert pii.loose_spans("we met at noon in 2024, see v1.2 at home, look at example.com") == []
+
+
 def test_rows(docs, finder):
     pairs = [(1, "é a@b.co 10.0.0.1"), (1, "é a@b.co 10.0.0.1"), (2, None), (3, ""), (None, "+1 385 555 1563")]
     found = {(r.doc_id, tuple((s.start, s.kind, s.end) for s in r.spans if s.base)) for r in pii.find(docs(*pairs), finder).collect()}
