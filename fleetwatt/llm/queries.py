@@ -11,6 +11,7 @@ from fleetwatt.llm.common import importable
 from fleetwatt.llm.decontamination import OP1_SQL, op1_decontamination
 from fleetwatt.llm.language_id import op10_language_id
 from fleetwatt.llm.lm_scoring import op9_lm_scoring
+from fleetwatt.llm.merkle import OP11_SQL, op11_merkle_manifest
 from fleetwatt.llm.nearest import op7_nearest
 from fleetwatt.llm.ngram_join import op2_ngram_join
 from fleetwatt.llm.packing import op4_packing
@@ -44,9 +45,11 @@ QUERIES: dict[str, Query] = {
         op8_repeats,
         op9_lm_scoring,
         op10_language_id,
+        op11_merkle_manifest,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
+    "op11_merkle_manifest": OP11_SQL,
 }
