@@ -15,6 +15,7 @@ from fleetwatt.llm.merkle import OP11_SQL, op11_merkle_manifest
 from fleetwatt.llm.nearest import op7_nearest
 from fleetwatt.llm.ngram_join import op2_ngram_join
 from fleetwatt.llm.packing import op4_packing
+from fleetwatt.llm.passages import OP12_SQL, op12_passages
 from fleetwatt.llm.pii import op3_pii
 from fleetwatt.llm.quality import op6_quality_classifier
 from fleetwatt.llm.repeats import op8_repeats
@@ -46,10 +47,12 @@ QUERIES: dict[str, Query] = {
         op9_lm_scoring,
         op10_language_id,
         op11_merkle_manifest,
+        op12_passages,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op11_merkle_manifest": OP11_SQL,
+    "op12_passages": OP12_SQL,
 }

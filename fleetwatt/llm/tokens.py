@@ -26,15 +26,15 @@ def place_weights(size: int) -> np.ndarray:
     return spread((np.arange(size, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def word_keys(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and key of each word of lower-cased (A-Z) texts, in order.
+def word_keys(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray = SPACE, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and key of each word of lower-cased (A-Z) or unchanged texts, in order.
 
     Words are runs of bytes that are no separators. The key is a multilinear
     hash: the sum of the bytes, each times a weight of its place in the word.
     """
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    low = LOWER[data]
+    low = LOWER[data] if lower else data
     word = ~separator[data]
     first = word.copy()
     first[1:] &= ~word[:-1]
