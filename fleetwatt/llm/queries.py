@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetwatt.llm.common import importable
+from fleetwatt.llm.conversations import OP13_SQL, op13_conversation_repair
 from fleetwatt.llm.decontamination import OP1_SQL, op1_decontamination
 from fleetwatt.llm.language_id import op10_language_id
 from fleetwatt.llm.lm_scoring import op9_lm_scoring
@@ -48,6 +49,7 @@ QUERIES: dict[str, Query] = {
         op10_language_id,
         op11_merkle_manifest,
         op12_passages,
+        op13_conversation_repair,
     )
 }
 
@@ -55,4 +57,5 @@ ORACLES: dict[str, str] = {
     "op1_decontamination": OP1_SQL,
     "op11_merkle_manifest": OP11_SQL,
     "op12_passages": OP12_SQL,
+    "op13_conversation_repair": OP13_SQL,
 }
