@@ -6,14 +6,16 @@ the same anchor are ever compared, and each string belongs to one anchor.
 
 1. Copies of whole texts are found by digest; the first of them is compared.
 2. Anchors are counted over all documents; those that occur once are done.
-3. Each other anchor brings the stretch of text that its strings cover. In a
-   group of equal anchors, equal stretches are settled at once; of the others,
-   the strings whose hash occurs again are suffix sorted. Suffixes are compared by binary search for
-   their common extension over prefix polynomial hashes, in a mergesort; equal
-   neighbours are verified byte by byte.
-4. Hot anchors, whose share of all would weigh on one task, are no groups: their strings are counted
-   one by one through 128-bit hashes, with sums before the shuffle, and joined
-   back, where adaptive execution splits a skewed string.
+3. Each other anchor brings the context of its strings, as a digest. Equal contexts
+   become one row with their earliest place, with minima before the shuffle: all
+   others are repeated as a whole.
+4. Where contexts of one anchor differ, the earliest copy of each is brought to the
+   anchor, and the strings whose hash occurs again are suffix sorted. Suffixes are
+   compared by binary search for their common extension over prefix polynomial
+   hashes, in a mergesort; equal neighbours are verified byte by byte.
+5. An anchor with more differing contexts than a task can hold is no group: the strings
+   of these contexts are told apart by 128-bit hashes, again with minima before
+   the shuffle, and joined back, where adaptive execution splits a skewed string.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatt.llm.common import byte_view, steps, table, text_steps
+from fleetwatt.llm.common import byte_view, steps, stored, table, text_steps
+from fleetwatt.llm.numbering import numbered
 from fleetwatt.llm.tokens import spread
 
 LENGTH = 100
@@ -37,10 +40,8 @@ K = 20
 # Anchors are told apart by 48 bits; the others are 0 and cost nothing in a shuffle. Two
 # K-grams with one hash share a group, where their strings are compared like any others.
 GRAM_BITS = ~np.uint64(0xFFFF)
-# An anchor is hot if it is more than one in HOT_SHARE of all; a task can hold HOT_LEAST occurrences, but not HOT_MOST.
-HOT_SHARE = 256
-HOT_LEAST = 20_000
-HOT_MOST = 100_000
+# Differing contexts of one anchor that a task can hold.
+MOST_CONTEXTS = 16384
 LAST_ID = (1 << 63) - 1
 CHUNK = 1 << 19
 PLACE_BITS = 20  # of a place within a chunk
@@ -310,22 +311,30 @@ def runs(ids: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray,
 
 
 def settled(rows: DataFrame, length: int) -> DataFrame:
-    """id, from, to of repeated stretches of ``rows(gram, id, start, back, context)``."""
+    """id, nth, from, to of repeated stretches of ``rows(gram, id, nth, start, back, context)``."""
 
     def answer(block: pa.Table) -> pa.RecordBatch:
-        gram, ids, first, back = (block.column(c).to_numpy() for c in range(4))
-        order = np.lexsort((first, ids, gram))
-        order = order[~same_as_before(gram[order], ids[order], first[order])]  # repeated rows of one document
-        data, offsets = byte_view(block.column(4).combine_chunks().take(pa.array(order)).cast(pa.binary()))
+        gram, ids, nth, first, back = (block.column(c).to_numpy() for c in range(5))
+        order = np.lexsort((first, nth, ids, gram))
+        order = order[~same_as_before(gram[order], ids[order], nth[order], first[order])]  # repeated rows of one document
+        data, offsets = byte_view(block.column(5).combine_chunks().take(pa.array(order)).cast(pa.binary()))
         group = np.cumsum(~same_as_before(gram[order])) - 1
-        own = Contexts(data, offsets, group, ids[order], first[order], back[order])
+        # Documents by number, in their order.
+        by = np.lexsort((nth[order], ids[order]))
+        number = np.empty(len(order), np.int64)
+        number[by] = np.cumsum(~same_as_before(ids[order][by], nth[order][by])) - 1
+        id_of, nth_of = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        id_of[number], nth_of[number] = ids[order], nth[order]
+        own = Contexts(data, offsets, group, number, first[order], back[order])
         later = equal_contexts(own)
         differing = np.flatnonzero(~later)
         many = np.bincount(own.group[differing], minlength=len(group) + 1) > 1
         strings = settle(own.take(differing[many[own.group[differing]]]), length)
         parts = runs(*strings, length)
         whole = (own.ids[later], own.first[later], own.first[later] + np.diff(own.offsets)[later])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(parts, whole, strict=True)], names=["id", "from", "to"])
+        document, low, high = (np.concatenate(c) for c in zip(parts, whole, strict=True))
+        columns = [id_of[document], nth_of[document], low, high]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["id", "nth", "from", "to"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -349,14 +358,16 @@ def settled(rows: DataFrame, length: int) -> DataFrame:
             yield answer(pa.Table.from_batches(held))
 
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(tasks, "gram").sortWithinPartitions("gram").mapInArrow(run, "id long, from long, to long")
+    return rows.repartition(tasks, "gram").sortWithinPartitions("gram").mapInArrow(run, "id long, nth long, from long, to long")
 
 
 def shared_words(texts: DataFrame) -> bytes:
     """A dictionary of what texts have in common, from at most DICTIONARY_TEXTS of them, or nothing if they are few."""
-    chosen = texts.select("id").orderBy(F.xxhash64("id", F.lit(1)), "id").limit(DICTIONARY_TEXTS)
+    digest = F.md5("text").alias("digest")
+    chosen = texts.select("id", digest).orderBy(F.xxhash64("id", F.lit(1)), "id", "digest").limit(DICTIONARY_TEXTS).distinct()
     part = F.substring("text", 1, 8192).alias("text")
-    rows = texts.join(F.broadcast(chosen.distinct()), "id").select("id", part).toPandas()
+    # Rows may repeat a text under its id, so what the join finds is bounded once more.
+    rows = texts.select("id", part, digest).join(F.broadcast(chosen), ["id", "digest"]).limit(DICTIONARY_TEXTS).select("id", "text").toPandas()
     samples = [t.encode() for t in rows.sort_values(["id", "text"])["text"]]
     samples = [t[:4096] for t in samples if len(t) >= 64]
     size = min(DICTIONARY_BYTES, sum(map(len, samples)) // 8)
@@ -398,67 +409,74 @@ def opened(batches: Iterator[pa.RecordBatch], words: bytes) -> Iterator[tuple[pa
 
 
 def found_anchors(texts: DataFrame, words: Broadcast, length: int) -> DataFrame:
-    """gram, id, packed: every anchor of ``texts(id, zipped, n_bytes)``; packed holds its place and its strings."""
+    """gram, id, nth, packed: every anchor of ``texts(id, zipped, n_bytes, nth)``; packed holds its place and its strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in opened(batches, words.value):
             text, gram, place, low, high = anchors(data, offsets, length)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram), batch.column(0).take(pa.array(text)), pa.array((place << 14) | ((place - low) << 7) | (high - low))],
-                names=["gram", "id", "packed"],
-            )
+            packed = (place << 14) | ((place - low) << 7) | (high - low)
+            of = pa.array(text)
+            columns = [pa.array(gram), batch.column(0).take(of), batch.column(3).take(of), pa.array(packed)]
+            yield pa.RecordBatch.from_arrays(columns, names=["gram", "id", "nth", "packed"])
+
+    return texts.mapInArrow(run, "gram long, id long, nth long, packed long")
+
 
-    return texts.mapInArrow(run, "gram long, id long, packed long")
+SCHEMAS = {
+    "digests": "gram long, shape long, w long, v long, id long, nth long, start long",
+    "contexts": "gram long, id long, nth long, start long, back long, context binary",
+    "strings": "w long, v long, id long, nth long, start long",
+}
 
 
-def expanded(texts: DataFrame, words: Broadcast, hot: bool, length: int) -> DataFrame:
-    """The strings of the anchors in ``texts(id, zipped, n_bytes, marks)``: contexts of ordinary ones, or hashes of hot ones."""
+def expanded(texts: DataFrame, words: Broadcast, kind: str, length: int) -> DataFrame:
+    """The contexts of the anchors in ``texts(id, zipped, n_bytes, nth, marks)``, as SCHEMAS has them by ``kind``:
+    two hashes of each, its bytes, or two hashes of each of its strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in opened(batches, words.value):
-            marks = batch.column(3)
+            marks = batch.column(4)
             flat = marks.flatten()
             row = np.repeat(np.arange(batch.num_rows), marks.value_lengths().to_numpy(zero_copy_only=False))
-            gram, packed, is_hot = (flat.field(c).to_numpy(zero_copy_only=False) for c in range(3))
-            keep = is_hot == hot
-            row, gram, packed = row[keep], gram[keep], packed[keep]
+            gram, packed = (flat.field(c).to_numpy(zero_copy_only=False) for c in range(2))
             back = (packed >> 7) & 127
             start = (packed >> 14) - back
             count = (packed & 127) + 1
-            ids = batch.column(0).to_numpy()[row]
+            ids, nth = (batch.column(c).to_numpy()[row] for c in (0, 3))
             at = offsets[row] + start
-            if not hot:
+            if kind == "digests":
+                columns = [gram, packed & 16383, *hashes_at(data, at, count + length - 1), ids, nth, start]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["gram", "shape", "w", "v", "id", "nth", "start"])
+            elif kind == "contexts":
                 whole = data.tobytes()
                 context = [whole[a : a + n] for a, n in zip(at.tolist(), (count + length - 1).tolist(), strict=True)]
-                columns = [pa.array(gram), pa.array(ids), pa.array(start), pa.array(back), pa.array(context, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["gram", "id", "start", "back", "context"])
-                continue
-            step = 1 << 13
-            for a in range(0, len(at), step):
-                n = count[a : a + step]
-                shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                own = np.repeat(np.arange(len(n)), n)
-                places = at[a : a + step][own] + shift
-                made = [pa.array(h) for h in hashes_at(data, places, length)]
-                yield pa.RecordBatch.from_arrays(
-                    [*made, pa.array(ids[a : a + step][own]), pa.array(start[a : a + step][own] + shift)], names=["w", "v", "id", "start"]
-                )
-
-    return texts.mapInArrow(run, "w long, v long, id long, start long" if hot else "gram long, id long, start long, back long, context binary")
-
-
-def hashes_at(data: np.ndarray, places: np.ndarray, length: int) -> list[np.ndarray]:
-    """Two independent hashes of the strings at some places."""
+                columns = [*(pa.array(c) for c in (gram, ids, nth, start, back)), pa.array(context, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["gram", "id", "nth", "start", "back", "context"])
+            else:
+                step = 1 << 13
+                for a in range(0, len(at), step):
+                    n = count[a : a + step]
+                    shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    own = np.repeat(np.arange(a, a + len(n)), n)
+                    places = at[own] + shift
+                    columns = [*hashes_at(data, places, np.full(len(places), length)), ids[own], nth[own], start[own] + shift]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["w", "v", "id", "nth", "start"])
+
+    return texts.mapInArrow(run, SCHEMAS[kind])
+
+
+def hashes_at(data: np.ndarray, places: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """Two independent hashes of the stretches at some places."""
     out = []
     for base, back in ((BASE, BASE_BACK), (OTHER, OTHER_BACK)):
         if not len(places):
             out.append(np.zeros(0, np.int64))
             continue
         low = int(places.min())
-        part = data[low : int(places.max()) + length]
+        part = data[low : int((places + lengths).max())]
         sums = prefix_sums(part, base)
         local = places - low
-        out.append(spread((sums[local + length] - sums[local]) * powers(back, len(part))[local]).view(np.int64))
+        out.append(spread((sums[local + lengths] - sums[local]) * powers(back, len(part))[local]).view(np.int64))
     return out
 
 
@@ -469,51 +487,60 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     remaining bytes. A byte goes if a string of ``length`` bytes over it also
     starts earlier: in a document with a smaller id, or before in the same one;
     strings are judged on the input. NULL texts are empty, and texts below
-    ``length`` lose nothing. Documents without id come after all others.
-    Repeated rows are one document and give equal rows. Of rows that share an id
-    (or have none) but not a text, the text with the smallest digest is
-    compared, others are kept whole. Extra columns are left out.
+    ``length`` lose nothing. Documents without id come after all others, and
+    documents that share an id, or have none, go by the digest of their text. Rows
+    that repeat both are one document and give equal rows. Extra columns are left out.
     """
     tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = documents.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     )
-    judged = texts.select("id", F.md5("text").alias("judged")).groupBy("id").agg(F.min("judged").alias("judged"))
-    firsts = judged.groupBy("judged").agg(F.min("id").alias("first"))
-    info = judged.join(firsts, "judged").select("id", "judged", (F.col("first") < F.col("id")).alias("copy"))
-    # Bytes tell the number of anchors well enough to say which share of them is hot.
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    hot = max(HOT_LEAST, min(HOT_MOST, int(2 * total / (length - K + 2) / HOT_SHARE)))
+    keys = stored(texts.select("id", F.md5("text").alias("digest")).distinct(), "keys")
+    # Documents with one id are told apart by a number; nearly all have 0.
+    shared = keys.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    others = stored(numbered(keys.join(shared, "id"), "id", ["digest"]).select("id", "digest", F.col("idx").alias("nth")), "shared")
+    number = F.coalesce("nth", F.lit(0)).cast("long").alias("nth")
+    firsts = keys.groupBy("digest").agg(F.min("id").alias("first"))
+    info = keys.join(others, ["id", "digest"], "left").join(firsts, "digest")
+    info = stored(info.select("id", number, (F.col("first") < F.col("id")).alias("copy")), "info")
     # One shuffle of the texts serves all uses below.
     words = documents.sparkSession.sparkContext.broadcast(shared_words(texts))
-    placed = squeezed(texts, words).repartition(tasks, "id")
-    compared = (
-        placed.join(info.where(~F.col("copy")).select("id", "judged").hint("shuffle_hash"), "id")
-        # Not written as an equality, which would make the digest a key of the join and shuffle the texts again.
-        .where((F.col("n_bytes") >= length) & F.array_contains(F.array("judged"), F.col("digest")))
-        .select("id", "zipped", "n_bytes")
-    )
+    placed = squeezed(texts, words).join(others, ["id", "digest"], "left").select("id", "zipped", "n_bytes", number).repartition(tasks, "id", "nth")
+    key = ["id", "nth"]
+    compared = placed.join(info.where("not copy").select(*key).hint("shuffle_hash"), key).where(F.col("n_bytes") >= length)
+    compared = compared.select("id", "zipped", "n_bytes", "nth")
+
+    def marked(marks: DataFrame) -> DataFrame:
+        # A set, since rows may repeat a document.
+        found = marks.groupBy(*key).agg(F.collect_set(F.struct("gram", "packed")).alias("marks"))
+        return compared.join(found.hint("shuffle_hash"), key).select("id", "zipped", "n_bytes", "nth", "marks")
+
     every = found_anchors(compared, words, length)
-    repeated = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram", (F.col("n") >= hot).alias("hot"))
-    marks = every.join(repeated, "gram").groupBy("id").agg(F.collect_list(F.struct("gram", "packed", "hot")).alias("marks"))
-    marked = compared.join(marks.hint("shuffle_hash"), "id")
-    gone = settled(expanded(marked, words, False, length), length)
-    strings = expanded(marked.where(F.exists("marks", lambda m: m["hot"])), words, True, length)
-    counted = strings.groupBy("w", "v").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    hot_gone = strings.join(counted.select("w", "v", "first"), ["w", "v"]).where(
-        (F.col("first.id") < F.col("id")) | ((F.col("first.id") == F.col("id")) & (F.col("first.start") < F.col("start")))
+    repeated = every.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    contexts = stored(expanded(marked(every.join(repeated, "gram")), words, "digests", length), "contexts")
+    digest = ["gram", "shape", "w", "v"]
+    earliest = contexts.groupBy(*digest).agg(F.min(F.struct("id", "nth", "start")).alias("first"), F.count("*").alias("n"))
+    earliest = stored(earliest.select(*digest, F.col("first.id").alias("id"), F.col("first.nth").alias("nth"), F.col("first.start").alias("start"), "n"), "earliest")
+    before = [F.col(c).alias(f"first_{c}") for c in (*key, "start")]
+    later = contexts.join(earliest.where("n > 1").select(*digest, *before), digest).where(
+        F.struct("first_id", "first_nth", "first_start") < F.struct("id", "nth", "start")
     )
-    ranges = gone.unionByName(hot_gone.select("id", F.col("start").alias("from"), (F.col("start") + length).alias("to")))
-    by_id = ranges.groupBy("id").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
-    joined = placed.join(info.hint("shuffle_hash"), "id").join(by_id.hint("shuffle_hash"), "id", "left")
-    same = F.col("digest") == F.col("judged")
-    ready = joined.select(
-        "id",
-        "zipped",
-        "n_bytes",
-        (same & F.col("copy") & (F.col("n_bytes") >= length)).alias("whole"),
-        F.when(same, F.col("ranges")).alias("ranges"),
+    span = F.col("shape").bitwiseAND(127) + length
+    whole = later.select(*key, F.col("start").alias("from"), (F.col("start") + span).alias("to"))
+    counts = earliest.groupBy("gram").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    back = F.shiftright("shape", 7)
+    differing = earliest.join(counts, "gram").select(
+        "gram", *key, (F.shiftleft(F.col("start") + back, 14) + F.col("shape")).alias("packed"), (F.col("contexts") > MOST_CONTEXTS).alias("hot")
     )
+    differing = stored(differing, "differing")
+    gone = settled(expanded(marked(differing.where("not hot")), words, "contexts", length), length)
+    strings = expanded(marked(differing.where("hot")), words, "strings", length)
+    counted = strings.groupBy("w", "v").agg(F.min(F.struct("id", "nth", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    hot_gone = strings.join(counted.select("w", "v", "first"), ["w", "v"]).where(F.col("first") < F.struct("id", "nth", "start"))
+    ranges = gone.unionByName(whole).unionByName(hot_gone.select(*key, F.col("start").alias("from"), (F.col("start") + length).alias("to")))
+    by_id = ranges.groupBy(*key).agg(F.collect_set(F.struct("from", "to")).alias("ranges"))
+    joined = placed.join(info.hint("shuffle_hash"), key).join(by_id.hint("shuffle_hash"), key, "left")
+    ready = joined.select("id", "zipped", "n_bytes", (F.col("copy") & (F.col("n_bytes") >= length)).alias("whole"), "ranges")
     kind = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,23 +8,17 @@ from fleetwatt.llm import queries, repeats
 
 
 def brute(pairs, length):
-    """Result of each pair in order, strings looked up in a set; equal rows are one document."""
+    """Result of each pair in order, strings looked up in a set; rows with one id go by the digest of their text, equal rows are one document."""
     last = (1 << 63) - 1
-    digest = {}
-    for doc, text in pairs:
-        key = last if doc is None else doc
-        own = hashlib.md5((text or "").encode()).hexdigest()
-        digest[key] = min(digest.get(key, own), own)
     seen, result = set(), {}
-    for key, text in sorted({(last if d is None else d, t or "") for d, t in pairs}):
+    for key, _, text in sorted({(last if d is None else d, hashlib.md5((t or "").encode()).hexdigest(), t or "") for d, t in pairs}):
         data = text.encode()
         gone = np.zeros(len(data), bool)
-        if hashlib.md5(data).hexdigest() == digest[key]:
-            for s in range(len(data) - length + 1):
-                string = data[s : s + length]
-                if string in seen:
-                    gone[s : s + length] = True
-                seen.add(string)
+        for s in range(len(data) - length + 1):
+            string = data[s : s + length]
+            if string in seen:
+                gone[s : s + length] = True
+            seen.add(string)
         edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
         kept = bytes(np.frombuffer(data, np.uint8)[~gone])
         result[key, text] = (len(data), [tuple(e) for e in edges.reshape(-1, 2).tolist()], kept)
@@ -49,18 +43,24 @@ def pairs():
     base = text(500)
     found += [(300 + i, base[: 20 * i] + "#" + base[20 * i :]) for i in range(20)]
     found += [(400, "ab" * 300), (401, "ab" * 80), (402, "x" * 99), (403, "x" * 100), (404, "x" * 101), (405, None), (406, "")]
-    found += [(500 + i, base) for i in range(4)] + [found[40], (41, "shares an id with an other text " * 9), (None, passage), (None, passage)]
+    found += [(500 + i, base) for i in range(4)] + [found[40], (41, "shares an id with an other text " * 9), (41, passage), (None, passage), (None, passage)]
+    found += [(None, passage[n:] + "none") for n in range(5)] + [(None, None), (41, base[30:])] + [(42, base[n:] + passage[n:]) for n in range(4)]
     rng.shuffle(found)
     return found
 
 
-@pytest.mark.parametrize("hot", [10**9, 5])
-def test_against_brute_force(docs, pairs, monkeypatch, hot):
-    monkeypatch.setattr(repeats, "HOT_LEAST", hot)
-    monkeypatch.setattr(repeats, "HOT_MOST", hot)
+@pytest.mark.parametrize("most", [10**9, 5, 1])
+def test_against_brute_force(docs, pairs, monkeypatch, most):
+    monkeypatch.setattr(repeats, "MOST_CONTEXTS", most)
     assert rows(repeats.remove_repeats(docs(*pairs, parts=3))) == sorted(brute(pairs, 100), key=str)
 
 
+def test_rows_without_id_lose_what_others_have(docs):
+    passage = "".join(random.Random(4).choices("abcdefgh", k=195))
+    found = rows(repeats.remove_repeats(docs((1, passage), (None, passage + "x"), (None, "y" + passage))))
+    assert [(d, n, b"".join([kept])) for d, n, _, kept in found] == [(1, 195, passage.encode()), (None, 196, b"x"), (None, 196, b"y")]
+
+
 def test_empty_table(docs):
     assert repeats.remove_repeats(docs()).count() == 0
 
