@@ -34,7 +34,9 @@ from fleetwatt.operators.days import (
 )
 from fleetwatt.operators.fleet import label_table, select_vehicles, with_label
 from fleetwatt.operators.flows import flows_of_rows, hour_spine, hourly_flows, spine_join
+from fleetwatt.operators.intervals import interval_join
 from fleetwatt.operators.order import first_rows
+from fleetwatt.operators.partials import hour_figures, hour_states, merged, updated
 from fleetwatt.operators.ports import label_ports, sensor_table, unpivot_ports, with_component
 from fleetwatt.operators.rollups import (
     above_threshold,
@@ -59,10 +61,12 @@ from fleetwatt.sources.json_records import (
     records,
     vehicle_from_path,
 )
-from fleetwatt.sources.tables import file_counts, list_files, read_csv, row_counts, write_csv, write_parquet
+from fleetwatt.sources.tables import file_counts, list_files, read_csv, row_counts, write_bucketed, write_csv, write_ordered, write_parquet
+from fleetwatt.streaming.day_tables import DayTables, Source, Table
 from fleetwatt.streaming.dedup import drop_repeats
 from fleetwatt.streaming.hourly import hourly_store, mark_late
 from fleetwatt.streaming.ingest import drain
+from fleetwatt.streaming.moved import RECORDS, RecordStore
 from fleetwatt.streaming.restate import DayStore
 
 TABLES = (
@@ -85,7 +89,11 @@ def vehicle_key() -> Column:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return telemetry_rows(table(spark, sf_dir, "events"))
+
+
+def telemetry_rows(events: DataFrame) -> DataFrame:
+    return events.select(
         vehicle_key().alias("vehicle"),
         "event_id",
         "ts",
@@ -182,10 +190,14 @@ MEASURES = {"total_usage_W": "view", "solar_gain_W": "click", "total_battery_pow
 
 
 def flows(spark: SparkSession, sf_dir: str, battery: bool = True) -> DataFrame:
+    return roles(table(spark, sf_dir, "events"), battery)
+
+
+def roles(events: DataFrame, battery: bool = False) -> DataFrame:
     """All series come from one table, so their roles are told apart in one scan."""
     component, value = F.col("component"), F.col("value")
     measures = {mean: F.when(component == name, value) for mean, name in list(MEASURES.items())[: 3 if battery else 2]}
-    return flows_of_rows(telemetry(spark, sf_dir), (component == "error") & (value > POWER_THRESHOLD_W), measures)
+    return flows_of_rows(telemetry_rows(events), (component == "error") & (value > POWER_THRESHOLD_W), measures)
 
 
 def q_spine_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -529,14 +541,12 @@ def q_vehicle_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_target_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly totals of one chosen vehicle beside those of both."""
     rows = telemetry(spark, sf_dir)
-    known = ["wg0", "wg1", "wg2"]
-    parts = [
-        hourly_total(select_vehicles(rows, target, known), "value", "sampleHour", "total_value", scale=SCALE).withColumn(
-            "target", F.lit(target)
-        )
-        for target in ("wg1", "both")
-    ]
-    return parts[0].unionByName(parts[1])
+
+    def totals(chosen: DataFrame, target: str) -> DataFrame:
+        return hourly_total(chosen, "value", "sampleHour", "total_value", scale=SCALE).withColumn("target", F.lit(target))
+
+    # Both means every vehicle of the table, so there is nothing to choose.
+    return totals(select_vehicles(rows, "wg1", ["wg1"]), "wg1").unionByName(totals(rows, "both"))
 
 
 def q_day_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -566,9 +576,93 @@ def q_day_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_title_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of made days, as text; many figures lie half way between two tenths."""
+    price = F.col("l_extendedprice")
+    figures = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_returnflag").alias("label"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("day_label"),
+        (F.col("l_quantity") / 8).alias("gained_wh"),
+        (price / 64).alias("used_wh"),
+        (F.col("l_discount") - 0.05).alias("battery_start"),
+        (F.col("l_quantity") / 20).alias("battery_end"),
+        ((F.col("l_tax") - 0.04) * F.col("l_quantity") / 4).alias("delta"),
+    )
+    return with_titles(figures).select("l_orderkey", "l_linenumber", "title", "battery_title")
+
+
+def q_interval_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and their sum in each of many overlapping intervals of five minutes to 45 days."""
+    rows = telemetry(spark, sf_dir)
+    lengths = F.array(*[F.expr(f"interval {text}") for text in ("5 minutes", "1 hour", "6 hours", "1 day", "3 days", "14 days", "45 days")])
+    length = F.element_at(lengths, (F.col("event_id") % 7 + 1).cast("int"))
+    intervals = rows.where("component = 'signup'").select(
+        "vehicle", F.col("event_id").alias("interval_id"), F.col("ts").alias("start"), (F.col("ts") + length).alias("stop")
+    )
+    held = interval_join(rows.select("vehicle", "ts", "value"), "ts", intervals, "start", "stop")
+    return held.groupBy("interval_id").agg(F.count("*").alias("n"), total(F.col("value"), SCALE).alias("total"))
+
+
+def q_partial_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly figures from states of parts, merged, after some records were taken back and corrected ones added."""
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id", "ts", "value")
+    by = ["event_type"]
+    parts = [hour_states(rows.where(F.col("event_id") % 3 == n), "ts", "value", by, SCALE) for n in (2, 0, 1)]
+    wrong = rows.where(F.col("event_id") % 11 == 0)
+    right = wrong.withColumn("value", F.col("value") + 2)
+    corrected = rows.where(F.col("event_id") % 11 > 0).unionByName(right)
+
+    def again(hours: DataFrame) -> DataFrame:
+        hour = hour_of(F.col("ts")).alias("sampleHour")
+        found = corrected.select("*", hour).join(hours, ["event_type", "sampleHour"], "left_semi")
+        return hour_states(found.drop("sampleHour"), "ts", "value", by, SCALE)
+
+    state = updated(merged(parts, by), hour_states(right, "ts", "value", by, SCALE), hour_states(wrong, "ts", "value", by, SCALE), again, by)
+    return hour_figures(state, by).join(state.select("event_type", "sampleHour", "first_value", "last_value"), ["event_type", "sampleHour"]).select(
+        "event_type", F.col("sampleHour").alias("sample_hour"), "total", "mean_value", "n", "first_value", "last_value"
+    )
+
+
 # --- sources and sinks ---
 
 
+def q_global_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ports as their files hold them, read in the order of their names: rows, and rows that fall below the one before."""
+    out = shared_dir(spark, "ordered")
+    names = ["l_returnflag", "l_shipdate", "l_linenumber", "l_suppkey", "l_partkey", "l_orderkey"]
+    write_ordered(table(spark, sf_dir, "lineitem").select(*names), out, names)
+    file = F.col("_metadata.file_path").alias("_file")
+    rows = spark.read.parquet(out).select(F.struct(*names).alias("key"), file, F.monotonically_increasing_id().alias("_place"))
+    inside = Window.partitionBy("_file").orderBy("_place")
+    falls = rows.withColumn("falls", F.col("key") < F.lag("key").over(inside)).groupBy("_file").agg(
+        F.count("*").alias("n"), F.count_if("falls").alias("falls"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
+    # One row per file.
+    borders = falls.withColumn("border", (F.col("low") < F.lag("high").over(Window.orderBy("_file"))).cast("long"))
+    return borders.agg(F.sum("n").alias("n"), F.sum(F.col("falls") + F.coalesce("border", F.lit(0))).alias("out_of_order"))
+
+
+def q_bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spine join of hourly tables that are stored in buckets of vehicle and hour, and so joined where they lie."""
+    rows = telemetry(spark, sf_dir)
+    output, solar, battery = power_series(rows)
+    by = ["vehicle", "sampleHour"]
+    hourly = [
+        hour_spine(drawing_rows(rows)),
+        hourly_mean(output, "timestamp", "total_output_power_W", "total_usage_W"),
+        hourly_mean(solar, "timeStamp", "solar_power_W", "solar_gain_W"),
+        hourly_mean(battery, "timestamp", "total_battery_power_W", "total_battery_power_W"),
+    ]
+    out = shared_dir(spark, "buckets")
+    name = f"hourly_{out.rsplit('-', 1)[1]}"
+    stored = [write_bucketed(side, f"{out}/{n}", f"{name}_{n}", by, 8) for n, side in enumerate(hourly)]
+    # Sides of no proven size are joined by their buckets, not broadcast.
+    joined = spine_join(stored[0], *[side.hint("merge") for side in stored[1:]])
+    return flow_names(joined)
+
+
 def q_file_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     return census(table(spark, sf_dir, "orders"), "o_orderkey", table(spark, sf_dir, "lineitem"), "l_orderkey")
 
@@ -752,5 +846,110 @@ def q_restate_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+def q_stream_moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records arrive, a fifth of them again with a later time, of these half once more with the first time and another value."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    prepare(spark)
+    out = shared_dir(spark, "moved")
+
+    def build(records: DataFrame) -> DataFrame:
+        return records.groupBy("event_type", "day").agg(total(F.col("value"), SCALE).alias("total"), F.count("*").alias("n"))
+
+    store = RecordStore(spark, out, "ts", ["event_id"], [], [Table("daily", [RECORDS], build, ["event_type"])])
+    moved = events.where(F.col("event_id") % 5 == 0).withColumn("ts", F.col("ts") + F.expr("interval 30 hours"))
+    back = events.where(F.col("event_id") % 10 == 0).withColumn("value", F.col("value") + 1)
+    for number, rows in enumerate((events, moved, back)):
+        rows.write.parquet(f"{out}/landing/file={number}")
+        store.follow(spark.readStream.schema(rows.schema).parquet(f"{out}/landing/*"))
+    return store.read("daily")
+
+
+def put_file(spark: SparkSession, lines: DataFrame, path: str) -> None:
+    """Write lines as the one file ``path``, in place of one that is there."""
+    made = shared_dir(spark, "file")
+    lines.coalesce(1).write.text(made)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    [part] = files.globStatus(hadoop.Path(f"{made}/part-*"))
+    files.delete(hadoop.Path(path), False)
+    files.mkdirs(hadoop.Path(path).getParent())
+    files.rename(part.getPath(), hadoop.Path(path))
+
+
+def q_refetched_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily files of two vehicles, of which one is fetched again with corrected records and one with fewer, under their names."""
+    prepare(spark)
+    out = shared_dir(spark, "refetched")
+    rows = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("wg"), F.pmod("user_id", F.lit(2)).cast("string")).alias("vehicle"), day_of(F.col("ts")).alias("day"), "event_id", "ts", "value"
+    )
+    ends = rows.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    rewritten = [("wg0", ends.first), ("wg1", ends.last)]
+
+    def lines(found: DataFrame) -> Column:
+        return F.concat(F.lit('{"recordData":['), F.to_json(F.struct("event_id", "ts", "value")), F.lit("]}")).alias("line")
+
+    def daily(vehicle: str, day: dt.date) -> DataFrame:
+        return rows.where((F.col("vehicle") == vehicle) & (F.col("day") == F.lit(day)))
+
+    def path(vehicle: str, day: dt.date) -> str:
+        return f"{out}/raw/vehicle={vehicle}/day={day}/records.txt"
+
+    def read(paths) -> DataFrame:
+        payloads = vehicle_from_path(read_payloads(spark, list(paths), whole_file=False), "/vehicle=([^/]+)/")
+        return records(payloads, text_fields(["event_id", "ts", "value"])).withColumn("day", day_of(to_time(F.col("ts"))))
+
+    def build(readings: DataFrame) -> DataFrame:
+        last = keep_last(readings, ["vehicle", "event_id"], [SOURCE_ORDER])
+        return last.groupBy("vehicle", "day").agg(total(to_number(F.col("value")), SCALE).alias("total"), F.count("*").alias("n"))
+
+    source = Source("readings", [f"{out}/raw/vehicle=*/day=*/*.txt"], read)
+    tables = DayTables(spark, f"{out}/tables", [source], [Table("daily", ["readings"], build)])
+    if ends.first is None:
+        return spark.createDataFrame([], "vehicle string, day date, total double, n bigint")
+    others = ~F.struct("vehicle", "day").isin([F.struct(F.lit(v).alias("vehicle"), F.lit(d).alias("day")) for v, d in rewritten])
+    rows.where(others).select("vehicle", "day", lines(rows)).write.partitionBy("vehicle", "day").text(f"{out}/raw")
+    for vehicle, day in rewritten:
+        put_file(spark, daily(vehicle, day).select(lines(rows)), path(vehicle, day))
+    tables.refresh()
+    put_file(spark, daily(*rewritten[0]).withColumn("value", F.col("value") + 1).select(lines(rows)), path(*rewritten[0]))
+    put_file(spark, daily(*rewritten[1]).where("event_id % 2 = 0").select(lines(rows)), path(*rewritten[1]))
+    tables.refresh()
+    return tables.read("daily")
+
+
+def q_refresh_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours, flows and day summary of all days but the last, refreshed once the last day has arrived."""
+    prepare(spark)
+    out = shared_dir(spark, "refresh")
+    events = table(spark, sf_dir, "events").withColumn("day", day_of(F.col("ts")))
+    last = events.agg(F.max("day").alias("day")).first().day
+    names = events.drop("day").columns
+
+    def read(paths) -> DataFrame:
+        place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("chunk")).alias(SOURCE_ORDER)
+        return spark.read.schema(events.select(*names).schema).parquet(*paths).select(*names, place).withColumn("day", day_of(F.col("ts")))
+
+    def hours(records: DataFrame) -> DataFrame:
+        return roles(records.drop("day", SOURCE_ORDER)).withColumn("day", day_of(F.col("sampleHour")))
+
+    def battery(records: DataFrame) -> DataFrame:
+        return power_series(telemetry_rows(records))[2].withColumn("day", day_of(F.col("timestamp")))
+
+    def summary(hours: DataFrame, battery: DataFrame) -> DataFrame:
+        return day_summary(hours.drop("day"), battery.drop("day"))
+
+    graph = [
+        Table("hours", ["records"], hours),
+        Table("battery", ["records"], battery),
+        Table("summary", ["hours", "battery"], summary),
+    ]
+    tables = DayTables(spark, f"{out}/tables", [Source("records", [f"{out}/raw/*/*.parquet"], read)], graph)
+    for turn, part in enumerate((F.col("day") < F.lit(last), F.col("day") == F.lit(last))):
+        events.where(part).select(*names).write.parquet(f"{out}/raw/turn={turn}")
+        tables.refresh()
+    return rounded(tables.read("summary"), "used_wh", "gained_wh", "delta")
+
+
 def queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("q_")}

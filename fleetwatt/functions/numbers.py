@@ -52,3 +52,31 @@ def total(column: Column, scale: int | None = None) -> Column:
     if scale is None:
         return F.sum(column)
     return F.sum(column.cast(f"decimal(18,{scale})")).cast("double")
+
+
+def one_decimal(column: Column, plus: bool = False) -> Column:
+    """Text of a number with one decimal, rounded half to even on the exact value of the double.
+
+    Ten times a double is the sum of its double and eightfold, both exact. What
+    their sum loses is found without error, so a value just below a half is told
+    from a half: 2.25 gives 2.2, 0.15 (which is a little less) 0.1, 0.35 0.3.
+    ``plus`` puts a sign before values that have none. From 10^17 on the digits are
+    the shortest that name the double.
+    """
+    size = F.abs(column)
+    eight, two = size * 8, size * 2
+    ten = eight + two
+    part = ten - eight
+    lost = (eight - (ten - part)) + (two - part)
+    whole = F.floor(ten)
+    rest = ten - whole
+    even = F.pmod(whole, F.lit(2)) == 0
+    up = (rest > 0.5) | ((rest == 0.5) & ((lost > 0) | ((lost == 0) & ~even)))
+    tenths = whole + F.when(rest == 0, F.rint(lost).cast("long")).when(up, 1).otherwise(0)
+    minus = column.cast("string").startswith("-")
+    sign = F.when(minus, "-").otherwise("+" if plus else "")
+    digits = F.concat(sign, F.floor(tenths / F.lit(10)).cast("string"), F.lit("."), F.pmod(tenths, F.lit(10)).cast("string"))
+    named = F.when(F.isnan(column), "+nan" if plus else "nan").when(size == float("inf"), F.concat(sign, F.lit("inf")))
+    # Ten times such a value is no long.
+    large = F.format_string("%+.1f" if plus else "%.1f", column)
+    return F.when(column.isNull(), None).when(F.isnan(column) | (size == float("inf")), named).when(size >= 1e17, large).otherwise(digits)

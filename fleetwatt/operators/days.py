@@ -8,8 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetwatt.functions.numbers import or_zero
+from fleetwatt.functions.numbers import one_decimal, or_zero
 from fleetwatt.functions.times import day_end, day_of, day_start, day_text
+from fleetwatt.schemas import BATTERY_TITLE, POWER_TITLE
 
 VEHICLE = ("vehicle",)
 
@@ -96,16 +97,10 @@ def day_summary(flows: DataFrame, battery: DataFrame, by: Sequence[str] = VEHICL
 
 def with_titles(summary: DataFrame, label: str = "label") -> DataFrame:
     """Add the chart titles of each day; ``label`` is the display name of the vehicle."""
+    shown = {name: one_decimal(F.col(name), plus=name == "delta") for name in ("gained_wh", "used_wh", "battery_start", "battery_end", "delta")}
     return summary.withColumns(
         {
-            "title": F.format_string(
-                "%s: Average Power Usage (Watts) with Total Usage and Solar Gain<br>"
-                "Date: %s | Daily gained: %.1f Wh | Daily used: %.1f Wh",
-                F.col(label), F.col("day_label"), F.col("gained_wh"), F.col("used_wh"),
-            ),
-            "battery_title": F.format_string(
-                "Total Battery Power | Start: %.1f W | End: %.1f W | Daily gain/loss: %+.1f W",
-                F.col("battery_start"), F.col("battery_end"), F.col("delta"),
-            ),
+            "title": F.format_string(POWER_TITLE, F.col(label), F.col("day_label"), shown["gained_wh"], shown["used_wh"]),
+            "battery_title": F.format_string(BATTERY_TITLE, shown["battery_start"], shown["battery_end"], shown["delta"]),
         }
     )

@@ -169,7 +169,7 @@ ORACLES = {
     "q_target_choice": f"""
         select vehicle, h as "timestamp", sum(value::decimal(18,4))::double as total_value, target
         from ({TELEMETRY}), (values ('wg1'), ('both')) as c(target)
-        where vehicle = target or target = 'both' and vehicle in ('wg0', 'wg1', 'wg2') group by 1, 2, 4""",
+        where vehicle = target or target = 'both' group by 1, 2, 4""",
     "q_day_titles": f"""
         with {MEANS}
         select vehicle, h::date as day, case vehicle when 'wg0' then 'Alpha' else upper(vehicle) end as label,
@@ -286,4 +286,38 @@ ORACLES = {
         select ts::date as day, sum((value + case when ts::date >= last_day - 1 and event_id % 5 > 0 then 1 else 0 end)::decimal(18,4))::double
             as total
         from events, (select max(ts::date) as last_day from events) group by 1""",
+    "q_title_text": """
+        select l_orderkey, l_linenumber,
+               l_returnflag || ': Average Power Usage (Watts) with Total Usage and Solar Gain<br>Date: ' || strftime(l_shipdate, '%Y-%m-%d')
+                   || format(' | Daily gained: {:.1f} Wh | Daily used: {:.1f} Wh', l_quantity / 8, l_extendedprice / 64) as title,
+               format('Total Battery Power | Start: {:.1f} W | End: {:.1f} W | Daily gain/loss: {:+.1f} W',
+                   l_discount - 0.05::double, l_quantity / 20, (l_tax - 0.04::double) * l_quantity / 4) as battery_title
+        from lineitem""",
+    "q_interval_membership": f"""
+        with t as ({TELEMETRY}),
+        i as (select vehicle, event_id as interval_id, ts as "start", ts + case event_id % 7 when 0 then interval 5 minute
+                  when 1 then interval 1 hour when 2 then interval 6 hour when 3 then interval 1 day when 4 then interval 3 day
+                  when 5 then interval 14 day else interval 45 day end as stop
+              from t where event_type = 'signup')
+        select interval_id, count(*)::bigint as n, sum(value::decimal(18,4))::double as total
+        from t join i on i.vehicle = t.vehicle and t.ts >= i.start and t.ts < i.stop group by 1""",
+    "q_partial_states": """
+        with v as (select event_type, ts, value + case when event_id % 11 = 0 then 2 else 0 end as value from events)
+        select event_type, date_trunc('hour', ts) as sample_hour, sum(value::decimal(18,4))::double as total,
+               sum(value::decimal(18,4))::double / count(value) as mean_value, count(value)::bigint as n,
+               first(value order by ts, value) as first_value, last(value order by ts, value) as last_value
+        from v where value is not null group by 1, 2""",
+    "q_global_order": "select count(*)::bigint as n, 0::bigint as out_of_order from lineitem",
+    "q_bucketed_join": FLOWS,
+    "q_stream_moved": """
+        with v as (select event_type, ts + case when event_id % 5 = 0 and event_id % 10 > 0 then interval 30 hour else interval 0 hour end as ts,
+                          value + case when event_id % 10 = 0 then 1 else 0 end as value from events)
+        select event_type, ts::date as day, sum(value::decimal(18,4))::double as total, count(*)::bigint as n from v group by 1, 2""",
+    "q_refetched_files": """
+        with e as (select 'wg' || (user_id % 2) as vehicle, ts::date as day, event_id, value from events),
+        b as (select min(day) as first_day, max(day) as last_day from e)
+        select vehicle, day, sum((value + case when vehicle = 'wg0' and day = first_day then 1 else 0 end)::decimal(18,4))::double as total,
+               count(*)::bigint as n
+        from e, b where not (vehicle = 'wg1' and day = last_day and event_id % 2 = 1) group by 1, 2""",
 }
+ORACLES["q_refresh_job"] = ORACLES["q_day_summary"]

@@ -73,6 +73,9 @@ FILE_PATTERNS = {
 }
 
 POWER_THRESHOLD_W = 0.2
+# Chart titles of a day: label, day, gained, used; battery start, end, change.
+POWER_TITLE = "%s: Average Power Usage (Watts) with Total Usage and Solar Gain<br>Date: %s | Daily gained: %s Wh | Daily used: %s Wh"
+BATTERY_TITLE = "Total Battery Power | Start: %s W | End: %s W | Daily gain/loss: %s W"
 KNOTS_TO_MS = 0.514444
 MISSING_MARKS = (9999.0, -9999.0)
 

@@ -55,6 +55,27 @@ def laid_out(table: DataFrame, partitions: Sequence[str], order: Sequence[str],
     return table.hint("rebalance", *together).sortWithinPartitions(*dict.fromkeys([*partitions, *cluster]), *order)
 
 
+def in_global_order(table: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows sorted over all partitions, which are numbered in order, so that files read one after another are sorted.
+
+    Ranges are sampled over all columns of ``order``: the rows of one hot value
+    of the first are cut by the next ones.
+    """
+    return table.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write_ordered(table: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Replace ``path`` by Parquet files that hold ``table`` in one order over all of them."""
+    in_global_order(table, order).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def write_bucketed(table: DataFrame, path: str, name: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """Replace the table ``name`` at ``path`` by one in sorted buckets of ``by``, which joins on these need not shuffle."""
+    rows = table.repartition(buckets, *by)
+    rows.write.mode("overwrite").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+    return table.sparkSession.table(name)
+
+
 def _as_text(table: DataFrame) -> DataFrame:
     times = [
         field.name for field in table.schema if isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType))
@@ -63,8 +84,9 @@ def _as_text(table: DataFrame) -> DataFrame:
 
 
 def write_csv(table: DataFrame, path: str, partitions: Sequence[str] = ("vehicle",), order: Sequence[str] = ()) -> None:
-    """Replace ``path`` by CSV files with header rows, one folder per partition value."""
-    plain = _as_text(laid_out(table.drop(SOURCE_ORDER), partitions, order, ()))
+    """Replace ``path`` by CSV files with header rows, one folder per partition value, each in one ``order`` over its files."""
+    rows = table.drop(SOURCE_ORDER)
+    plain = _as_text(in_global_order(rows, [*partitions, *order]) if order else laid_out(rows, partitions, order, ()))
     plain.write.mode("overwrite").option("partitionOverwriteMode", "static").options(**CSV_OPTIONS).partitionBy(
         *partitions
     ).csv(path)
