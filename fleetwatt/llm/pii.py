@@ -55,9 +55,12 @@ LOOSE = (
     re.compile(r"(?<![0-9])[0-9](?:[\x20.-]?[0-9]){12,18}(?![0-9])"),
     re.compile(r"(?<![0-9.+-])(?:(?:001|\+?1)[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
 )
-WINDOW = 96
-STRIDE = 48
-BATCH = 512
+# Windows overlap by WINDOW - STRIDE characters, whose scores are averaged; texts for training are cut at TRAINED.
+WINDOW = 128
+STRIDE = 96
+TRAINED = 96
+BATCH = 256  # windows read at once
+PIECES = 256  # pieces whose scores are held at once
 # Bounds of training.
 CORPUS_WINDOWS = 600
 MADE_WINDOWS = 2400
@@ -103,9 +106,12 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+OTHER_FORMS = re.compile("[" + "".join(map(chr, PLAIN)) + "]")
+
+
 def plain(text: str) -> str:
     """The text, character for character, with plain digits and signs."""
-    return text if text.isascii() else text.translate(PLAIN)
+    return text if text.isascii() or not OTHER_FORMS.search(text) else text.translate(PLAIN)
 
 
 def loose_spans(text: str) -> list[Span]:
@@ -125,17 +131,18 @@ SYMBOLS = " @.-_+()[]{}:/,;%#&*!?=\"'\n"
 
 def symbol_ids(text: str) -> np.ndarray:
     """A small number per character: its class, or itself for the characters that matter."""
-    codes = np.frombuffer(plain(text).encode("utf-32-le", "surrogatepass"), "<u4")
-    return SYMBOL_TABLE[np.minimum(codes, 256)]
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return SYMBOL_TABLE[np.minimum(codes, len(SYMBOL_TABLE) - 1)]
 
 
-SYMBOL_TABLE = np.full(257, 3, np.uint8)  # 0 padding, 1 digit, 2 lower, 3 other, 4 upper
+SYMBOL_TABLE = np.full(1 << 16, 3, np.uint8)  # 0 padding, 1 digit, 2 lower, 3 other, 4 upper
 SYMBOL_TABLE[48:58] = 1
 SYMBOL_TABLE[97:123] = 2
 SYMBOL_TABLE[65:91] = 4
 SYMBOL_TABLE[[ord(c) for c in "atdoATDO"]] = [5, 6, 7, 8, 5, 6, 7, 8]  # of "at" and "dot"
 for _n, _c in enumerate(SYMBOLS):
     SYMBOL_TABLE[ord(_c)] = 9 + _n
+SYMBOL_TABLE[list(PLAIN)] = SYMBOL_TABLE[list(PLAIN.values())]
 SYMBOL_COUNT = 9 + len(SYMBOLS)
 TAGS = 1 + 2 * len(KINDS)  # outside; begin and inside of each kind
 
@@ -151,16 +158,14 @@ def tag_line(length: int, spans: list[Span]) -> np.ndarray:
 
 def spans_of(tags: np.ndarray) -> list[Span]:
     """Runs of one kind; an inside tag without a begin opens a span too."""
-    found: list[Span] = []
-    start = kind = -1
-    for i, tag in enumerate([*tags.tolist(), 0]):
-        own = (tag - 1) // 2 if tag else -1
-        if start >= 0 and (own != kind or tag % 2 == 1):
-            found.append((start, kind, i))
-            start = -1
-        if own >= 0 and start < 0:
-            start, kind = i, own
-    return found
+    if not tags.any():
+        return []
+    own = (tags.astype(np.int64) + 1) // 2
+    past, following = np.concatenate([[0], own[:-1]]), np.concatenate([own[1:], [0]])
+    begins = (own > 0) & ((own != past) | (tags % 2 == 1))
+    ends = (own > 0) & ((own != following) | np.concatenate([begins[1:], [True]]))
+    starts = np.flatnonzero(begins)
+    return list(zip(starts.tolist(), (own[starts] - 1).tolist(), (np.flatnonzero(ends) + 1).tolist(), strict=True))
 
 
 def plausible(text: str, span: Span) -> bool:
@@ -274,7 +279,7 @@ def corpus_windows(documents: DataFrame, count: int = CORPUS_WINDOWS) -> list[tu
         for batch, _, _ in text_steps(batches):
             parts: list[str] = []
             for text in batch.column(1).to_pylist():
-                parts += [text[a : min(b, a + WINDOW)] for a, b in evident(text or "")[:2]]
+                parts += [text[a : min(b, a + TRAINED)] for a, b in evident(text or "")[:2]]
             yield pa.RecordBatch.from_arrays([pa.array(sorted(set(parts)), pa.string())], names=["part"])
 
     parts = id_text(documents).mapInArrow(cut, "part string").orderBy(F.xxhash64("part", F.lit(3)), "part").limit(count)
@@ -282,50 +287,61 @@ def corpus_windows(documents: DataFrame, count: int = CORPUS_WINDOWS) -> list[tu
 
 
 def train(labelled: list[tuple[str, list[Span]]], epochs: int = EPOCHS) -> Tagger:
-    """A tagger from texts with labelled spans; each text counts with its first WINDOW characters."""
-    x = np.zeros((len(labelled), WINDOW), np.uint8)
-    y = np.zeros((len(labelled), WINDOW), np.int8)
+    """A tagger from texts with labelled spans; each text counts with its first TRAINED characters."""
+    x = np.zeros((len(labelled), TRAINED), np.uint8)
+    y = np.zeros((len(labelled), TRAINED), np.int8)
     for row, (text, spans) in enumerate(labelled):
-        ids = symbol_ids(text)[:WINDOW]
+        ids = symbol_ids(text)[:TRAINED]
         x[row, : len(ids)] = ids
-        y[row, : len(ids)] = tag_line(max(len(text), WINDOW), [s for s in spans if s[2] <= WINDOW])[: len(ids)]
+        y[row, : len(ids)] = tag_line(max(len(text), TRAINED), [s for s in spans if s[2] <= TRAINED])[: len(ids)]
     tagger = Tagger.fresh(SYMBOL_COUNT, TAGS)
     tagger.train(x, y, epochs)
     return tagger
 
 
-def tagged(tagger: Tagger, parts: list[str]) -> list[np.ndarray]:
-    """Best tags of each part, from the scores of overlapping windows over it."""
-    slope = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
+def window_starts(length: int) -> range:
+    return range(0, max(1, length - (WINDOW - STRIDE)), STRIDE)
+
+
+def text_scores(tagger: Tagger, parts: list[str]) -> list[np.ndarray]:
+    """Scores of the tags (time x tags) of each part; where windows overlap, one fades into the next. Equal windows are read once."""
+    shared = WINDOW - STRIDE
+    fade = (np.arange(1, shared + 1, dtype=np.float32) / (shared + 1))[:, None]
     ids = [symbol_ids(p) for p in parts]
-    where = [(n, s) for n, i in enumerate(ids) for s in range(0, max(1, len(i) - WINDOW + STRIDE), STRIDE)]
-    scores = [np.zeros((len(i), TAGS), np.float32) for i in ids]
-    weight = [np.zeros((len(i), 1), np.float32) for i in ids]
-    for at in range(0, len(where), BATCH):
-        some = where[at : at + BATCH]
-        x = np.zeros((len(some), WINDOW), np.uint8)
-        for row, (n, s) in enumerate(some):
-            own = ids[n][s : s + WINDOW]
-            x[row, : len(own)] = own
-        made = tagger.emissions(x)
-        for row, (n, s) in enumerate(some):
-            size = min(WINDOW, len(ids[n]) - s)
-            scores[n][s : s + size] += made[row, :size] * slope[:size, None]
-            weight[n][s : s + size] += slope[:size, None]
-    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(parts)
-    order = sorted(range(len(parts)), key=lambda n: len(ids[n]))
+    seen: dict[bytes, int] = {}
+    where = [[seen.setdefault(i[s : s + WINDOW].tobytes(), len(seen)) for s in window_starts(len(i))] for i in ids]
+    kept = list(seen)
+    made: list[np.ndarray] = [np.zeros((0, TAGS), np.float32)] * len(kept)
+    # Windows of about one length share a batch, so that short texts cost what they hold.
+    order = sorted(range(len(kept)), key=lambda n: len(kept[n]))
     for at in range(0, len(order), BATCH):
         some = order[at : at + BATCH]
-        lengths = np.array([len(ids[n]) for n in some])
-        padded = np.zeros((len(some), int(lengths.max()), TAGS), np.float32)
+        x = np.zeros((len(some), len(kept[some[-1]])), np.uint8)
         for row, n in enumerate(some):
-            padded[row, : lengths[row]] = scores[n] / weight[n]
-        best = tagger.best(padded, lengths)
+            x[row, : len(kept[n])] = np.frombuffer(kept[n], np.uint8)
+        scores = tagger.emissions(x)
         for row, n in enumerate(some):
-            out[n] = best[row, : lengths[row]]
+            made[n] = scores[row, : len(kept[n])]
+    out = []
+    for i, windows in zip(ids, where, strict=True):
+        total = np.empty((len(i), TAGS), np.float32)
+        for s, n in zip(window_starts(len(i)), windows, strict=True):
+            own = made[n]
+            if s:
+                over = own[:shared]
+                total[s : s + len(over)] += fade[: len(over)] * (over - total[s : s + len(over)])
+                total[s + shared : s + WINDOW] = own[shared:]
+            else:
+                total[:WINDOW] = own
+        out.append(total)
     return out
 
 
+def tagged(tagger: Tagger, parts: list[str]) -> list[np.ndarray]:
+    """Best tags of each part, decoded over the whole part."""
+    return tagger.decoded(text_scores(tagger, parts))
+
+
 def added_spans(tagger: Tagger, texts: list[str], bases: list[list[Span]]) -> list[list[Span]]:
     """Spans of the tagger, and spelled-out addresses beside them, that touch no base span."""
     cuts = [(i, a, b) for i, text in enumerate(texts) for a, b in stretches(text)]
@@ -333,8 +349,8 @@ def added_spans(tagger: Tagger, texts: list[str], bases: list[list[Span]]) -> li
     # Equal pieces, of copies above all, are read once.
     parts = list(dict.fromkeys(texts[i][a:b] for i, a, b in cuts))
     tags: dict[str, np.ndarray] = {}
-    for at in range(0, len(parts), BATCH):
-        some = parts[at : at + BATCH]
+    for at in range(0, len(parts), PIECES):
+        some = parts[at : at + PIECES]
         tags.update(zip(some, tagged(tagger, some), strict=True))
     for i, a, b in cuts:
         for start, kind, end in spans_of(tags[texts[i][a:b]]):

@@ -79,6 +79,49 @@ def test_best_sequence_is_that_of_all():
         assert tuple(found[row, :n]) == max(itertools.product(range(3), repeat=int(n)), key=worth)
 
 
+def test_only_parts_in_doubt_are_searched(finder):
+    """Tags are those of a search over everything: on random scores and weights, and on those of the tagger."""
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        tagger = Tagger.fresh(4, 5)
+        tagger.weights["move"], tagger.weights["first"] = rng.normal(size=(5, 5)).astype(np.float32), rng.normal(size=5).astype(np.float32)
+        texts = [(rng.normal(size=(n, 5)) + [rng.uniform(0, 4), 0, 0, 0, 0]).astype(np.float32) for n in (1, 2, 9, 40)]
+        for scores, tags in zip(texts, tagger.decoded(texts, 2), strict=True):
+            assert tags.tolist() == tagger.best(scores[None], np.array([len(scores)]))[0].tolist()
+    parts = [t for t, _ in pii.made_windows(300, seed=12) if t] + [" ".join(t for t, _ in pii.made_windows(40, seed=13))[:2048]]
+    doubts = []
+    for scores, tags in zip(pii.text_scores(finder.tagger, parts), pii.tagged(finder.tagger, parts), strict=True):
+        assert tags.tolist() == finder.tagger.best(scores[None], np.array([len(scores)]))[0].tolist()
+        doubts.append(finder.tagger.in_doubt(scores).mean())
+    assert np.mean(doubts) < 0.9
+
+
+def test_scores_are_those_of_the_trained_network(finder):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, pii.SYMBOL_COUNT, (7, 50)).astype(np.uint8)
+    w = finder.tagger.weights
+    both = np.concatenate([finder.tagger.run(x, way, False)[0] for way in "fb"], 2)
+    assert np.abs(finder.tagger.emissions(x) - (both @ w["out"] + w["out0"]).transpose(1, 0, 2)).max() < 1e-3
+
+
+def test_spans_of_tags():
+    def plain(tags):
+        found, start, kind = [], -1, -1
+        for i, tag in enumerate([*tags, 0]):
+            own = (tag - 1) // 2 if tag else -1
+            if start >= 0 and (own != kind or tag % 2 == 1):
+                found.append((start, kind, i))
+                start = -1
+            if own >= 0 and start < 0:
+                start, kind = i, own
+        return found
+
+    rng = np.random.default_rng(4)
+    for _ in range(500):
+        tags = rng.choice([0, 0, 1, 2, 2, 3, 4, 4], rng.integers(1, 30)).astype(np.int8)
+        assert pii.spans_of(tags) == plain(tags.tolist())
+
+
 def test_held_out_accuracy(finder):
     right = made = wanted = 0
     held = pii.made_windows(400, seed=99)
@@ -98,7 +141,7 @@ def test_added_spans_touch_no_base_span(finder):
 
 
 def test_windows_agree_with_one_window(finder):
-    text = "x " * 200 + "mail ab.cd@example.com or 10.20.30.40 " + "y " * 200
+    text = "x " * 300 + "mail ab.cd@example.com or 10.20.30.40 " + "y " * 300
     [(a, b)] = pii.stretches(text)
     [tags] = pii.tagged(finder.tagger, [text[a:b]])
     found = {(k, text[a + s : a + e]) for s, k, e in pii.spans_of(tags)}
