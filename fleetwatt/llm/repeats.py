@@ -45,8 +45,8 @@ MOST_CONTEXTS = 16384
 LAST_ID = (1 << 63) - 1
 CHUNK = 1 << 19
 PLACE_BITS = 20  # of a place within a chunk
-SORT_BYTES = 2 << 20
-SORT_STRINGS = 1 << 19
+SORT_BYTES = 1 << 20
+SORT_STRINGS = 1 << 18
 # Bounds of the sample that the dictionary of the shuffled texts is made of.
 DICTIONARY_TEXTS = 3000
 DICTIONARY_BYTES = 512 << 10
