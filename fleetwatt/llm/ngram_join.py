@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetwatt.llm.common import fresh, stored, table, text_steps
@@ -33,7 +33,8 @@ MAX_HASHES = 128
 # Rows of a block: of sketches, and of n-gram sets. Groups of more than 24 blocks have larger ones, up to 8 times.
 SKETCH_BLOCK = 512
 BLOCK = 128
-NO_ID = -(1 << 63)
+# Rows without id come after all others.
+NO_ID = (1 << 63) - 1
 # Columns of a dense product in verification.
 SPAN = 1 << 14
 
@@ -89,7 +90,7 @@ def min_hashes(keys: np.ndarray, cuts: np.ndarray, hashes: int) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, bands: int, rows: int) -> DataFrame:
-    """doc_id, node, bands, sketch of each row; node is the digest of the n-gram set, NULL without words."""
+    """doc_id, mark, node, bands, sketch of each row of ``documents(doc_id, text, mark)``; node is the digest of the n-gram set, NULL without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_steps(batches):
@@ -110,11 +111,16 @@ def signatures(documents: DataFrame, bands: int, rows: int) -> DataFrame:
                     band[row] = joined[at]
                     sketch[row] = low[at].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(node, pa.int64()), pa.array(band, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
-                names=["doc_id", "node", "bands", "sketch"],
+                [batch.column(0), batch.column(2), pa.array(node, pa.int64()), pa.array(band, pa.list_(pa.int64())), pa.array(sketch, pa.binary())],
+                names=["doc_id", "mark", "node", "bands", "sketch"],
             )
 
-    return documents.mapInArrow(sign, "doc_id long, node long, bands array<long>, sketch binary")
+    return documents.mapInArrow(sign, "doc_id long, mark long, node long, bands array<long>, sketch binary")
+
+
+def text_mark(text: Column) -> Column:
+    """Tells texts apart that share an id, or have none."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def dealt(df: DataFrame, size: str, least: int, largest: int) -> DataFrame:
@@ -263,17 +269,17 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
 def verified(documents: DataFrame, grouped: DataFrame, threshold: float) -> DataFrame:
     """node, links, a, b: verified partners of a class in one pair of blocks, and links to the smallest class reached.
 
-    ``grouped(doc_id, node, size, root, members)`` names a document of each
+    ``grouped(doc_id, mark, node, size, root, members)`` names a document of each
     class, the number of its copies, its group and the size of that group.
     """
     # Shuffled at every size: the groups grow with the corpus.
-    texts = documents.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text").join(grouped.hint("merge"), "doc_id")
+    texts = documents.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "mark", "text").join(grouped.hint("merge"), ["doc_id", "mark"])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_steps(batches):
             keys, cuts = gram_sets(data, offsets)
             node = batch.column(2).to_numpy()
-            # Rows that share an id may have other texts.
+            # The marks of two texts may be the same.
             right = [r for r in range(len(node)) if cuts[r + 1] > cuts[r] and digest(keys[cuts[r] : cuts[r + 1]]) == node[r]]
             if right:
                 yield pa.RecordBatch.from_arrays(
@@ -323,69 +329,91 @@ def verified(documents: DataFrame, grouped: DataFrame, threshold: float) -> Data
     return together(spread_out, keys).mapInArrow(verify, "node long, links long, a long, b long")
 
 
-def join(documents: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
-    """doc_id, class_id, n_links of each row of ``documents(doc_id, text)``.
-
-    ``n_links`` is the number of other rows whose n-gram sets have a Jaccard
-    similarity of at least ``threshold``, copies included. ``class_id`` is the
-    smallest doc_id that links lead to. Any two rows are found with at least
-    the probability ``recall`` if they are at the threshold, and more above it.
-    Words are lower-cased (A-Z) and cut at ASCII characters other than letters
-    and digits, so punctuation does not tell copies apart.
-    Texts without words (NULL, empty) have no links and are their own class.
-    Repeated rows are copies of each other. Rows without id are compared like
-    others; a class of such rows alone has no id. Extra columns are left out.
-    """
+def classed(documents: DataFrame, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """doc_id, mark, node of each row, and per node (n-gram set) its class, the class's smallest id and the number of links."""
     bands, rows = banding(threshold, recall)
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    documents = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_mark(F.col("text")).alias("mark")
+    )
     signed = stored(signatures(documents, bands, rows), "signatures")
     classes = stored(
         signed.where(F.col("node").isNotNull())
         .groupBy("node")
         .agg(
-            F.min("doc_id").alias("first_doc"), F.count("*").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+            F.min("doc_id").alias("first_doc"),
+            F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "mark")).alias("first"),
+            F.count("*").alias("size"),
+            F.first("bands").alias("bands"),
+            F.first("sketch").alias("sketch"),
         ),
         "classes",
     )
     near = components(candidate_links(classes, bands, rows, threshold))
     members = near.groupBy("root").agg(F.count("*").alias("members"))
-    grouped = near.join(members, "root").join(classes.select("node", "first_doc", "size"), "node")
-    grouped = stored(
-        grouped.select(F.coalesce("first_doc", F.lit(NO_ID)).alias("doc_id"), "node", "size", "root", "members"), "groups"
-    )
+    grouped = near.join(members, "root").join(classes.select("node", "first.*", "size"), "node")
+    grouped = stored(grouped.select("doc_id", "mark", "node", "size", "root", "members"), "groups")
     found = stored(verified(documents, grouped, threshold), "verified")
     links = found.where(F.col("node").isNotNull()).groupBy("node").agg(F.sum("links").alias("links"))
     whole = components(found.where(F.col("a").isNotNull()).select("a", "b"))
     first = classes.select("node", "first_doc")
     smallest = whole.join(first, "node").groupBy("root").agg(F.min("first_doc").alias("smallest"))
-    placed = whole.join(smallest, "root").select("node", "smallest")
+    placed = whole.join(smallest, "root").select("node", "root", "smallest")
     answer = (
         classes.select("node", "first_doc", "size")
         .join(placed, "node", "left")
         .join(links, "node", "left")
         .select(
             "node",
+            F.coalesce("root", "node").alias("root"),
             F.coalesce("smallest", "first_doc").alias("class_id"),
             (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
-    worded = signed.where(F.col("node").isNotNull()).select("doc_id", "node").join(answer, "node").select("doc_id", "class_id", "n_links")
+    return signed.select("doc_id", "mark", "node"), answer
+
+
+def join(documents: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
+    """doc_id, class_id, n_links of each row of ``documents(doc_id, text)``.
+
+    ``n_links`` is the number of other rows whose n-gram sets have a Jaccard
+    similarity of at least ``threshold``, copies included. ``class_id`` is the
+    smallest doc_id that links lead to. Any two rows are found with at least
+    the probability ``recall`` if they are at the threshold, and more above it.
+    Words are lower-cased (A-Z) and cut at ASCII characters other than letters
+    and digits, so punctuation does not tell copies apart.
+    Texts without words (NULL, empty) have no links and are their own class.
+    Repeated rows are copies of each other. Rows without id are compared like
+    others; a class of such rows alone has no id. Extra columns are left out.
+    """
+    signed, answer = classed(documents, threshold, recall)
+    worded = signed.where(F.col("node").isNotNull()).join(answer, "node").select("doc_id", "class_id", "n_links")
     wordless = signed.where(F.col("node").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return worded.unionByName(wordless)
 
 
 def one_of_each(documents: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
-    """The rows of ``documents``, with all their columns, that are the first (by id) of their class.
+    """The rows of ``documents``, with all their columns, that are the first of their class.
 
-    Of rows that share an id the one with the smallest text stays. Rows without
-    id cannot be told apart from others by it and all stay.
+    The first has the smallest id (rows without id come last), and of one id the
+    text with the smallest hash; of rows that repeat both, one stays. Texts without
+    words are in no class and all stay. Other texts under the id of a row stay or
+    go by their own class.
     """
-    mine, place = fresh(documents, "_first"), fresh(documents, "_place")
-    first = join(documents, threshold, recall).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(mine)).distinct()
-    named = documents.join(first, F.col("doc_id") == F.col(mine), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    single = named.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
-    return single.unionByName(documents.where(F.col("doc_id").isNull()))
+    signed, answer = classed(documents, threshold, recall)
+    key = ["_id", "_mark"]
+    rows = signed.where(F.col("node").isNotNull()).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("mark").alias("_mark"), "node")
+    counted = rows.groupBy(*key, "node").agg(F.count("*").alias("n")).join(answer.select("node", "root"), "node")
+    firsts = counted.groupBy("root").agg(F.min(F.struct(*key, "n")).alias("first")).select("first.*")
+    wordless = signed.where(F.col("node").isNull()).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("mark").alias("_mark"), F.lit(1).cast("long").alias("n"))
+    names = {name: fresh(documents, name) for name in (*key, "n")}
+    chosen = stored(firsts.unionByName(wordless.distinct()), "firsts").withColumnsRenamed(names)
+    own = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_mark": text_mark(F.col("text"))}
+    kept = documents.withColumns({names[name]: value for name, value in own.items()}).join(chosen, [names[name] for name in key])
+    # Only rows that repeat an id and its text are sorted, and tasks keep one of each before the shuffle.
+    order = Window.partitionBy(*(names[name] for name in key)).orderBy(F.lit(0))
+    place = fresh(documents, "_place")
+    again = kept.where(F.col(names["n"]) > 1).withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    return kept.where(F.col(names["n"]) == 1).unionByName(again).select(*(F.col(f"`{c}`") for c in documents.columns))
 
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from fleetwatt.llm import ngram_join as nj
 from fleetwatt.llm.components import components
@@ -69,14 +70,44 @@ def test_blocks_give_the_same(docs, near, monkeypatch):
     assert found == brute(near)
 
 
+def survivors(rows):
+    """Of each class the row with the smallest id (none is last) and hash of its text, once; texts without words all stay."""
+    sets = [grams(t) for _, t in rows]
+
+    def key(n):
+        mark = xxhash.xxh64_intdigest((rows[n][1] or "").encode(), seed=42)
+        return (rows[n][0] is None, rows[n][0] or 0, mark - (1 << 64) * (mark >> 63))
+
+    group = list(range(len(rows)))
+
+    def root(n):
+        while group[n] != n:
+            n = group[n]
+        return n
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        if sets[i] and sets[j] and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+            group[max(root(i), root(j))] = min(root(i), root(j))
+    first = {}
+    for n in range(len(rows)):
+        if sets[n] and (root(n) not in first or key(n) < key(first[root(n)])):
+            first[root(n)] = n
+    return sorted([rows[n] for n in first.values()] + [r for r, s in zip(rows, sets, strict=True) if not s], key=str)
+
+
 def test_one_of_each_class_stays(docs, near):
     table = docs(*near)
     kept = nj.one_of_each(table)
     assert kept.columns == table.columns
-    first = {(d, c) for d, c, _ in brute(near)}
-    expected = sorted({d for d, c in first if d is not None and d == c})
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == expected
-    assert sum(r.doc_id is None for r in kept.collect()) == 2
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == survivors(near)
+
+
+def test_rows_that_share_an_id_or_have_none(docs):
+    """Different texts under one id stay, copies without id go, and rows that repeat all are one."""
+    one, two, three = (" ".join(f"{c}{n}" for n in range(30)) for c in "abc")
+    rows = [(1, one), (1, two), (None, three), (None, three), (None, one), (2, two), (5, None), (5, None), (6, one + " more"), (1, one)]
+    kept = sorted(((r.doc_id, r.text) for r in nj.one_of_each(docs(*rows, parts=3)).collect()), key=str)
+    assert kept == survivors(rows) == sorted([(1, one), (1, two), (None, three), (5, None), (5, None)], key=str)
 
 
 def test_empty_table(docs):
