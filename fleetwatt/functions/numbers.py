@@ -75,7 +75,8 @@ def one_decimal(column: Column, plus: bool = False) -> Column:
     tenths = whole + F.when(rest == 0, F.rint(lost).cast("long")).when(up, 1).otherwise(0)
     minus = column.cast("string").startswith("-")
     sign = F.when(minus, "-").otherwise("+" if plus else "")
-    digits = F.concat(sign, F.floor(tenths / F.lit(10)).cast("string"), F.lit("."), F.pmod(tenths, F.lit(10)).cast("string"))
+    digits = F.lpad(tenths.cast("string"), F.greatest(F.length(tenths.cast("string")), F.lit(2)), F.lit("0"))
+    digits = F.regexp_replace(F.concat(sign, digits), "([0-9])$", ".$1")
     named = F.when(F.isnan(column), "+nan" if plus else "nan").when(size == float("inf"), F.concat(sign, F.lit("inf")))
     # Ten times such a value is no long.
     large = F.format_string("%+.1f" if plus else "%.1f", column)
