@@ -1,8 +1,9 @@
 """Secrets in text: patterns propose candidates, a random forest throws out false findings.
 
 The forest looks at the length of a candidate, how its characters follow each
-other, how much of it is made of dictionary words, the path of its file, and
-the words beside it. It is trained from labelled findings.
+other, how much of it is made of dictionary words, the path of its file, the
+words beside it, the address it is part of and the lines around it. It is
+trained from labelled findings.
 """
 
 from __future__ import annotations
@@ -56,13 +57,19 @@ ASSIGNED = re.compile(
 )
 # Words and signs before a credential that stands without a keyword.
 CARRIERS = "bearer ", "basic ", "x-auth: ", "://"
+# Names in an address whose value opens something, not just names it.
+OPENERS = "hook token secret sig= signature= key= code= auth access pass services/ /bot".split()
 RUN = re.compile(r"[A-Za-z0-9_+/=~-]{16,}")
+# After the name of a scheme a credential may be of letters only.
+HEADER = re.compile(r"(?<![A-Za-z])(?:bearer|basic|x-auth:)\s{1,8}(?P<value>[A-Za-z0-9_+/=~-]{16,})", re.IGNORECASE)
+LINE_OF_BLOCK = re.compile(r"[A-Za-z0-9+/=]{40,}")
+FILE_ENDING = re.compile(r"(?:\.[A-Za-z0-9-]{1,12})?\.[A-Za-z][A-Za-z0-9]{1,4}(?![A-Za-z0-9])")
 DIGIT = re.compile(r"[0-9]")
 WORD = re.compile(r"[^\W_]+")
-CONTEXT = 60
+CONTEXT = 100
 ACCEPT = 0.5
 REPLACEMENT = "[SECRET]"
-FINDINGS = 6000
+FINDINGS = 12000
 
 Candidate = tuple[int, int, str]
 
@@ -78,6 +85,7 @@ def candidates(text: str) -> list[Candidate]:
         found += [(*m.span("value"), "assigned") for m in ASSIGNED.finditer(text)]
     if DIGIT.search(text):
         found += [(m.start(), m.end(), "run") for m in RUN.finditer(text) if DIGIT.search(m[0])]
+    found += [(*m.span("value"), "run") for m in HEADER.finditer(text) if not DIGIT.search(m["value"])]
     taken: list[Candidate] = []
     order = {kind: i for i, kind in enumerate(["private_key", *FORMATS, "assigned", "run"])}
     last = -1
@@ -116,7 +124,7 @@ VOWELS = set("aeiouyAEIOUY")
 NAMES = (
     "length digits upper lower symbols distinct entropy class_changes same_class_runs letter_digit vowel_changes longest_repeat "
     "dictionary known_format assigned hex pem path_inside path_test keyword_before keyword_near placeholder_near placeholder_inside "
-    "checksum_near separators carried".split()
+    "checksum_near separators carried address_names address_opens file_ending whole_line lines_alike".split()
 )
 
 
@@ -146,6 +154,13 @@ def features(value: str, kind: str, before: str, after: str, path: str) -> list[
     near_before = [w.lower() for w in WORD.findall(before)[-3:]]
     near = " ".join([*near_before, *(w.lower() for w in WORD.findall(after)[:3])])
     joined = before.lower()[-24:]
+    tail = before.split()[-1] if before and not before[-1].isspace() else ""
+    address = tail + value
+    inside = "://" in address
+    opens = inside and (any(w in address.lower() for w in OPENERS) or after[:1] == "@")
+    above, below = before.split("\n"), after.split("\n")
+    whole = len(above) > 1 and not above[-1].strip() and not below[0].strip("\r ")
+    alike = whole and (LINE_OF_BLOCK.fullmatch(above[-2].strip()) or len(below) > 1 and LINE_OF_BLOCK.fullmatch(below[1].strip()))
     return [
         n,
         count[2] / n,
@@ -173,6 +188,11 @@ def features(value: str, kind: str, before: str, after: str, path: str) -> list[
         any(k in joined for k in CHECKSUMS),
         (value.count("-") + value.count("_")) / n,
         any(w in joined for w in CARRIERS),
+        inside and not opens,
+        opens,
+        FILE_ENDING.match(after) is not None,
+        whole,
+        bool(alike),
     ]
 
 
@@ -180,7 +200,9 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
     """Labelled findings to start from: value, kind, before, after, path, label.
 
     Random keys in the formats and places they are issued in and used in, and as
-    many things that look alike: numbers, names, paths, checksums, placeholders.
+    many things that look alike: numbers, names, paths, checksums, placeholders,
+    commit ids, names of files, ids in addresses, lines of encoded mail. Bare hex
+    digits count as a key only after the name of a scheme or a keyword.
     """
     rng = random.Random(seed)
     hexes, mixed, upper = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -192,7 +214,7 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
         syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it", "st"]
         return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(n))
 
-    def secret() -> tuple[str, str, str]:
+    def secret() -> tuple[str, ...]:
         pick = rng.randrange(11)
         key = rng.choice(KEYWORDS)
         sign = rng.choice(["=", " = ", ": ", ' = "', "='", '": "', ":"])
@@ -214,29 +236,41 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
             return draw(hexes, rng.choice([16, 18, 20, 24, 32, 40, 64])), "assigned", f" {key}{sign}"
         if pick >= 8:
             return bare()
-        return draw(mixed + rng.choice(["", "!#%&", "_-", "+/"]), rng.randint(10, 64)), "assigned", f" {key}{sign}"
+        return draw(mixed + rng.choice(["", "!#%&", "_-", "+/"]), rng.randint(10, rng.choice([64, 64, 160]))), "assigned", f" {key}{sign}"
 
-    def bare() -> tuple[str, str, str]:
+    def bare() -> tuple[str, ...]:
         """A credential of no known format and without a keyword: in prose, after Bearer, in an address."""
-        carried = rng.choice([" Authorization: Bearer ", " Bearer ", " bearer ", " Authorization: Basic ", " https://user:", " X-Auth: "])
+        carried = rng.choice([" Authorization: Bearer ", " Bearer ", " bearer ", " Authorization: Basic ", " X-Auth: "])
         token = draw(rng.choice([mixed, mixed, mixed + "_-", mixed + "+/", upper, mixed[26:]]), rng.randint(20, 64))
         token = token if any(c.isdigit() for c in token) else token + draw("0123456789", 1)
         issuer = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 6)))
-        pick = rng.randrange(6)
+        pick = rng.randrange(10)
         if pick == 0:
-            return token, "run", carried
+            return token + draw(mixed, rng.choice([0, 0, 60, 140])), "run", carried
         if pick == 1:
-            return draw(hexes, rng.choice([32, 40, 48, 64])), "run", carried
-        if pick == 2:
-            return issuer + rng.choice(["_", "-", "_live_", "_test_", "_prod_"]) + token, "run", rng.choice([" ", " use ", carried, " ("])
+            return draw(hexes, rng.choice([32, 40, 48, 64])), "run", rng.choice([carried, carried, f" {key_word()} "])
+        if pick in (2, 9):
+            return issuer + rng.choice(["_", "-", "-", "_live_", "_test_", "_prod_"]) + token[:48], "run", rng.choice([" ", " use ", " with ", carried, " (", "\n"])
         if pick == 3:
-            return f"com/{issuer}/{rng.choice(['', draw(upper, 9) + '/'])}" + draw(mixed, rng.randint(20, 40)) + draw("0123456789", 1), "run", f" https://{issuer}."
+            opener = rng.choice(["hooks", "webhook", "services", "token", "access"])
+            path = f"com/{rng.choice([issuer, opener])}/{rng.choice(['', draw(upper, 9) + '/', draw(upper, 9) + '/' + draw(upper, 9) + '/'])}"
+            return path + draw(mixed, rng.randint(20, 40)) + draw("0123456789", 1), "run", f" https://{issuer if opener in path else rng.choice(['hooks', 'webhook', 'token', 'access'])}."
         if pick == 4:
-            return rng.choice(["k", "sig", "s", "code", "t"]) + "=" + token, "run", f" https://{issuer}.com/{issuer}?"
+            name = rng.choice(["key", "sig", "code", "token", "api_key", "signature", "auth", "access_token"])
+            return f"{name}=" + token, "run", f" https://{issuer}.com/{issuer}{rng.choice(['?', '?id=7&'])}"
+        if pick == 5:
+            return token, "run", f" https://{rng.choice(['user', issuer])}:", f"@{issuer}.org/{issuer}"
+        if pick == 6:
+            return draw(rng.choice([mixed[:52], mixed[26:52], mixed[:26]]), rng.randint(20, 64)), "run", carried
+        if pick == 7:
+            return token[:48], "run", "\n", "\n" + prose(4)
         return token, "run", rng.choice([" ", " use ", " with ", "\n", " ("])
 
-    def other() -> tuple[str, str, str]:
-        pick = rng.randrange(17)
+    def key_word() -> str:
+        return rng.choice(["token", "secret", "password", "credential", "api_key"])
+
+    def other() -> tuple[str, ...]:
+        pick = rng.randrange(31)
         key, name = rng.choice(KEYWORDS), lambda: "".join(rng.choice(DICTIONARY) for _ in range(rng.randint(2, 4)))
         if pick == 0:
             return draw("0123456789", rng.randint(16, 24)), "run", rng.choice([" ", " number ", " card "])
@@ -264,21 +298,53 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
             return "=" * rng.randint(14, 50) + str(rng.randint(0, 9)), "run", "\n"
         if pick == 13:
             return rng.choice(["sha512-", "sha256-", "sha1-"]) + draw(mixed + "+/", rng.choice([43, 86])) + rng.choice(["=", "=="]), "run", rng.choice([' "integrity": "', " integrity="])
-        if pick == 14:
-            return draw(mixed + "+/", rng.randint(70, 800)), "run", rng.choice([" data:image/png;base64,", "\n", " data:font/woff2;base64,"])
-        if pick == 15:
+        if pick in (14, 27, 29):
+            return draw(mixed + "+/", rng.randint(70, rng.choice([80, 800]))), "run", rng.choice([" data:image/png;base64,", "\n", " data:font/woff2;base64,", " ", " "])
+        if pick in (15, 30):
             words = [rng.choice(DICTIONARY) for _ in range(rng.randint(3, 6))]
             return "".join(w.capitalize() for w in words) + str(rng.randint(0, 99)), "run", rng.choice([" ", " class ", "."])
         if pick == 16:
             return "com/" + rng.choice(["/", "-"]).join(rng.choice(DICTIONARY) for _ in range(rng.randint(3, 7))) + f"{rng.choice('-/')}{rng.randint(1, 2030)}", "run", " https://www."
+        if pick in (12, 17):
+            return draw(hexes, rng.choice([16, 24, 32, 40, 40, 64])), "run", rng.choice([" ", " ", " in ", " at ", " (", "\n", " from ", " merged ", " fixed by ", " id "]), rng.choice(["", "", "\n"])
+        if pick == 18:
+            folder = rng.choice(["", "", "images/", "cache/ab/", "objects/"])
+            return folder + draw(hexes, rng.choice([32, 40, 64])), "run", rng.choice([" ", " open ", "\n", " file "]), ending()
+        if pick == 19:
+            return rng.choice(["app", "main", "chunk", "vendor"]) + "-" + draw(rng.choice([hexes, mixed]), rng.randint(16, 40)) + "1", "run", rng.choice([" ", " /static/"]), ending()
+        if pick in (20, 21, 28):
+            name = rng.choice(["v", "id", "p", "page", "q", "ref", "list", "video", "doc", "item", "story", "cid"])
+            return f"{name}=" + draw(mixed + rng.choice(["", "_-"]), rng.randint(11, 44)) + "1", "run", f" https://{site()}/{site_path()}{rng.choice(['?', '?a=b&'])}"
+        if pick in (22, 23):
+            value = draw(rng.choice([hexes, mixed, mixed + "_-"]), rng.randint(16, 64)) + "1"
+            return rng.choice(["com", "org", "net"]) + f"/{site_path()}/" + value, "run", f" https://{rng.choice(['', 'www.'])}{prose(1)}.", rng.choice(["", "", ending(), "/edit", "/view"])
+        if pick in (24, 25):
+            width = rng.choice([60, 64, 72, 76, 76, 76])
+            line = draw(mixed + "+/", width)
+            above, below = rng.choice([(line, line), (line, line), (line, line[:30] + "="), ("", line), ("", "")])
+            value = draw(mixed + "+/", width if width > 70 or above or below else 76)
+            if above and rng.random() < 0.3:
+                value, below = draw(mixed + "+/", rng.randrange(16, width, 4)), ""
+            return value, "run", f"\n{above}\n" if above else "\n\n", f"\n{below}\n"
+        if pick == 26:
+            return "".join(prose(1) for _ in range(9))[: rng.randint(16, 24)], "run", rng.choice([" basic ", " Basic ", " bearer "])
         return prose(1) + rng.choice(["", "."]) + prose(1).replace(" ", ""), "assigned", f" {key}: "
 
+    def ending() -> str:
+        return rng.choice([".jpg", ".png", ".js", ".css", ".min.js", ".json", ".pdf", ".html", ".tar.gz", ".txt", ".mp4"])
+
+    def site() -> str:
+        return f"{rng.choice(['', 'www.'])}{prose(1)}.{rng.choice(['com', 'org', 'net'])}"
+
+    def site_path() -> str:
+        return rng.choice(["watch", "document/d", "commit", "image", "video", "status", "item", "pull", "blob", "a/b", "p", prose(1)])
+
     made = []
     for i in range(count):
-        value, kind, lead = secret() if i % 2 else other()
+        value, kind, lead, *trail = secret() if i % 2 else other()
         path = rng.choice(["", "", "src/main.py", "config/app.env"] if i % 2 else ["", "", "docs/readme.md", "src/main.py", "tests/test_auth.py"])
         quote = '"' if lead.endswith('"') else "'" if lead.endswith("'") else ""
-        made.append((value, kind, prose(5) + lead, quote + " " + prose(4), path, i % 2))
+        made.append((value, kind, prose(5) + lead, quote + "".join(trail) + " " + prose(4), path, i % 2))
     return made
 
 
@@ -308,9 +374,9 @@ class Detector:
 
 
 def train(findings: list[tuple[str, str, str, str, str, int]] | None = None, accept: float = ACCEPT) -> Detector:
-    """A detector from labelled findings (value, kind, before, after, path, label); without any, from made ones."""
+    """A detector from labelled findings (value, kind, before, after, path, label); without any, from FINDINGS made ones."""
     rows = findings or made_findings()
-    return Detector(grow(np.array([features(*r[:5]) for r in rows], float), np.array([float(r[5]) for r in rows])), accept)
+    return Detector(grow(np.array([features(*r[:5]) for r in rows], float), np.array([float(r[5]) for r in rows]), depth=12), accept)
 
 
 SPANS = "array<struct<start:int,end:int,kind:string,score:double>>"

@@ -1,5 +1,6 @@
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -70,6 +71,67 @@ def test_secrets_that_the_generator_did_not_make(detector):
     assert [any(s[3] >= 0.5 for s in row) for row in found] == [True] * len(BARE) + [False] * len(PLAIN)
 
 
+HEXES, MIXED, LOW = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_lowercase + string.digits
+# Before, value, after; the value by its letters and length.
+SECRET_FORMS = {
+    "live key": (" key sk_live_", MIXED, 24, " is "),
+    "issuer and dash": (" clone with glpat-", MIXED, 20, " now "),
+    "issuer and underscore": (" npm_", MIXED, 36, " "),
+    "bearer": (" curl -H 'Authorization: Bearer ", MIXED, 28, "' "),
+    "bearer, lower case": (" Authorization: Bearer ", LOW, 32, " "),
+    "bearer, hex": (" Authorization: Bearer ", HEXES, 40, " "),
+    "bearer, letters only": (" Authorization: Bearer ", string.ascii_letters, 32, " "),
+    "in prose": (" we sent ", MIXED, 32, " by "),
+    "hook": (" https://hooks.chat.com/services/T03K9QZ7B/B05M2XW8C/", MIXED, 24, " "),
+    "signature in an address": (" https://files.org/a?sig=", MIXED, 32, " "),
+    "login in an address": (" https://bob:", MIXED, 24, "@host.org/a "),
+    "assigned": (' token = "', HEXES, 40, '" '),
+}
+PLAIN_FORMS = {
+    "commit id": (" reverts ", HEXES, 40, " "),
+    "commit id in brackets": (" (", HEXES, 40, ") "),
+    "file": (" thumbs/", HEXES, 32, ".jpg "),
+    "script": (" /static/bundle.", HEXES, 20, ".js "),
+    "video": (" https://www.tube.com/watch?v=", MIXED + "-_", 24, " "),
+    "document": (" https://docs.site.com/spreadsheets/d/", MIXED + "-_", 44, "/edit "),
+    "commit address": (" https://git.site.org/team/repo/commit/", HEXES, 40, " "),
+    "line of a mail": ("\n" + "aZ3+" * 19 + "\n", MIXED + "+/", 76, "\n" + "Q9x/" * 19 + "\n"),
+    "last line of a mail": ("\n" + "aZ3+" * 19 + "\n", MIXED + "+/", 40, "==\n\n"),
+    "lone line": ("\n", MIXED + "+/", 76, "\n"),
+    "encoded text in prose": (" ", MIXED + "+/", 76, " "),
+    "line of a certificate": ("\n" + "aZ3+" * 16 + "\n", MIXED + "+/", 64, "\n" + "Q9x/" * 16 + "\n"),
+    "tag": (' etag: "', HEXES, 32, '" '),
+}
+
+
+def share_found(detector, form, seed, count=150):
+    rng = random.Random(seed)
+    words = "quick report about river boats was sent when crews came home after long winter storms".split()
+    before, letters, length, after = form
+    hits = 0
+    for _ in range(count):
+        lead = " ".join(rng.choices(words, k=6)) + before
+        value = "".join(rng.choices(letters, k=length))
+        [spans] = detector.scan([lead + value + after + " ".join(rng.choices(words, k=5))], [""])
+        hits += any(p >= 0.5 and s < len(lead + value) and e > len(lead) for s, e, _, p in spans)
+    return hits / count
+
+
+@pytest.mark.parametrize("name", SECRET_FORMS)
+def test_recall_by_form(detector, name):
+    assert share_found(detector, SECRET_FORMS[name], 5) >= 0.93
+
+
+@pytest.mark.parametrize("name", PLAIN_FORMS)
+def test_false_findings_by_form(detector, name):
+    assert share_found(detector, PLAIN_FORMS[name], 6) <= 0.05
+
+
+def test_words_after_basic_are_no_secret(detector):
+    texts = ["basic telecommunications law", "the bearer responsibilities_of_office", "basic characteristically"]
+    assert not any(p >= 0.5 for row in detector.scan(texts, [""] * 3) for *_, p in row)
+
+
 def test_private_keys_are_whole(detector):
     body = "MIIEvQIBADANBgkqhkiG9w0BAQEFAASCBKcwggSjAgEAAoIBAQC7\\nVJTUt9Us8cKjMzEfYyjiWA4R4/M2bS1GB4t7NXp98C3SC6dVMvDu"
     keys = [
