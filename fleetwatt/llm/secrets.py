@@ -157,7 +157,8 @@ def features(value: str, kind: str, before: str, after: str, path: str) -> list[
     tail = before.split()[-1] if before and not before[-1].isspace() else ""
     address = tail + value
     inside = "://" in address
-    opens = inside and (any(w in address.lower() for w in OPENERS) or after[:1] == "@")
+    named = any(w in low[:24] for w in OPENERS if w[-1] == "=")
+    opens = named or inside and (any(w in address.lower() for w in OPENERS) or after[:1] == "@")
     above, below = before.split("\n"), after.split("\n")
     whole = len(above) > 1 and not above[-1].strip() and not below[0].strip("\r ")
     alike = whole and (LINE_OF_BLOCK.fullmatch(above[-2].strip()) or len(below) > 1 and LINE_OF_BLOCK.fullmatch(below[1].strip()))
@@ -244,7 +245,7 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
         token = draw(rng.choice([mixed, mixed, mixed + "_-", mixed + "+/", upper, mixed[26:]]), rng.randint(20, 64))
         token = token if any(c.isdigit() for c in token) else token + draw("0123456789", 1)
         issuer = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 6)))
-        pick = rng.randrange(10)
+        pick = rng.randrange(12)
         if pick == 0:
             return token + draw(mixed, rng.choice([0, 0, 60, 140])), "run", carried
         if pick == 1:
@@ -262,6 +263,10 @@ def made_findings(count: int = FINDINGS, seed: int = 11) -> list[tuple[str, str,
             return token, "run", f" https://{rng.choice(['user', issuer])}:", f"@{issuer}.org/{issuer}"
         if pick == 6:
             return draw(rng.choice([mixed[:52], mixed[26:52], mixed[:26]]), rng.randint(20, 64)), "run", carried
+        if pick == 10:
+            return issuer + rng.choice(["_", "-", "_live_"]) + draw(hexes, rng.choice([32, 40, 48])), "run", rng.choice([" ", " use ", " with ", carried, "\n"])
+        if pick == 11:
+            return rng.choice(["", issuer.capitalize()]) + rng.choice(["Key=", "AccessKey=", "Sig="]) + token + draw(mixed + "+/", rng.choice([0, 40])) + rng.choice(["", "=="]), "run", rng.choice([" ", ";", " ;"])
         if pick == 7:
             return token[:48], "run", "\n", "\n" + prose(4)
         return token, "run", rng.choice([" ", " use ", " with ", "\n", " ("])
