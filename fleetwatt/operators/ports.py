@@ -23,15 +23,8 @@ def base_columns(columns: Sequence[str], prefixes: Sequence[str]) -> list[str]:
 NO_PORT = ("0", "0.0", "-0.0", "", "false")
 
 
-def used(place: Column) -> Column:
-    """Whether a place has a port or module number that is none of NO_PORT."""
-    return F.coalesce(~place["portNumber"].cast("string").isin(*NO_PORT), F.lit(False)) | F.coalesce(
-        ~place["moduleNumber"].cast("string").isin(*NO_PORT), F.lit(False)
-    )
-
-
-def unpivot_ports(wide: DataFrame, fields: Sequence[str], slots: int) -> DataFrame:
-    """One row per port in use of each wide record.
+def used_places(wide: DataFrame, fields: Sequence[str], slots: int) -> DataFrame:
+    """The columns that are no port fields, and ``_places``, the places of each wide record, NULL where unused.
 
     Port field f of place i is column ``f{i}``, NULL where absent. A place is
     unused where both its port and its module number are 0 or missing.
@@ -39,17 +32,31 @@ def unpivot_ports(wide: DataFrame, fields: Sequence[str], slots: int) -> DataFra
     numbered = [*PORT_KEYS, *fields]
     base = base_columns(wide.columns, numbered)
     present = set(wide.columns)
+    nothing = ", ".join(f"'{text}'" for text in NO_PORT)
 
-    # One SQL text, since hundreds of column objects take longer to make than the query to plan.
+    # One SQL text, since hundreds of column objects take longer to make than the query to plan. Plain conditions
+    # are compiled; a filter with a lambda would have Spark interpret the whole array.
     def place(i: int) -> str:
         values = [f"`{f}{i}`" if f"{f}{i}" in present else "cast(null as string)" for f in numbered]
         pairs = [f"'{field}', {value}" for field, value in zip(numbered, values)]
-        return f"named_struct('place', {i}, {', '.join(pairs)})"
+        used = " or ".join(f"coalesce(cast({key} as string) not in ({nothing}), false)" for key in values[: len(PORT_KEYS)])
+        return f"if({used}, named_struct('place', {i}, {', '.join(pairs)}), null)"
 
     places = F.expr(f"array({', '.join(place(i) for i in range(1, slots + 1))})")
-    # Unused places go before they become rows.
-    long = wide.select(*[quoted(name) for name in base], F.explode(F.filter(places, used)).alias("_p"))
-    return long.select(*[quoted(name) for name in base], "_p.*")
+    return wide.select(*[quoted(name) for name in base], places.alias("_places"))
+
+
+def port_rows(narrow: DataFrame) -> DataFrame:
+    """One row per place in use of ``used_places``."""
+    base = [quoted(name) for name in narrow.columns if name != "_places"]
+    # Outer, since Spark would otherwise test every record for places beforehand, and make the array twice.
+    places = narrow.select(*base, F.explode_outer("_places").alias("_p")).where("_p is not null")
+    return places.select(*base, "_p.*")
+
+
+def unpivot_ports(wide: DataFrame, fields: Sequence[str], slots: int) -> DataFrame:
+    """One row per port in use of each wide record; see ``used_places``."""
+    return port_rows(used_places(wide, fields, slots))
 
 
 def sensor_table(spark: SparkSession, rows: Sequence[tuple[int, int, str]] = PORT_SENSORS) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetwatt.functions.numbers import milli_to_unit, to_integer, to_number
 from fleetwatt.functions.times import hour_of, to_time_strict
-from fleetwatt.operators.ports import label_ports, unpivot_ports
+from fleetwatt.operators.ports import label_ports, port_rows, unpivot_ports, used_places
 from fleetwatt.operators.rollups import positive_sum
 from fleetwatt.schemas import OUTPUT_READ, OUTPUT_SLOTS, SOLAR_SLOTS
 from fleetwatt.sources.json_records import SOURCE_ORDER
@@ -23,11 +23,12 @@ def port_power(output_records: DataFrame, sensors: DataFrame) -> DataFrame:
 
     A narrow plan: records are expanded and labelled where they are read.
     """
-    # The time is the same for all ports of a record: parse it before they are expanded.
-    timed = output_records.drop(SOURCE_ORDER).withColumns(
+    # Hundreds of fields become one array first, so that no later step carries them. The time is the same for all
+    # ports of a record: parse it before they are expanded.
+    narrow = used_places(output_records.drop(SOURCE_ORDER), OUTPUT_READ, OUTPUT_SLOTS).withColumns(
         {"timeStamp": to_time_strict(F.col("timeStamp")), "powerDomain": to_integer(F.col("powerDomain"))}
     )
-    ports = unpivot_ports(timed.withColumn("sampleHour", hour_of(F.col("timeStamp"))), OUTPUT_READ, OUTPUT_SLOTS)
+    ports = port_rows(narrow.withColumn("sampleHour", hour_of(F.col("timeStamp"))))
     typed = ports.select(
         "vehicle",
         F.col("timeStamp").alias("timestamp"),

@@ -56,6 +56,25 @@ def test_unpivot_drops_unused_places(spark):
     assert rows(long) == [("t", "7", 1, "1", "5", "0.63"), ("t", "7", 3, "0", "5", "1.5")]
 
 
+def test_places_are_told_once_by_compiled_conditions(spark):
+    fields = [f"{name}{i}" for i in range(1, 34) for name in ("portNumber", "moduleNumber", "avgPower")]
+    made = [
+        ("used", {"portNumber1": "1", "moduleNumber1": "5", "avgPower1": "0.5", "moduleNumber33": "7"}),
+        ("forms of zero", dict.fromkeys(fields[:15], "0.0") | {"portNumber9": "false", "moduleNumber9": "", "portNumber8": "-0.0"}),
+        ("nothing", {}),
+        (None, {"portNumber2": " 0", "avgPower2": None}),
+    ]
+    wide = spark.createDataFrame([(key, *map(values.get, fields)) for key, values in made], f"key string, {', '.join(f'{f} string' for f in fields)}")
+    long = unpivot_ports(wide, ["avgPower"], 33)
+    assert rows(long) == rows(spark.createDataFrame(
+        [("used", 1, "1", "5", "0.5"), ("used", 33, None, "7", None), (None, 2, " 0", None, None)],
+        "key string, place int, portNumber string, moduleNumber string, avgPower string",
+    ))
+    text = plan(long)
+    # A lambda has Spark interpret the array of all places, a test of its size makes it a second time.
+    assert "lambda" not in text and "size(" not in text
+
+
 def test_base_columns():
     columns = ["timeStamp", "avgPower1", "avgPowerTotal", "portNumber12", "recordData", "portNumber"]
     assert base_columns(columns, ["avgPower", "portNumber"]) == ["timeStamp", "avgPowerTotal", "portNumber"]
