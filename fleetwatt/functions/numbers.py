@@ -8,7 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Spark also casts '1d', '1f' and hexadecimal text, which are no numbers in the inputs.
-NUMBER = r"^\s*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+# Groups hold nothing and runs are taken whole, so that matching never goes back.
+NUMBER = r"^\s*+[+-]?+(?:(?:[0-9]++[.]?+[0-9]*+|[.][0-9]++)(?:[eE][+-]?+[0-9]++)?+|(?i:inf(?:inity)?+))\s*+$"
 
 
 def to_number(column: Column) -> Column:

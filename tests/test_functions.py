@@ -1,10 +1,12 @@
 import datetime as dt
+import itertools
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from fleetwatt.functions.labels import component_name, strip, vehicle_label
-from fleetwatt.functions.numbers import marked_missing, milli_to_unit, nan_to_null, scaled, to_integer, to_number, total
+from fleetwatt.functions.numbers import NUMBER, marked_missing, milli_to_unit, nan_to_null, scaled, to_integer, to_number, total
 from fleetwatt.functions.times import day_of, day_range, hour_of, in_day, to_time, to_time_strict
 
 
@@ -19,6 +21,15 @@ def test_numbers_from_text(spark):
     assert one(spark, "x string", texts, to_number(F.col("x"))) == expected
 
 
+def test_number_pattern_never_goes_back():
+    plain = re.compile(r"^\s*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$")
+    found = re.compile(NUMBER)
+    assert found.groups == 0
+    texts = ["".join(t) for n in range(7) for t in itertools.product("1.e-\n ", repeat=n)]
+    texts += [a + b + c for a in ("", "-", " +") for b in ("inf", "Infinity", "infi", "INFINITY", "infinity1", "inf inity") for c in ("", "\n", "\r\n", "x")]
+    assert [t for t in texts if bool(found.search(t)) != bool(plain.search(t))] == []
+
+
 def test_integers_from_text(spark):
     assert one(spark, "x string", ["7", "7.0", " 7 ", "x", None], to_integer(F.col("x"))) == [7, 7, 7, None, None]
 
