@@ -329,8 +329,9 @@ def q_port_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shared_dir(spark, "ports")
     ports = port_power(records(port_reports(spark, sf_dir), OUTPUT_RECORD), sensor_table(spark))
     write_parquet(ports, out, PORT_POWER_ORDER)
+    # A number in place of the path, which is long, the same in its first bytes, and would travel with every row.
     rows = spark.read.parquet(out).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_place")
+        "*", F.xxhash64("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_place")
     )
     inside = Window.partitionBy("_file", "vehicle").orderBy("_place")
     before = F.struct(*[F.lag(name).over(inside).alias(name) for name in PORT_POWER_ORDER])

@@ -71,3 +71,8 @@ def test_all_queries_are_registered():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_port_order_carries_no_path(spark, sf_dir):
+    text = plan(QUERIES["q_port_order"](spark, sf_dir))
+    assert "xxhash64(_metadata" in text and "AS _file" in text and text.count("FileScan") == 1
