@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetwatt.llm.common import id_text, table, text_steps
+from fleetwatt.llm.common import id_text, steps, table, text_steps
 from fleetwatt.llm.tagger import Tagger
 
 KINDS = ("email", "ip", "card", "phone")
@@ -35,7 +35,7 @@ NOT_DIGIT = re.compile(r"[^0-9]")
 
 EVIDENCE = re.compile(r"[0-9@]|[(\[{] ?at ?[)\]}]", re.IGNORECASE)
 REACH = 32  # characters of the corpus taken for training on either side of evidence
-PIECE = 2048
+PIECE = 8192
 MARGIN = 128  # of a piece, where spans belong to the neighbour
 # Digits and signs in other forms, each one character for one.
 PLAIN = {0xFEE0 + c: c for c in range(0x21, 0x7F)} | {start + i: 48 + i for start in (0x660, 0x6F0, 0x966) for i in range(10)} | {0xFE6B: 64}
@@ -46,6 +46,7 @@ SPELLED = (
     r"| at [A-Za-z0-9-]++(?:" + SPELLED_DOT + r"[A-Za-z0-9-]++)+)"
 )
 AT = re.compile(r"@|[(\[{] ?at ?[)\]}]| at ", re.IGNORECASE)
+BRACKETED = re.compile(r"[(\[{] ?at ?[)\]}]", re.IGNORECASE)
 DOT = re.compile(r"\.|" + SPELLED_DOT, re.IGNORECASE)
 ONLY_SPELLED_DOT = re.compile(SPELLED_DOT, re.IGNORECASE)
 # Forms that the fixed patterns miss, by kind: to label stretches of the corpus.
@@ -56,11 +57,12 @@ LOOSE = (
     re.compile(r"(?<![0-9.+-])(?:(?:001|\+?1)[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"),
 )
 # Windows overlap by WINDOW - STRIDE characters, whose scores are averaged; texts for training are cut at TRAINED.
-WINDOW = 128
-STRIDE = 96
+WINDOW = 512
+STRIDE = 480
 TRAINED = 96
-BATCH = 256  # windows read at once
-PIECES = 256  # pieces whose scores are held at once
+ENDING = 16  # empty places behind a text, as those behind a shorter one in training
+BATCH = 512  # windows read at once
+HELD = 1 << 20  # characters whose scores are held at once, about
 # Bounds of training.
 CORPUS_WINDOWS = 600
 MADE_WINDOWS = 2400
@@ -114,6 +116,11 @@ def plain(text: str) -> str:
     return text if text.isascii() or not OTHER_FORMS.search(text) else text.translate(PLAIN)
 
 
+def maybe_spelled(read: str) -> bool:
+    """Whether the text may hold what SPELLED describes: a sign, one in brackets, or a bare "at", which asks for a "dot"."""
+    return "@" in read or BRACKETED.search(read) is not None or "dot" in read.lower()
+
+
 def loose_spans(text: str) -> list[Span]:
     """Base spans, and what is written in other forms and touches none."""
     read = plain(text)
@@ -158,14 +165,14 @@ def tag_line(length: int, spans: list[Span]) -> np.ndarray:
 
 def spans_of(tags: np.ndarray) -> list[Span]:
     """Runs of one kind; an inside tag without a begin opens a span too."""
-    if not tags.any():
+    at = np.flatnonzero(tags)
+    if not len(at):
         return []
+    tags = tags[at]
     own = (tags.astype(np.int64) + 1) // 2
-    past, following = np.concatenate([[0], own[:-1]]), np.concatenate([own[1:], [0]])
-    begins = (own > 0) & ((own != past) | (tags % 2 == 1))
-    ends = (own > 0) & ((own != following) | np.concatenate([begins[1:], [True]]))
-    starts = np.flatnonzero(begins)
-    return list(zip(starts.tolist(), (own[starts] - 1).tolist(), (np.flatnonzero(ends) + 1).tolist(), strict=True))
+    joined = (at[1:] == at[:-1] + 1) & (own[1:] == own[:-1]) & (tags[1:] % 2 == 0)
+    begins, ends = np.concatenate([[True], ~joined]), np.concatenate([~joined, [True]])
+    return list(zip(at[begins].tolist(), (own[begins] - 1).tolist(), (at[ends] + 1).tolist(), strict=True))
 
 
 def plausible(text: str, span: Span) -> bool:
@@ -254,13 +261,15 @@ def made_windows(count: int = MADE_WINDOWS, seed: int = 7) -> list[tuple[str, li
     return made
 
 
-def evident(text: str) -> list[tuple[int, int]]:
-    """Parts of the text within REACH of evidence; parts that touch are one."""
+def evident(text: str, count: int) -> list[tuple[int, int]]:
+    """The first ``count`` parts of the text within REACH of evidence; parts that touch are one."""
     out: list[tuple[int, int]] = []
     for m in EVIDENCE.finditer(text):
         start, end = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
         if out and start <= out[-1][1]:
             out[-1] = (out[-1][0], end)
+        elif len(out) == count:
+            break
         else:
             out.append((start, end))
     return out
@@ -279,7 +288,7 @@ def corpus_windows(documents: DataFrame, count: int = CORPUS_WINDOWS) -> list[tu
         for batch, _, _ in text_steps(batches):
             parts: list[str] = []
             for text in batch.column(1).to_pylist():
-                parts += [text[a : min(b, a + TRAINED)] for a, b in evident(text or "")[:2]]
+                parts += [text[a : min(b, a + TRAINED)] for a, b in evident(text or "", 2)]
             yield pa.RecordBatch.from_arrays([pa.array(sorted(set(parts)), pa.string())], names=["part"])
 
     parts = id_text(documents).mapInArrow(cut, "part string").orderBy(F.xxhash64("part", F.lit(3)), "part").limit(count)
@@ -299,41 +308,45 @@ def train(labelled: list[tuple[str, list[Span]]], epochs: int = EPOCHS) -> Tagge
     return tagger
 
 
-def window_starts(length: int) -> range:
-    return range(0, max(1, length - (WINDOW - STRIDE)), STRIDE)
+def windows(length: int) -> list[tuple[int, int]]:
+    """As few windows as cover the length, of about one size, so that batches of them need little filling."""
+    shared = WINDOW - STRIDE
+    count = max(1, -(-(length - shared) // STRIDE))
+    step = -(-(length - shared) // count)
+    return [(a, min(length, a + step + shared)) for a in range(0, count * step, step)] if count > 1 else [(0, length)]
 
 
 def text_scores(tagger: Tagger, parts: list[str]) -> list[np.ndarray]:
     """Scores of the tags (time x tags) of each part; where windows overlap, one fades into the next. Equal windows are read once."""
     shared = WINDOW - STRIDE
     fade = (np.arange(1, shared + 1, dtype=np.float32) / (shared + 1))[:, None]
-    ids = [symbol_ids(p) for p in parts]
+    ids = [np.concatenate([symbol_ids(p), np.zeros(ENDING, np.uint8)]) for p in parts]
     seen: dict[bytes, int] = {}
-    where = [[seen.setdefault(i[s : s + WINDOW].tobytes(), len(seen)) for s in window_starts(len(i))] for i in ids]
+    where = [[(a, b, seen.setdefault(i[a:b].tobytes(), len(seen))) for a, b in windows(len(i))] for i in ids]
     kept = list(seen)
     made: list[np.ndarray] = [np.zeros((0, TAGS), np.float32)] * len(kept)
     # Windows of about one length share a batch, so that short texts cost what they hold.
     order = sorted(range(len(kept)), key=lambda n: len(kept[n]))
     for at in range(0, len(order), BATCH):
         some = order[at : at + BATCH]
-        x = np.zeros((len(some), len(kept[some[-1]])), np.uint8)
+        lengths = np.array([len(kept[n]) for n in some])
+        x = np.zeros((len(some), lengths[-1]), np.uint8)
         for row, n in enumerate(some):
             x[row, : len(kept[n])] = np.frombuffer(kept[n], np.uint8)
-        scores = tagger.emissions(x)
+        scores = tagger.emissions(x, lengths)
         for row, n in enumerate(some):
             made[n] = scores[row, : len(kept[n])]
     out = []
-    for i, windows in zip(ids, where, strict=True):
+    for i, cuts in zip(ids, where, strict=True):
         total = np.empty((len(i), TAGS), np.float32)
-        for s, n in zip(window_starts(len(i)), windows, strict=True):
+        for a, b, n in cuts:
             own = made[n]
-            if s:
-                over = own[:shared]
-                total[s : s + len(over)] += fade[: len(over)] * (over - total[s : s + len(over)])
-                total[s + shared : s + WINDOW] = own[shared:]
+            if a:
+                total[a : a + shared] += fade * (own[:shared] - total[a : a + shared])
+                total[a + shared : b] = own[shared:]
             else:
-                total[:WINDOW] = own
-        out.append(total)
+                total[:b] = own
+        out.append(total[:-ENDING])
     return out
 
 
@@ -349,8 +362,8 @@ def added_spans(tagger: Tagger, texts: list[str], bases: list[list[Span]]) -> li
     # Equal pieces, of copies above all, are read once.
     parts = list(dict.fromkeys(texts[i][a:b] for i, a, b in cuts))
     tags: dict[str, np.ndarray] = {}
-    for at in range(0, len(parts), PIECES):
-        some = parts[at : at + PIECES]
+    for at, stop in steps(np.cumsum([0, *map(len, parts)]), HELD):
+        some = parts[at:stop]
         tags.update(zip(some, tagged(tagger, some), strict=True))
     for i, a, b in cuts:
         for start, kind, end in spans_of(tags[texts[i][a:b]]):
@@ -362,7 +375,8 @@ def added_spans(tagger: Tagger, texts: list[str], bases: list[list[Span]]) -> li
                 out[i].append(span)
     # Spelled-out addresses that the tagger has not found.
     for i, text in enumerate(texts):
-        for m in LOOSE[0].finditer(plain(text)):
+        read = plain(text)
+        for m in LOOSE[0].finditer(read) if maybe_spelled(read) else ():
             span = (m.start(), 0, m.end())
             if plausible(text, span) and all(span[2] <= s or span[0] >= e for s, _, e in bases[i] + out[i]):
                 out[i].append(span)

@@ -1,4 +1,9 @@
-"""Bidirectional LSTM over characters with a CRF on top, in numpy: training and decoding."""
+"""Bidirectional LSTM over characters with a CRF on top: training and decoding in numpy, reading in onnxruntime.
+
+Gates are lines cut at 0 and MOST, in training as in reading, which cost next to
+nothing. As no gate opens wholly, what a cell holds fades by a tenth with each
+character, so that texts much longer than those of training do not fill it.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +11,24 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from fleetwatt.llm.onnx_graph import FLOAT, INT32, graph, model, node, value
+
+try:
+    import onnxruntime
+except ImportError:  # numpy reads the same, at more than twice the time
+    onnxruntime = None
+
+LINE = 0.2  # slope of a gate
+MOST = 0.9
+
+
+def gate(x: np.ndarray) -> np.ndarray:
+    return np.clip(LINE * x + 0.5, 0, MOST).astype(x.dtype, copy=False)
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
+
+def gate_slope(y: np.ndarray) -> np.ndarray:
+    """The derivative of ``gate`` where it gives ``y``."""
+    return LINE * ((y > 0) & (y < np.asarray(MOST, y.dtype))).astype(y.dtype)
 
 
 def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -52,7 +72,7 @@ class Tagger:
         kept = []
         for t in range(time) if way == "f" else range(time - 1, -1, -1):
             z = table[x[:, t]] + h @ w["h" + way]
-            gates = sigmoid(z[:, : 3 * hidden])
+            gates = gate(z[:, : 3 * hidden])
             i, f, o = gates[:, :hidden], gates[:, hidden : 2 * hidden], gates[:, 2 * hidden :]
             g = np.tanh(z[:, 3 * hidden :])
             before, past = h, c
@@ -64,43 +84,82 @@ class Tagger:
                 kept.append((t, i, f, o, g, tc, before, past))
         return states, tuple(kept)
 
-    def emissions(self, x: np.ndarray) -> np.ndarray:
-        """Scores of the tags: batch x time x tags.
+    def reader(self) -> bytes:
+        """Both LSTMs and the output layer as an ONNX model.
 
-        The same as ``run`` gives, without what training needs. Both directions go
-        in one loop, with gates as rows, so that each is one block of memory.
-        Sigmoids are written as tanh of half the value, so one tanh serves all gates;
-        the halves are in the weights, and the states are twice those of ``run``.
+        ``symbols`` (time x 2 x batch) come in reading order, those of the second
+        direction as many higher as there are; ``shares`` (time x 2 x batch x tags) are
+        what each direction adds to the scores.
         """
         w = self.weights
         hidden = w["hf"].shape[0]
-        symbols, (batch, time) = len(w["embed"]), x.shape
-        half = np.repeat(np.array([0.5, 1], np.float32), [3 * hidden, hidden])
-        table = np.concatenate([(w["embed"] @ w["x" + way] + w["b" + way]) * half for way in "fb"]).T.copy()
-        turn = [(w["h" + way] * half * np.float32(0.5)).T.copy() for way in "fb"]
-        columns = x.T.astype(np.intp)
-        columns = np.concatenate([columns, columns[::-1] + symbols], 1)
-        states = np.empty((time, hidden, 2 * batch), np.float32)
-        z, more = np.empty((4 * hidden, 2 * batch), np.float32), np.empty((4 * hidden, 2 * batch), np.float32)
-        i, f, o, g = (z[n * hidden : (n + 1) * hidden] for n in range(4))
-        h, c, new = np.zeros((hidden, 2 * batch), np.float32), np.zeros((hidden, 2 * batch), np.float32), np.empty((hidden, 2 * batch), np.float32)
-        for t in range(time):
-            np.take(table, columns[t], 1, z, mode="clip")
-            np.matmul(turn[0], h[:, :batch], more[:, :batch])
-            np.matmul(turn[1], h[:, batch:], more[:, batch:])
-            z += more
-            np.tanh(z, z)
-            z[: 3 * hidden] += 1
-            np.multiply(i, g, new)
-            c *= f
-            c += new
-            c *= 0.5
-            h = states[t]
-            np.tanh(c, h)
-            h *= o
-        out = (w["out"] * np.float32(0.5)).T.copy()
-        scores = out[:, :hidden] @ states[:, :, :batch] + out[:, hidden:] @ states[::-1, :, batch:] + w["out0"][:, None]
-        return scores.transpose(2, 0, 1)
+        table = np.concatenate([w["embed"] @ w["x" + way] + w["b" + way] for way in "fb"])
+        turn = np.stack([w["h" + way] for way in "fb"])
+        constants = {"out": w["out"].reshape(2, hidden, -1), "least": np.zeros(()), "most": np.array(MOST)}
+        nodes = []
+        # "s" are the gates i, f and o, "g" is what is taken in. The line of the gates is in their weights.
+        for name, part, slope, middle in (("s", slice(0, 3 * hidden), LINE, 0.5), ("g", slice(3 * hidden, None), 1, 0)):
+            constants |= {"table_" + name: slope * table[:, part] + middle, "turn_" + name: slope * turn[:, :, part]}
+            nodes += [node("Gather", f"table_{name} x", "x_" + name), node("MatMul", f"h turn_{name}", "h_" + name), node("Add", f"x_{name} h_{name}", "z_" + name)]
+        nodes += [
+            node("Clip", "z_s least most", "gates"),
+            node("Split", "gates", "i f o", axis=2),
+            node("Tanh", "z_g", "g"),
+            node("Mul", "i g", "taken"),
+            node("Mul", "f c", "held"),
+            node("Add", "taken held", "c_next"),
+            node("Tanh", "c_next", "told"),
+            node("Mul", "o told", "h_next"),
+            node("MatMul", "h_next out", "share"),
+        ]
+        rows, tags = (2, "batch", hidden), w["out"].shape[1]
+        step = graph(
+            nodes,
+            [value("h", FLOAT, *rows), value("c", FLOAT, *rows), value("x", INT32, 2, "batch")],
+            [value("h_next", FLOAT, *rows), value("c_next", FLOAT, *rows), value("share", FLOAT, 2, "batch", tags)],
+        )
+        whole = [node("Scan", "start start symbols", "h_last c_last shares", body=step, num_scan_inputs=1)]
+        inputs = [value("start", FLOAT, *rows), value("symbols", INT32, "time", 2, "batch")]
+        return model(graph(whole, inputs, [value("shares", FLOAT, "time", 2, "batch", tags)], constants))
+
+    def __getstate__(self) -> dict:
+        return {"weights": self.weights}  # a session stays in its process
+
+    def shares(self, ahead: np.ndarray, behind: np.ndarray) -> np.ndarray:
+        """Each direction's share of the scores (time x 2 x batch x tags) of symbols (time x batch) in its reading order."""
+        w = self.weights
+        hidden = w["hf"].shape[0]
+        if onnxruntime is None:
+            return np.stack([self.run(ahead.T, "f", False)[0] @ w["out"][:hidden], self.run(behind[::-1].T, "b", False)[0][::-1] @ w["out"][hidden:]], 1)
+        # Made once for these weights: training replaces them.
+        if getattr(self, "session_of", None) is not w["out"]:
+            options = onnxruntime.SessionOptions()
+            options.intra_op_num_threads = options.inter_op_num_threads = 1  # a task has one core
+            self.session = onnxruntime.InferenceSession(self.reader(), options, providers=["CPUExecutionProvider"])
+            self.session_of = w["out"]
+        symbols = np.empty((len(ahead), 2, ahead.shape[1]), np.int32)
+        symbols[:, 0] = ahead
+        np.add(behind, len(w["embed"]), symbols[:, 1], dtype=np.int32)
+        return self.session.run(None, {"start": np.zeros((2, ahead.shape[1], hidden), np.float32), "symbols": symbols})[0]
+
+    def emissions(self, x: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
+        """Scores of the tags: batch x time x tags.
+
+        ``lengths`` tell where rows end: each is read from both of its own ends, so
+        that the others do not matter, and what lies beyond is of no account.
+        """
+        batch, time = x.shape
+        places, rows = np.arange(time), np.arange(batch)[:, None]
+        lengths = np.full(batch, time) if lengths is None else lengths
+        turned = np.maximum(lengths[:, None] - 1 - places, 0)
+        shares = self.shares(x.T, np.take_along_axis(x, turned, 1).T)
+        tags = shares.shape[3]
+        shares = shares.reshape(-1, tags)
+        # In long rows, as numpy is slow on short ones.
+        scores = np.take(shares, 2 * batch * places + rows, 0).reshape(batch, -1)
+        scores += np.take(shares, 2 * batch * turned + batch + rows, 0).reshape(batch, -1)
+        scores += np.tile(self.weights["out0"], time)
+        return scores.reshape(batch, time, tags)
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss of the tag sequences ``y`` and its gradient."""
@@ -147,7 +206,7 @@ class Tagger:
             for t, i, f, o, g, tc, before, past in reversed(kept[way]):
                 dh = dh + d_states[t]
                 dc = dc + dh * o * (1 - tc * tc)
-                dz = np.concatenate([dc * g * i * (1 - i), dc * past * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], 1)
+                dz = np.concatenate([dc * g * gate_slope(i), dc * past * gate_slope(f), dh * tc * gate_slope(o), dc * i * (1 - g * g)], 1)
                 grads["h" + way] += before.T @ dz
                 np.add.at(d_table, x[:, t], dz)
                 dh, dc = dz @ w["h" + way].T, dc * f
@@ -194,10 +253,8 @@ class Tagger:
         move, first = self.weights["move"].astype(float), self.weights["first"].astype(float)
         within = move[1:, 1:].max() - move[0, 0]
         enter, leave = move[0, 1:].max() - move[0, 0], move[1:, 0].max() - move[0, 0]
-        other = scores[:, 1].copy()
-        for tag in range(2, scores.shape[1]):  # faster than a maximum over short rows
-            np.maximum(other, scores[:, tag], other)
-        gain = (other - scores[:, 0]).astype(float) + within
+        rows = np.ascontiguousarray(scores.T)  # a maximum over long rows is faster
+        gain = (rows[1:].max(0) - rows[0]).astype(float) + within
         sums = np.concatenate([[0], np.cumsum(gain)])
         # At the ends of the text a run is not entered or left, but begins or ends there.
         opened = sums[:-1] - enter
@@ -215,22 +272,21 @@ class Tagger:
         """
         batch, time, tags = scores.shape
         move = self.weights["move"]
-        back = np.zeros((time, batch, tags), np.int8)
-        now = (self.weights["first"] if before is None else before) + scores[:, 0]
-        last = np.zeros((batch, tags), scores.dtype)
-        last[lengths == 1] = now[lengths == 1]
+        # Tags lead, so that each step works on long rows; which tag came before is asked on the way back.
+        scores = np.ascontiguousarray(scores.transpose(1, 2, 0))
+        now = (self.weights["first"][:, None] if before is None else before.T) + scores[0]
+        past = np.empty((time, tags, batch), now.dtype)
+        past[0] = now
         for t in range(1, time):
-            reach = now[:, :, None] + move
-            back[t] = reach.argmax(1)
-            now = reach.max(1) + scores[:, t]
-            last[lengths == t + 1] = now[lengths == t + 1]
+            np.add((past[t - 1][:, None] + move[:, :, None]).max(0), scores[t], past[t])
+        last = past[lengths - 1, :, np.arange(batch)]
         out = np.zeros((batch, time), np.int8)
         tag = (last if after is None else last + after).argmax(1)
-        rows = np.arange(batch)
         for t in range(time - 1, -1, -1):
             live = t < lengths
             out[:, t] = np.where(live, tag, 0)
-            tag = np.where(live & (t > 0), back[t, rows, tag], tag)
+            if t:
+                tag = np.where(live, (past[t - 1] + move[:, tag]).argmax(0), tag)
         return out
 
     def decoded(self, texts: list[np.ndarray], batch: int = 512) -> list[np.ndarray]:

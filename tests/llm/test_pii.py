@@ -1,10 +1,11 @@
+import pickle
 import random
 import re
 
 import numpy as np
 import pytest
 
-from fleetwatt.llm import pii, queries
+from fleetwatt.llm import pii, queries, tagger
 from fleetwatt.llm.tagger import Tagger
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -104,6 +105,56 @@ def test_scores_are_those_of_the_trained_network(finder):
     assert np.abs(finder.tagger.emissions(x) - (both @ w["out"] + w["out0"]).transpose(1, 0, 2)).max() < 1e-3
 
 
+def test_onnxruntime_and_numpy_read_the_same(finder, monkeypatch):
+    rng = np.random.default_rng(5)
+    lengths = np.array([0, 1, 3, 20, 60])
+    x = rng.integers(0, pii.SYMBOL_COUNT, (5, 60)).astype(np.uint8)
+    fast = finder.tagger.emissions(x, lengths)
+    assert pickle.loads(pickle.dumps(finder.tagger)).emissions(x, lengths).tolist() == fast.tolist()
+    monkeypatch.setattr(tagger, "onnxruntime", None)
+    slow = finder.tagger.emissions(x, lengths)
+    assert all(np.abs(fast[row, :n] - slow[row, :n]).max(initial=0) < 1e-3 for row, n in enumerate(lengths))
+
+
+def test_texts_read_together_are_read_alone(finder):
+    texts = ["call 385 555 1563", "", "x", " ".join(t for t, _ in pii.made_windows(30, seed=21)), "jane (at) example.com"]
+    together = pii.text_scores(finder.tagger, texts)
+    for text, scores in zip(texts, together, strict=True):
+        [alone] = pii.text_scores(finder.tagger, [text])
+        assert alone.shape == (len(text), pii.TAGS) and np.abs(alone - scores).max(initial=0) < 1e-3
+
+
+def test_windows_read_little_twice():
+    """All of a text is read, and of a long one less than an eighth again."""
+    for length in [*range(1, 3000), 8192, 100_000]:
+        read = np.zeros(length, int)
+        for a, b in pii.stretches("x" * length):
+            cuts = pii.windows(b - a)
+            assert cuts[0][0] == 0 and cuts[-1][1] == b - a and max(d - c for c, d in cuts) <= pii.WINDOW
+            assert all(left[1] - right[0] == pii.WINDOW - pii.STRIDE for left, right in zip(cuts, cuts[1:], strict=False))
+            for c, d in cuts:
+                read[a + c : a + d] += 1
+        assert read.min() == 1 and (length < 2000 or read.sum() < 1.125 * length)
+
+
+def test_texts_without_signs_are_not_searched_for_spelled_addresses():
+    rng = random.Random(6)
+    bits = ["at", " at ", "(at)", "[ AT ]", "@", "dot", " dot ", " DOT ", "(dot)", ".", "a", "b.c", " ", "example", "1"]
+    hits = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 9)))
+        found = pii.LOOSE[0].search(text) is not None
+        hits += found
+        assert pii.maybe_spelled(text) or not found, text
+    assert hits > 500 and not pii.maybe_spelled("we met at noon. (Then we left.)")
+
+
+def test_first_evident_parts():
+    text = "".join(random.Random(7).choice(["1", "@", "[at]"] + ["word " * 30] * 2) for _ in range(200))
+    every = pii.evident(text, 10**9)
+    assert len(every) > 5 and all(pii.evident(text, n) == every[:n] for n in (1, 2, 5))
+
+
 def test_spans_of_tags():
     def plain(tags):
         found, start, kind = [], -1, -1
