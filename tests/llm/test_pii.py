@@ -150,7 +150,8 @@ def test_texts_without_signs_are_not_searched_for_spelled_addresses():
 
 
 def test_first_evident_parts():
-    text = "".join(random.Random(7).choice(["1", "@", "[at]"] + ["word " * 30] * 2) for _ in range(200))
+    rng = random.Random(7)
+    text = "".join(rng.choice(["1", "@", "[at]"] + ["word " * 30] * 2) for _ in range(200))
     every = pii.evident(text, 10**9)
     assert len(every) > 5 and all(pii.evident(text, n) == every[:n] for n in (1, 2, 5))
 
