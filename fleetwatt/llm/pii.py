@@ -33,7 +33,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]")
 
-EVIDENCE = re.compile(r"[0-9@]|[(\[{] ?at ?[)\]}]", re.IGNORECASE)
+# A digit, a sign or an "at" in brackets: as one set of first characters, which is searched faster than two ways.
+EVIDENCE = re.compile(r"[0-9@(\[{](?:(?<=[0-9@])|(?<=[(\[{]) ?[Aa][Tt] ?[)\]}])")
 REACH = 32  # characters of the corpus taken for training on either side of evidence
 PIECE = 8192
 MARGIN = 128  # of a piece, where spans belong to the neighbour

@@ -15,7 +15,7 @@ from fleetwatt.llm.onnx_graph import FLOAT, INT32, graph, model, node, value
 
 try:
     import onnxruntime
-except ImportError:  # numpy reads the same, at more than twice the time
+except ImportError:  # numpy reads the same, more slowly
     onnxruntime = None
 
 LINE = 0.2  # slope of a gate

@@ -150,6 +150,9 @@ def test_texts_without_signs_are_not_searched_for_spelled_addresses():
 
 
 def test_first_evident_parts():
+    plainly = re.compile(r"[0-9@]|[(\[{] ?at ?[)\]}]", re.IGNORECASE)
+    dense = "".join(random.Random(8).choices("aAtT([{)]} 1@x", k=20_000))
+    assert [m.span() for m in pii.EVIDENCE.finditer(dense)] == [m.span() for m in plainly.finditer(dense)]
     rng = random.Random(7)
     text = "".join(rng.choice(["1", "@", "[at]"] + ["word " * 30] * 2) for _ in range(200))
     every = pii.evident(text, 10**9)
